@@ -9,7 +9,6 @@ sit in one window; the order inside a range is a window per range.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -19,25 +18,31 @@ _FAN = 16  # ranges per level; two levels give 256 ranges, three give 4096
 
 
 def range_edges(df: DataFrame, order: str, key: str, levels: int = 2) -> DataFrame:
-    """One row: map key → ascending range edges.  `key` must be a column of few values (a name)."""
+    """One row: map key → per level the ascending range edges.  `key` must be a column of few values (a name)."""
     parts = _FAN**levels
     probs = [i / parts for i in range(1, parts)]
-    per_key = df.groupBy(key).agg(F.percentile_approx(order, probs, 10 * parts).alias("edges"))
-    return per_key.agg(F.map_from_entries(F.collect_list(F.struct(key, "edges"))).alias("edges"))
+    per_key = df.groupBy(key).agg(F.percentile_approx(order, probs, 10 * parts).alias("_all"))
+
+    def every(step: int) -> Column:
+        return F.transform(F.sequence(F.lit(step), F.lit(parts - 1), F.lit(step)), lambda i: F.get(F.col("_all"), i - 1))
+
+    by_level = F.array(*[every(_FAN ** (levels - 1 - level)) for level in range(levels)])
+    return per_key.agg(F.map_from_entries(F.collect_list(F.struct(F.col(key), by_level.alias("e")))).alias("edges"))
+
+
+def _range_of(value: Column, edges: Column, levels: int) -> Column:
+    """Index of the range a value falls in: 15 comparisons per level."""
+    index: Column = F.lit(0)
+    for level in range(levels):
+        fences = F.slice(F.get(edges, F.lit(level)), index * _FAN + 1, F.lit(_FAN - 1))
+        index = index * _FAN + F.size(F.filter(fences, lambda fence: fence < value))
+    return index
 
 
 def _with_range(df: DataFrame, order: str, key: str, levels: int) -> DataFrame:
     edged = with_params(df, range_edges(df, order, key, levels), "_e")
-    # 15 comparisons per level stay in generated code; one column per level keeps the expression small: the next level reads the previous one by name
-    edged = edged.withColumn("_edges", F.col("_e.edges")[F.col(key)]).drop("_e")
-    base: Column = F.lit(0)
-    for level in range(levels):
-        step = _FAN ** (levels - 1 - level)
-        above = [(F.col(order) > F.get(F.col("_edges"), base + F.lit((i + 1) * step - 1))).cast("int") for i in range(_FAN - 1)]
-        edged = edged.withColumn(f"_l{level}", base + reduce(lambda a, b: a + b, above) * F.lit(step))
-        base = F.col(f"_l{level}")
-    drops = ["_edges"] + [f"_l{i}" for i in range(levels - 1)]
-    return edged.withColumnRenamed(f"_l{levels - 1}", "_range").drop(*drops)
+    edges = F.col("_e.edges")[F.col(key)]
+    return edged.select(*df.columns, F.coalesce(_range_of(F.col(order), edges, levels), F.lit(0)).alias("_range"))
 
 
 def running_totals(hist: DataFrame, order: str, measures: Sequence[str], key: str, levels: int = 2) -> DataFrame:
@@ -85,14 +90,16 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
     ranks = ranks.select("*", F.explode(F.array(F.floor("pos"), F.ceil("pos"))).alias("rank")).distinct()
     ranks = ranks.where((F.col("rank") >= F.col("before")) & (F.col("rank") < F.col("before") + F.col("size")))
     # at most columns × probs × 2 rows, whatever the data
-    wanted = F.broadcast(ranks.select("column", "_range", "prob", "pos", "rank", "before"))
-    inside = Window.partitionBy("column", "_range").orderBy("value")
-    placed = ranged.join(F.broadcast(ranks.select("column", "_range").distinct()), ["column", "_range"], "left_semi").select(
-        "*", (F.sum("n").over(inside) - F.col("n")).alias("_local")
+    wanted = F.broadcast(
+        ranks.groupBy("column", "_range").agg(F.collect_list(F.struct("prob", "pos", "rank")).alias("_ranks"), F.first("before").alias("before"))
     )
-    hits = placed.join(wanted, ["column", "_range"]).where(
-        (F.col("rank") >= F.col("before") + F.col("_local")) & (F.col("rank") < F.col("before") + F.col("_local") + F.col("n"))
+    inside = Window.partitionBy("column", "_range").orderBy("value")
+    placed = ranged.join(wanted, ["column", "_range"]).select(
+        "column", "value", "n", "_ranks", (F.col("before") + F.sum("n").over(inside) - F.col("n")).alias("start")
     )
+    hits = placed.select("column", "value", "n", "start", F.explode("_ranks").alias("_r")).select(
+        "column", "value", "_r.*", "n", "start"
+    ).where((F.col("rank") >= F.col("start")) & (F.col("rank") < F.col("start") + F.col("n")))
     low = F.max(F.when(F.col("rank") == F.floor("pos"), F.col("value")))
     high = F.max(F.when(F.col("rank") == F.ceil("pos"), F.col("value")))
     frac = F.max(F.col("pos") - F.floor("pos"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 
@@ -45,11 +46,11 @@ def read_text_docs(spark: SparkSession, path: str) -> DataFrame:
 
 
 def exists(spark: SparkSession, path: str) -> bool:
-    """True when the folder holds a finished write."""
+    """True when the folder holds data of a finished write."""
     try:
-        return spark.read.format("binaryFile").load(path + "/_SUCCESS").limit(1).count() == 1
-    except Exception as error:  # the reader reports a missing path as an analysis error
-        if "PATH_NOT_FOUND" in str(error):
+        return spark.read.format("binaryFile").load(path).select("path").limit(1).count() == 1
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
             return False
         raise
 
