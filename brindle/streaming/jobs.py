@@ -46,10 +46,11 @@ def stream_materialize(spark: SparkSession, source: str, schema, view: FeatureVi
 def stream_resample(spark: SparkSession, source: str, schema, ts: str, key: str, value: str, window: str = "1 hour", delay: str = "2 hours") -> DataFrame:
     """Mean per event-time window; only windows the watermark has passed are written."""
     out = scratch_path(spark, "windows")
-    stream = spark.readStream.schema(schema).parquet(source)
+    # watermarks need a zoned timestamp; the session's zone is used both ways
+    stream = spark.readStream.schema(schema).parquet(source).withColumn(ts, F.col(ts).cast("timestamp"))
     means = (
         stream.withWatermark(ts, delay).groupBy(F.window(ts, window).alias("w"), key).agg(F.avg(value).alias("y"), F.count("*").alias("n"))
-        .select(key, F.col("w.start").alias("ts"), "y", "n")
+        .select(key, F.col("w.start").cast("timestamp_ntz").alias("ts"), "y", "n")
     )
     query = means.writeStream.format("parquet").option("path", out).option("checkpointLocation", scratch_path(spark, "offsets")).outputMode("append").trigger(availableNow=True).start()
     query.awaitTermination()
