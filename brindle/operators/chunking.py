@@ -20,10 +20,14 @@ def chunk_fixed(df: DataFrame, text: str, size: int = CHUNK_SIZE) -> DataFrame:
 
 def _pieces(text: Column, size: int, unit: int, separators: Sequence[str]) -> Column:
     """Pieces no longer than `size`; each separator stays at the front of the piece it opens."""
+
+    def cut_at(pieces: Column, sep: str) -> Column:
+        pattern = "(?=" + sep.replace(".", "\\.") + ")"
+        return F.flatten(F.transform(pieces, lambda p: F.when(F.length(p) > size, F.split(p, pattern)).otherwise(F.array(p))))
+
     pieces = F.array(text)
     for sep in separators:
-        pattern = "(?=" + sep.replace(".", "\\.") + ")"
-        pieces = F.flatten(F.transform(pieces, lambda p, pat=pattern: F.when(F.length(p) > size, F.split(p, pat)).otherwise(F.array(p))))
+        pieces = cut_at(pieces, sep)
     hard = lambda p: F.transform(F.sequence(F.lit(0), F.length(p) - 1, F.lit(unit)), lambda s: F.substring(p, s + 1, F.lit(unit)))
     return F.filter(F.flatten(F.transform(pieces, lambda p: F.when(F.length(p) > size, hard(p)).otherwise(F.array(p)))), lambda p: F.length(p) > 0)
 

@@ -46,7 +46,7 @@ def penalized(df: DataFrame, label: str, kind: str, alpha: float, l1_ratio: floa
     else:
         reg = alpha * l1_ratio + sd * alpha * (1 - l1_ratio)
         mix = alpha * l1_ratio / reg
-    return LinearRegression(labelCol=label, featuresCol="features", regParam=reg, elasticNetParam=mix, standardization=False, tol=1e-10, maxIter=500)
+    return LinearRegression(labelCol=label, featuresCol="features", regParam=reg, elasticNetParam=mix, standardization=False, solver="l-bfgs", tol=1e-10, maxIter=500)
 
 
 def cross_validate(df: DataFrame, fold: str, k: int, fit: Callable[[DataFrame], Model], score: Callable[[DataFrame], DataFrame]) -> DataFrame:

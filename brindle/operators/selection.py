@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from brindle.functions.expr import with_params
 from brindle.functions.ordered import quantile_row
@@ -21,7 +21,7 @@ def abs_correlation(df: DataFrame, columns: Sequence[str], target: str) -> DataF
     return df.agg(*[F.abs(F.corr(c, target)).alias(c) for c in columns]).unpivot([], list(columns), "feature", "score")
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def f_survival(f: pd.Series, dof: pd.Series) -> pd.Series:
     """P(F(1, dof) > f) through Student's t, by numerical integration of its density on the tail."""
     out = []

@@ -218,6 +218,11 @@ def arima_order_search(df: DataFrame, series: str, ts: str, y: str, candidates:
     return scores.withColumn("chosen", rank == 1)
 
 
+def _sample_sd(part: Column, mean: Column, n: int) -> Column:
+    squares = F.transform(part, lambda x: (x - mean) * (x - mean))
+    return F.sqrt(F.aggregate(squares, F.lit(0.0), lambda s, x: s + x) / (n - 1))
+
+
 def next_feature_columns() -> list[Column]:
     """Features of the step after a history array `hist` (newest last), named as in the training matrix."""
     n = F.size("hist")
@@ -226,8 +231,7 @@ def next_feature_columns() -> list[Column]:
     for w in WINDOWS:
         part = F.slice("hist", n - w + 1, w)
         mean = F.aggregate(part, F.lit(0.0), lambda s, x: s + x) / w
-        var = F.aggregate(F.transform(part, lambda x, m=mean: (x - m) * (x - m)), F.lit(0.0), lambda s, x: s + x) / (w - 1)
-        cols += [mean.alias(f"rollmean_{w}"), F.sqrt(var).alias(f"rollstd_{w}"), F.array_min(part).alias(f"rollmin_{w}"), F.array_max(part).alias(f"rollmax_{w}")]
+        cols += [mean.alias(f"rollmean_{w}"), _sample_sd(part, mean, w).alias(f"rollstd_{w}"), F.array_min(part).alias(f"rollmin_{w}"), F.array_max(part).alias(f"rollmax_{w}")]
     cols += [F.weekday("day_next").alias("dayofweek"), F.month("day_next").alias("month"), (F.weekday("day_next") >= 5).cast("int").alias("is_weekend")]
     return [*cols, *fourier_columns(F.col("t_next"), FOURIER)]
 
