@@ -9,6 +9,8 @@ sit in one window; the order inside a range is a window per range.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import add, and_
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -30,27 +32,30 @@ def range_edges(df: DataFrame, order: str, key: str, levels: int = 2) -> DataFra
     return per_key.agg(F.map_from_entries(F.collect_list(F.struct(F.col(key), by_level.alias("e")))).alias("edges"))
 
 
-def _range_of(value: Column, edges: Column, levels: int) -> Column:
-    """Index of the range a value falls in: 15 comparisons per level."""
+def _with_range(df: DataFrame, order: str, key: str, levels: int, measures: Sequence[str]) -> DataFrame:
+    """Adds `_range`, found with 15 comparisons per level.
+
+    The comparisons are spelled out, one column per level, so they stay in generated code.  The edges read
+    every count column too: both uses of the counts then need the same shuffle, and it runs once.
+    """
+    whole = df.where(reduce(and_, [F.col(m) > -1 for m in measures]))
+    edged = with_params(df, range_edges(whole, order, key, levels), "_e")
+    found = edged.select(*df.columns, *[F.get(F.col("_e.edges")[F.col(key)], F.lit(level)).alias(f"_f{level}") for level in range(levels)])
     index: Column = F.lit(0)
     for level in range(levels):
-        fences = F.slice(F.get(edges, F.lit(level)), index * _FAN + 1, F.lit(_FAN - 1))
-        index = index * _FAN + F.size(F.filter(fences, lambda fence: fence < value))
-    return index
-
-
-def _with_range(df: DataFrame, order: str, key: str, levels: int) -> DataFrame:
-    edged = with_params(df, range_edges(df, order, key, levels), "_e")
-    edges = F.col("_e.edges")[F.col(key)]
-    return edged.select(*df.columns, F.coalesce(_range_of(F.col(order), edges, levels), F.lit(0)).alias("_range"))
+        passed = [F.coalesce((F.col(order) > F.get(f"_f{level}", index * _FAN + i)).cast("int"), F.lit(0)) for i in range(_FAN - 1)]
+        name = "_range" if level == levels - 1 else f"_r{level}"
+        found = found.withColumn(name, index * _FAN + reduce(add, passed))
+        index = F.col(name)
+    return found.select(*df.columns, "_range")
 
 
 def running_totals(hist: DataFrame, order: str, measures: Sequence[str], key: str, levels: int = 2) -> DataFrame:
     """Totals of `measures` over all rows of the same key that come strictly before, as `<m>_before`.
 
-    `hist` holds one row per (key, order value); `key` is a column of few values.
+    `hist` holds one row per (key, order value) and counts; `key` is a column of few values.
     """
-    ranged = _with_range(hist, order, key, levels)
+    ranged = _with_range(hist, order, key, levels, [c for c in hist.columns if c not in (key, order)])
     sums = ranged.groupBy(key, "_range").agg(*[F.sum(m).alias(f"_{m}") for m in measures])
     over_ranges = Window.partitionBy(key).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sums.select(
@@ -73,7 +78,7 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
     """
     values = unpivot(df, columns).where(F.col("value").isNotNull())
     counts = values.groupBy("column", "value").agg(F.count("*").alias("n"))
-    ranged = _with_range(counts, "value", "column", levels)
+    ranged = _with_range(counts, "value", "column", levels, ["n"])
     by_range = Window.partitionBy("column").orderBy("_range")
     totals = (
         ranged.groupBy("column", "_range")

@@ -19,8 +19,13 @@ def tokens(text: str | Column) -> Column:
 
 
 def term_counts(df: DataFrame, key: str, text: str) -> DataFrame:
-    """(key, term, tf).  A text is one row, so counts combine before the shuffle."""
-    return df.select(key, F.explode(tokens(text)).alias("term")).groupBy(key, "term").agg(F.count("*").alias("tf"))
+    """(key, term, tf).
+
+    Texts are dealt out by key before they are split: the raw text is what crosses the network, and since
+    the rows are already placed by key, counting terms needs no second shuffle.
+    """
+    spread = df.select(key, text).repartition(key)
+    return spread.select(key, F.explode(tokens(text)).alias("term")).groupBy(key, "term").agg(F.count("*").alias("tf"))
 
 
 def bm25_topk(docs: DataFrame, queries: DataFrame, doc_id: str, query_id: str, text: str, k: int = POOL) -> DataFrame:
@@ -30,8 +35,9 @@ def bm25_topk(docs: DataFrame, queries: DataFrame, doc_id: str, query_id: str, t
     needs the document frequency of every term; scoring itself joins only the postings of query terms.
     """
     postings = term_counts(docs, doc_id, text)
-    lengths = docs.select(doc_id, F.size(tokens(text)).alias("dl"))
-    corpus = lengths.agg(F.count("*").alias("n"), F.avg("dl").alias("avgdl"))
+    lengths = postings.groupBy(doc_id).agg(F.sum("tf").alias("dl"))  # same placement as the postings
+    n = docs.agg(F.count("*")).scalar()
+    corpus = lengths.agg(F.sum("dl").alias("total")).select(n.alias("n"), (F.coalesce("total", F.lit(0)) / n).alias("avgdl"))
     df = with_params(postings.groupBy("term").agg(F.count("*").alias("df")), corpus, "_c")
     idf = df.select("term", F.ln((F.col("_c.n") - F.col("df") + 0.5) / (F.col("df") + 0.5)).alias("idf"))
     floor = idf.agg((F.avg("idf") * EPSILON).alias("low"))
@@ -47,7 +53,7 @@ def bm25_topk(docs: DataFrame, queries: DataFrame, doc_id: str, query_id: str, t
 
 def hashed_vectors(df: DataFrame, key: str, text: str, width: int = 64) -> DataFrame:
     """(key, vec): signed hash of every token of the text, summed into `width` slots."""
-    slots = df.select(key, F.explode(tokens(text)).alias("term")).groupBy(key, "term").agg(F.count("*").alias("tf")).select(
+    slots = term_counts(df, key, text).select(
         key, "tf", stable_hash("term", seed="slot", mod=width).alias("slot"), (F.lit(1) - 2 * stable_hash("term", seed="sign", mod=2)).alias("sign"))
     sums = slots.groupBy(key, "slot").agg(F.sum(F.col("tf") * F.col("sign")).cast("double").alias("w"))
     return sums.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("slot", "w"))).alias("_m")).select(

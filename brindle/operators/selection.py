@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from brindle.functions.expr import with_params
 from brindle.functions.ordered import quantile_row
@@ -60,10 +60,10 @@ def mutual_information(df: DataFrame, columns: Sequence[str], target: str, bins:
         *[sum((F.col(c) >= F.col(f"_p.{c}_{i}")).cast("int") for i in range(1, bins)).alias(c) for c in every]
     )
     joint = binned.unpivot([target], list(columns), "feature", "x").groupBy("feature", "x", F.col(target).alias("y")).agg(F.count("*").alias("nxy"))
-    nx = joint.groupBy("feature", "x").agg(F.sum("nxy").alias("nx"))
-    ny = joint.groupBy("feature", "y").agg(F.sum("nxy").alias("ny"))
-    n = joint.groupBy("feature").agg(F.sum("nxy").alias("n"))
-    cells = joint.join(nx, ["feature", "x"]).join(ny, ["feature", "y"]).join(n, "feature")  # features × bins² rows
+    # the joint table has features × bins² rows at most
+    cells = joint.select(
+        "*", F.sum("nxy").over(Window.partitionBy("feature", "x")).alias("nx"), F.sum("nxy").over(Window.partitionBy("feature", "y")).alias("ny"),
+        F.sum("nxy").over(Window.partitionBy("feature")).alias("n"))
     term = F.col("nxy") / F.col("n") * F.ln(F.col("nxy") * F.col("n") / (F.col("nx") * F.col("ny")))
     return cells.groupBy("feature").agg(F.sum(term).alias("score"))
 
