@@ -31,31 +31,25 @@ def outside_fences(df: DataFrame, column: str, k: float = 1.5) -> DataFrame:
 
 
 def _mad_params(df: DataFrame, column: str) -> DataFrame:
-    """One row: quartiles and the median distance from the median."""
-    q = quantile_row(df, {"q1": (column, 0.25), "med": (column, 0.5), "q3": (column, 0.75)})
-    dev = with_params(df.select(column), q).select(F.abs(F.col(column) - F.col("_p.med")).alias("dev"), F.col("_p.q1").alias("q1"), F.col("_p.med").alias("med"), F.col("_p.q3").alias("q3"))
-    learned = dev.agg(F.first("q1").alias("q1"), F.first("med").alias("med"), F.first("q3").alias("q3"))
-    return learned.select("*", quantile_row(dev, {"mad": ("dev", 0.5)}).scalar().alias("mad"))
-
-
-def _modified_z(x: Column) -> Column:
-    return F.coalesce(F.try_divide(F.lit(0.6745) * (x - F.col("_p.med")), F.col("_p.mad")), F.lit(0.0))
+    """One row: the median and the median distance from it."""
+    med = quantile_row(df, {"med": (column, 0.5)})
+    dev = with_params(df.select(column), med).select(F.abs(F.col(column) - F.col("_p.med")).alias("dev"))
+    return med.select("med", quantile_row(dev, {"mad": ("dev", 0.5)}).scalar().alias("mad"))
 
 
 def modified_zscores(df: DataFrame, column: str) -> DataFrame:
     """0.6745 (x − median) / MAD; 0 where the MAD is 0."""
-    return with_params(df, _mad_params(df, column)).withColumn("mz", _modified_z(F.col(column))).drop("_p")
+    z = F.coalesce(F.try_divide(F.lit(0.6745) * (F.col(column) - F.col("_p.med")), F.col("_p.mad")), F.lit(0.0))
+    return with_params(df, _mad_params(df, column)).withColumn("mz", z).drop("_p")
 
 
 def rule_counts(df: DataFrame, column: str) -> DataFrame:
     """Rows flagged by each rule, all rules in one scan."""
-    x, width = F.col(column), F.col("_p.q3") - F.col("_p.q1")
-    ready = with_params(zscores(df.select(column), column), _mad_params(df, column))
-    flags = {
-        "zscore": F.abs("z") > 3, "iqr": (x < F.col("_p.q1") - 1.5 * width) | (x > F.col("_p.q3") + 1.5 * width),
-        "mad": F.abs(_modified_z(x)) > 3.5,
-    }
-    return ready.agg(*[F.count_if(f).alias(n) for n, f in flags.items()]).unpivot([], list(flags), "rule", "flagged")
+    x = F.col(column)
+    both = modified_zscores(zscores(df.select(column), column), column)
+    fenced = with_params(both, iqr_fences(df, column))
+    flags = {"zscore": F.abs("z") > 3, "iqr": (x < F.col("_p.low")) | (x > F.col("_p.high")), "mad": F.abs("mz") > 3.5}
+    return fenced.agg(*[F.count_if(f).alias(n) for n, f in flags.items()]).unpivot([], list(flags), "rule", "flagged")
 
 
 def winsorize(df: DataFrame, column: str, low: float = 0.01, high: float = 0.99, out: str = "clipped") -> DataFrame:
