@@ -10,52 +10,45 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
-from operator import add, and_
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from brindle.functions.expr import unpivot, with_params
 
-_FAN = 16  # ranges per level; two levels give 256 ranges, three give 4096
+RANGES = 256  # a power of two; raise it when a range still holds too many distinct values
 
 
-def range_edges(df: DataFrame, order: str, key: str, levels: int = 2) -> DataFrame:
-    """One row: map key → per level the ascending range edges.  `key` must be a column of few values (a name)."""
-    parts = _FAN**levels
-    probs = [i / parts for i in range(1, parts)]
-    per_key = df.groupBy(key).agg(F.percentile_approx(order, probs, 10 * parts).alias("_all"))
+def range_edges(df: DataFrame, order: str, key: str, ranges: int = RANGES) -> DataFrame:
+    """One row: map key → ascending range edges.  `key` must be a column of few values (a name)."""
+    probs = [i / ranges for i in range(1, ranges)]
+    per_key = df.groupBy(key).agg(F.percentile_approx(order, probs, 10 * ranges).alias("_all"))
+    return per_key.agg(F.map_from_entries(F.collect_list(F.struct(key, "_all"))).alias("edges"))
 
-    def every(step: int) -> Column:
-        return F.transform(F.sequence(F.lit(step), F.lit(parts - 1), F.lit(step)), lambda i: F.get(F.col("_all"), i - 1))
 
-    by_level = F.array(*[every(_FAN ** (levels - 1 - level)) for level in range(levels)])
-    return per_key.agg(F.map_from_entries(F.collect_list(F.struct(F.col(key), by_level.alias("e")))).alias("edges"))
+def _with_range(df: DataFrame, order: str, key: str, ranges: int, measures: Sequence[str]) -> DataFrame:
+    """Adds `_range` by halving: one comparison per bit, one small column per step, all in generated code.
 
-
-def _with_range(df: DataFrame, order: str, key: str, levels: int, measures: Sequence[str]) -> DataFrame:
-    """Adds `_range`, found with 15 comparisons per level.
-
-    The comparisons are spelled out, one column per level, so they stay in generated code.  The edges read
-    every count column too: both uses of the counts then need the same shuffle, and it runs once.
+    The edges read every count column too: both uses of the counts then need the same shuffle, and it runs
+    once.
     """
     whole = df.where(reduce(and_, [F.col(m) > -1 for m in measures]))
-    edged = with_params(df, range_edges(whole, order, key, levels), "_e")
-    found = edged.select(*df.columns, *[F.get(F.col("_e.edges")[F.col(key)], F.lit(level)).alias(f"_f{level}") for level in range(levels)])
-    index: Column = F.lit(0)
-    for level in range(levels):
-        passed = [F.coalesce((F.col(order) > F.get(f"_f{level}", index * _FAN + i)).cast("int"), F.lit(0)) for i in range(_FAN - 1)]
-        name = "_range" if level == levels - 1 else f"_r{level}"
-        found = found.withColumn(name, index * _FAN + reduce(add, passed))
-        index = F.col(name)
-    return found.select(*df.columns, "_range")
-
-
-def running_totals(hist: DataFrame, order: str, measures: Sequence[str], key: str, levels: int = 2) -> DataFrame:
+    edged = with_params(df, range_edges(whole, order, key, ranges), "_e")
+    found = edged.select(*df.columns, F.col("_e.edges")[F.col(key)].alias("_edges"), F.lit(0).alias("_range"))
+    step = ranges // 2
+    while step:
+        above = F.col(order) > F.get("_edges", F.col("_range") + (step - 1))
+        found = found.withColumn("_range", F.col("_range") + F.when(above, step).otherwise(0))
+        step //= 2
+    return found.drop("_edges")
+
+
+def running_totals(hist: DataFrame, order: str, measures: Sequence[str], key: str, ranges: int = RANGES) -> DataFrame:
     """Totals of `measures` over all rows of the same key that come strictly before, as `<m>_before`.
 
     `hist` holds one row per (key, order value) and counts; `key` is a column of few values.
     """
-    ranged = _with_range(hist, order, key, levels, [c for c in hist.columns if c not in (key, order)])
+    ranged = _with_range(hist, order, key, ranges, [c for c in hist.columns if c not in (key, order)])
     sums = ranged.groupBy(key, "_range").agg(*[F.sum(m).alias(f"_{m}") for m in measures])
     over_ranges = Window.partitionBy(key).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sums.select(
@@ -71,14 +64,14 @@ def running_totals(hist: DataFrame, order: str, measures: Sequence[str], key: st
     )
 
 
-def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float], levels: int = 2) -> DataFrame:
+def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float], ranges: int = RANGES) -> DataFrame:
     """Linear-interpolated quantiles as rows (column, prob, value); nulls are ignored.
 
     Only the ranges that hold a wanted rank are ever ordered.
     """
     values = unpivot(df, columns).where(F.col("value").isNotNull())
     counts = values.groupBy("column", "value").agg(F.count("*").alias("n"))
-    ranged = _with_range(counts, "value", "column", levels, ["n"])
+    ranged = _with_range(counts, "value", "column", ranges, ["n"])
     by_range = Window.partitionBy("column").orderBy("_range")
     totals = (
         ranged.groupBy("column", "_range")
@@ -111,11 +104,11 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
     return hits.groupBy("column", "prob").agg((low + (high - low) * frac).alias("value"))
 
 
-def quantile_row(df: DataFrame, wanted: dict[str, tuple[str, float]], levels: int = 2) -> DataFrame:
+def quantile_row(df: DataFrame, wanted: dict[str, tuple[str, float]], ranges: int = RANGES) -> DataFrame:
     """One row of named quantiles: {"q1": ("price", .25)} → column q1."""
     columns = sorted({c for c, _ in wanted.values()})
     probs = sorted({p for _, p in wanted.values()})
-    rows = exact_quantiles(df, columns, probs, levels)
+    rows = exact_quantiles(df, columns, probs, ranges)
     return rows.agg(
         *[
             F.max(F.when((F.col("column") == c) & (F.col("prob") == float(p)), F.col("value"))).alias(name)

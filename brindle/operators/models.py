@@ -165,8 +165,9 @@ def random_fourier(features: Column, dims: int, out: int, gamma: float, seed: in
 
 def kernel_svm(df: DataFrame, label: str, dims: int, gamma: float, c: float, out: int = 64) -> tuple[Model, Callable[[DataFrame], DataFrame]]:
     expand = lambda d: d.withColumn("rff", random_fourier(F.col("features"), dims, out, gamma))
-    n = df.count()
-    model = LinearSVC(featuresCol="rff", labelCol=label, regParam=1.0 / (c * n), maxIter=50).fit(expand(df))
+    rows = expand(df).persist()
+    model = LinearSVC(featuresCol="rff", labelCol=label, regParam=1.0 / (c * rows.count()), maxIter=30).fit(rows)
+    rows.unpersist()
     return model, expand
 
 
