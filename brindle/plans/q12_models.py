@@ -142,8 +142,8 @@ def tree_importance_rank(spark, sf):
     return models.importances(spark, RandomForestRegressor(numTrees=20, maxDepth=6, seed=0).fit(train), NUM)
 
 
-@query("fit_transform_pipeline")
-def fit_transform_pipeline(spark, sf):
+@query("fit_transform_per_fold")
+def fit_transform_per_fold(spark, sf):
     """Preparation and model refitted inside every fold; a category new to a fold is all zeros."""
     df = base.sales(spark, sf).select("row_id", *NUM, "p_brand", "p_type", F.log1p("l_extendedprice").alias("label"))
     df = kfold(df, ["row_id"], 3).persist()
