@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from brindle.llm.bpe import encode_documents
 from brindle.llm.common import documents
 from brindle.llm.neardup import near_duplicates
 from brindle.llm.registry import ORACLES, QUERIES, query
@@ -13,6 +14,14 @@ def load():
     return dict(QUERIES), dict(ORACLES)
 
 
+@query("op7_byte_bpe")
+def op7(spark: SparkSession, sf: str) -> DataFrame:
+    """Byte-level BPE ids of all documents, and their decoding."""
+    import public_tokenizers
+
+    return encode_documents(documents(spark, sf), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
 OP10 = """
 WITH RECURSIVE words AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents
