@@ -8,6 +8,7 @@ from brindle.llm.bpe import encode_documents
 from brindle.llm.common import documents
 from brindle.llm.neardup import near_duplicates
 from brindle.llm.registry import ORACLES, QUERIES, query
+from brindle.llm.substrings import remove_repeats
 
 
 def load():
@@ -22,6 +23,27 @@ def op7(spark: SparkSession, sf: str) -> DataFrame:
     return encode_documents(documents(spark, sf), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+OP8 = """
+WITH hexed AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+windows AS (SELECT doc_id, s, h[2 * s + 1 : 2 * s + 200] AS w FROM (SELECT doc_id, h, unnest(range(0, length(h) // 2 - 99)) AS s FROM hexed)),
+late AS (SELECT doc_id, s FROM windows QUALIFY row_number() OVER (PARTITION BY w ORDER BY doc_id, s) > 1),
+starts AS (SELECT doc_id, s, CASE WHEN s - lag(s) OVER (PARTITION BY doc_id ORDER BY s) <= 100 THEN 0 ELSE 1 END AS fresh FROM late),
+runs AS (SELECT doc_id, r, min(s) AS a, max(s) + 100 AS b FROM (SELECT *, sum(fresh) OVER (PARTITION BY doc_id ORDER BY s) AS r FROM starts) GROUP BY 1, 2),
+kept AS (SELECT doc_id, string_agg(h[2 * lo + 1 : 2 * hi], '' ORDER BY lo) AS k FROM (
+  SELECT hexed.doc_id, h, coalesce(lag(b) OVER (PARTITION BY hexed.doc_id ORDER BY a), 0) AS lo, a AS hi FROM hexed JOIN
+    (SELECT doc_id, a, b FROM runs UNION ALL SELECT doc_id, length(h) // 2, length(h) // 2 FROM hexed) AS cuts ON cuts.doc_id = hexed.doc_id) GROUP BY 1)
+SELECT hexed.doc_id, length(h) // 2 AS n_bytes, (length(h) - length(k)) // 2 AS n_removed,
+  (SELECT count(*) FROM runs WHERE runs.doc_id = hexed.doc_id) AS n_spans, sha256(unhex(k)) AS kept_sha256
+FROM hexed JOIN kept ON kept.doc_id = hexed.doc_id
+"""
+
+
+@query("op8_repeated_substrings", OP8)
+def op8(spark: SparkSession, sf: str) -> DataFrame:
+    """Bytes of all documents that no repeated 100-byte string covers."""
+    return remove_repeats(documents(spark, sf), length=100).drop("kept")
+
+
 OP10 = """
 WITH RECURSIVE words AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents
