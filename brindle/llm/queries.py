@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from brindle.llm.bpe import encode_documents
 from brindle.llm.common import documents
+from brindle.llm.lines import dedup_lines
 from brindle.llm.neardup import near_duplicates
 from brindle.llm.registry import ORACLES, QUERIES, query
 from brindle.llm.substrings import remove_repeats
@@ -15,6 +16,29 @@ def load():
     return dict(QUERIES), dict(ORACLES)
 
 
+OP4 = """
+WITH lines AS (SELECT doc_id, line, pos FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents),
+    LATERAL (SELECT unnest(l) AS line, unnest(range(0, len(l))) AS pos)),
+solid AS (SELECT doc_id, line, pos, row_number() OVER (PARTITION BY doc_id ORDER BY pos) - 1 AS nth FROM lines WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
+windows AS (SELECT a.doc_id, a.nth, a.line || chr(10) || b.line || chr(10) || c.line AS w FROM solid a
+  JOIN solid b ON b.doc_id = a.doc_id AND b.nth = a.nth + 1 JOIN solid c ON c.doc_id = a.doc_id AND c.nth = a.nth + 2),
+late AS (SELECT doc_id, nth FROM windows QUALIFY row_number() OVER (PARTITION BY w ORDER BY doc_id, nth) > 1),
+gone AS (SELECT DISTINCT s.doc_id, s.pos, s.nth FROM solid s JOIN late l ON l.doc_id = s.doc_id AND s.nth BETWEEN l.nth AND l.nth + 2),
+runs AS (SELECT doc_id, count(*) AS n_removed, sum(fresh) AS n_spans FROM (
+  SELECT doc_id, CASE WHEN nth - lag(nth) OVER (PARTITION BY doc_id ORDER BY nth) = 1 THEN 0 ELSE 1 END AS fresh FROM gone) GROUP BY 1),
+kept AS (SELECT doc_id, string_agg(line, chr(10) ORDER BY pos) AS k FROM lines WHERE NOT EXISTS (SELECT 1 FROM gone g WHERE g.doc_id = lines.doc_id AND g.pos = lines.pos) GROUP BY 1)
+SELECT d.doc_id, (SELECT count(*) FROM solid s WHERE s.doc_id = d.doc_id) AS n_lines, coalesce(r.n_removed, 0)::BIGINT AS n_removed,
+  coalesce(r.n_spans, 0)::BIGINT AS n_spans, sha256(coalesce(k.k, '')) AS kept_sha256
+FROM documents d LEFT JOIN runs r USING (doc_id) LEFT JOIN kept k USING (doc_id)
+"""
+
+
+@query("op4_line_dedup", OP4)
+def op4(spark: SparkSession, sf: str) -> DataFrame:
+    """All documents without the lines of repeated three-line windows."""
+    return dedup_lines(documents(spark, sf)).select("row.doc_id", "n_lines", "n_removed", "n_spans", F.sha2(F.coalesce("kept_text", F.lit("")), 256).alias("kept_sha256"))
+
+
 @query("op7_byte_bpe")
 def op7(spark: SparkSession, sf: str) -> DataFrame:
     """Byte-level BPE ids of all documents, and their decoding."""
