@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from brindle.llm.bpe import encode_documents
-from brindle.llm.common import documents
+from brindle.llm.common import documents, staged
 from brindle.llm.lines import dedup_lines
 from brindle.llm.neardup import near_duplicates
+from brindle.llm.quality_rules import STATS, fit_rules, judge, text_stats, votes
 from brindle.llm.registry import ORACLES, QUERIES, query
 from brindle.llm.substrings import remove_repeats
 
@@ -16,6 +17,14 @@ def load():
     return dict(QUERIES), dict(ORACLES)
 
 
+@query("op2_quality_rules")
+def op2(spark: SparkSession, sf: str) -> DataFrame:
+    """Rule statistics of all documents and the verdict of the weighed votes."""
+    stats = text_stats(documents(spark, sf))
+    voted = staged(votes(stats.select("row.doc_id", *[c for c in stats.columns if c != "row"])), "votes")
+    return judge(voted, fit_rules(voted)).select("doc_id", *STATS, "base_failed", "kept", "p_good")
+
+
 OP4 = """
 WITH lines AS (SELECT doc_id, line, pos FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents),
     LATERAL (SELECT unnest(l) AS line, unnest(range(0, len(l))) AS pos)),
