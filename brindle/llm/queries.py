@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from brindle.llm.bpe import encode_documents
 from brindle.llm.common import documents, staged
 from brindle.llm.lines import dedup_lines
+from brindle.llm.mixing import mix_words
 from brindle.llm.neardup import near_duplicates
 from brindle.llm.quality_rules import STATS, fit_rules, judge, text_stats, votes
 from brindle.llm.registry import ORACLES, QUERIES, query
@@ -17,6 +18,12 @@ def load():
     return dict(QUERIES), dict(ORACLES)
 
 
+@query("op1_source_mix")
+def op1(spark: SparkSession, sf: str) -> DataFrame:
+    """Words the mix takes of each document: weights 3, 1, 2 in turn, 150% of all words, none above twice its source."""
+    return mix_words(documents(spark, sf))
+
+
 @query("op2_quality_rules")
 def op2(spark: SparkSession, sf: str) -> DataFrame:
     """Rule statistics of all documents and the verdict of the weighed votes."""
