@@ -9,6 +9,7 @@ from brindle.llm.common import documents, staged
 from brindle.llm.lines import dedup_lines
 from brindle.llm.mixing import mix_words
 from brindle.llm.neardup import near_duplicates
+from brindle.llm.order_minhash import fingerprints
 from brindle.llm.quality_rules import STATS, fit_rules, judge, text_stats, votes
 from brindle.llm.registry import ORACLES, QUERIES, query
 from brindle.llm.substrings import remove_repeats
@@ -84,6 +85,12 @@ def op8(spark: SparkSession, sf: str) -> DataFrame:
     return remove_repeats(documents(spark, sf), length=100).drop("kept")
 
 
+@query("op9_order_minhash")
+def op9(spark: SparkSession, sf: str) -> DataFrame:
+    """Order MinHash fingerprints of all documents and of their edited texts."""
+    return fingerprints(documents(spark, sf))
+
+
 OP10 = """
 WITH RECURSIVE words AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents
