@@ -10,6 +10,7 @@ from brindle.llm.lines import dedup_lines
 from brindle.llm.mixing import mix_words
 from brindle.llm.neardup import near_duplicates
 from brindle.llm.order_minhash import fingerprints
+from brindle.llm.pii import private_spans
 from brindle.llm.quality_rules import STATS, fit_rules, judge, text_stats, votes
 from brindle.llm.registry import ORACLES, QUERIES, query
 from brindle.llm.substrings import remove_repeats
@@ -56,6 +57,12 @@ def op4(spark: SparkSession, sf: str) -> DataFrame:
     return dedup_lines(documents(spark, sf)).select("row.doc_id", "n_lines", "n_removed", "n_spans", F.sha2(F.coalesce("kept_text", F.lit("")), 256).alias("kept_sha256"))
 
 
+@query("op6_private_spans")
+def op6(spark: SparkSession, sf: str) -> DataFrame:
+    """Spans of personal data in all documents."""
+    return private_spans(documents(spark, sf))
+
+
 @query("op7_byte_bpe")
 def op7(spark: SparkSession, sf: str) -> DataFrame:
     """Byte-level BPE ids of all documents, and their decoding."""
