@@ -99,7 +99,7 @@ def _splitting_tree(quotas: DataFrame, depth: int, seed: int) -> DataFrame:
     for level in range(depth):
         total = F.aggregate("q", F.lit(0).cast("long"), lambda s, x: s + x)
 
-        def left(t: Column, level: int = level) -> Column:
+        def left(t: Column) -> Column:
             start = F.struct(t.alias("total"), F.floor(t / 2).cast("long").alias("drawn"), F.array().cast("array<bigint>").alias("out"))
 
             def step(s: Column, x: Column) -> Column:
