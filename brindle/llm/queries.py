@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from brindle.llm.bpe import encode_documents
 from brindle.llm.common import documents, staged
+from brindle.llm.compression_quality import score_quality
 from brindle.llm.lines import dedup_lines
 from brindle.llm.mixing import mix_words
 from brindle.llm.neardup import near_duplicates
@@ -34,6 +35,12 @@ def op2(spark: SparkSession, sf: str) -> DataFrame:
     return judge(voted, fit_rules(voted)).select("doc_id", *STATS, "base_failed", "kept", "p_good")
 
 
+@query("op3_compression_quality")
+def op3(spark: SparkSession, sf: str) -> DataFrame:
+    """Quality scores of all documents from two compression dictionaries."""
+    return score_quality(documents(spark, sf), spark.read.parquet(f"{sf}/labels.parquet"))
+
+
 OP4 = """
 WITH lines AS (SELECT doc_id, line, pos FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents),
     LATERAL (SELECT unnest(l) AS line, unnest(range(0, len(l))) AS pos)),
