@@ -8,6 +8,7 @@ from brindle.llm.bpe import encode_documents
 from brindle.llm.common import documents, staged
 from brindle.llm.compression_quality import score_quality
 from brindle.llm.lines import dedup_lines
+from brindle.llm.maxent_lm import score_texts
 from brindle.llm.mixing import mix_words
 from brindle.llm.neardup import near_duplicates
 from brindle.llm.order_minhash import fingerprints
@@ -64,6 +65,12 @@ def op4(spark: SparkSession, sf: str) -> DataFrame:
     return dedup_lines(documents(spark, sf)).select("row.doc_id", "n_lines", "n_removed", "n_spans", F.sha2(F.coalesce("kept_text", F.lit("")), 256).alias("kept_sha256"))
 
 
+@query("op5_maxent_lm")
+def op5(spark: SparkSession, sf: str) -> DataFrame:
+    """Log probabilities of all documents under the unigram base and the maximum-entropy model."""
+    return score_texts(documents(spark, sf))
+
+
 @query("op6_private_spans")
 def op6(spark: SparkSession, sf: str) -> DataFrame:
     """Spans of personal data in all documents."""
