@@ -10,7 +10,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from brindle.llm.common import map_batches, staged, texts
+from brindle.llm.common import map_batches, staged, text_of, texts
 from brindle.llm.components import UnionFind, components
 from brindle.llm.shingles import bands, jaccard_counts, shingle_set, superminhash
 
@@ -24,7 +24,7 @@ def _digest(s: np.ndarray) -> int:
 
 
 def signatures(docs: DataFrame, k: int, text: str = "text") -> DataFrame:
-    """(doc_id, n_shingles, class_key, band_keys): class_key is equal for equal sets and null for empty ones."""
+    """(doc_id, text_hash, n_shingles, class_key, band_keys): class_key is equal for equal sets and null for empty ones."""
 
     def run(batch: pa.RecordBatch) -> pa.Table:
         sets = [shingle_set(t, k) for t in texts(batch, "text")]
@@ -42,11 +42,11 @@ def signatures(docs: DataFrame, k: int, text: str = "text") -> DataFrame:
                 chunk.append(i)
                 room += len(sets[i])
         keys = [None if d is None else made[first[d]] for d in digests]
-        return pa.table({"doc_id": batch.column("doc_id").cast(pa.int64()), "n_shingles": pa.array([len(s) for s in sets], pa.int64()),
+        return pa.table({"doc_id": batch.column("doc_id"), "text_hash": batch.column("text_hash"), "n_shingles": pa.array([len(s) for s in sets], pa.int64()),
                          "class_key": pa.array(digests, pa.int64()), "band_keys": pa.array(keys, pa.list_(pa.int64()))})
 
-    return map_batches(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")), run,
-                       "doc_id long, n_shingles long, class_key long, band_keys array<long>")
+    return map_batches(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text_of(text)).alias("text_hash"), F.col(text).cast("string").alias("text")), run,
+                       "doc_id long, text_hash long, n_shingles long, class_key long, band_keys array<long>")
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, k: int, text: str) -> DataFrame:
@@ -125,7 +125,8 @@ def _bucket_links(num: int, den: int):
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, text: str = "text") -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id (smallest doc_id reachable over links), kept.
+    """One row per document: doc_id, n_shingles, component_id (smallest doc_id reachable over links), kept,
+    text_hash (of the text, to tell rows that share an id apart).
 
     Two documents are linked when den * |A ∩ B| >= num * |A ∪ B| for their sets of distinct k-word shingles (A-Z in lower case).
 
@@ -167,5 +168,5 @@ def near_duplicates(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100,
     found = classes.select("node", "first_id").join(ids.join(low, "comp").select("node", "component_id"), "node", "left").select(
         F.col("node").alias("class_key"), F.coalesce("component_id", "first_id").alias("class_component"))
     return rows.join(found, "class_key", "left").select(
-        "doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("class_component", "doc_id")).alias("component_id"),
+        "doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("class_component", "doc_id")).alias("component_id"), "text_hash",
     ).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))

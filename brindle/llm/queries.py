@@ -133,4 +133,12 @@ FROM documents d LEFT JOIN sizes s USING (doc_id) JOIN low ON low.x = d.doc_id
 @query("op10_near_duplicates", OP10)
 def op10(spark: SparkSession, sf: str) -> DataFrame:
     """Near-duplicate components of all documents on 3-word shingles at 0.85."""
-    return near_duplicates(documents(spark, sf), k=3, num=85, den=100)
+    return near_duplicates(documents(spark, sf), k=3, num=85, den=100).drop("text_hash")
+
+
+@query("pipeline")
+def pipeline(spark: SparkSession, sf: str) -> DataFrame:
+    """The stages of corpus_pipeline.py over all documents."""
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf)
