@@ -28,7 +28,7 @@ from brindle.llm.suffixes import SEPARATOR, equal_prefixes, suffix_order
 from brindle.llm.suffixes import _words as eight_bytes
 
 ANCHOR = 32  # bytes of an anchor; a power of two
-BLOCK_SEGMENTS = 256  # segments of one anchor that are sorted together
+BLOCK_SEGMENTS = 4096  # segments of one anchor that are sorted together
 BATCH_BYTES = 4_000_000  # text sorted at once
 LAST = (1 << 63) - 1  # the place of rows without an id: after all others
 
