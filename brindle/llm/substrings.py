@@ -112,53 +112,57 @@ def _anchors(length: int):
     return run
 
 
-def _sieve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _sieve(block: int):
     """Rows sorted by anchor, segment and place.  Out: kind 1, repeated segments; kind 2, the first of each segment of an anchor
     that has several, with its block in `segment`.  One row is held back between batches, however large a group is."""
-    anchor_now = segment_now = place_now = None
-    ordinal = 0  # of the segment within its anchor
-    held = None  # the only segment of the anchor so far
-    for batch in batches:
-        cols = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(7)]
-        anchor, segment, k_id, k_text, lo, hi, kind = cols
-        known = kind == 1
-        if known.any():
-            yield _rows(1, k_id=k_id[known], k_text=k_text[known], lo=lo[known], hi=hi[known])
-            anchor, segment, k_id, k_text, lo, hi = (x[~known] for x in cols[:6])
-        n = len(anchor)
-        if not n:
-            continue
-        new = np.ones(n, bool)
-        new[1:] = (anchor[1:] != anchor[:-1]) | (segment[1:] != segment[:-1])
-        new[0] = not (anchor[0] == anchor_now and segment[0] == segment_now)
-        again = np.zeros(n, bool)  # a row given twice is one place
-        again[1:] = ~new[1:] & (k_id[1:] == k_id[:-1]) & (k_text[1:] == k_text[:-1]) & (lo[1:] == lo[:-1])
-        again[0] = not new[0] and (k_id[0], k_text[0], lo[0]) == place_now
-        old = ~new & ~again
-        if old.any():
-            yield _rows(1, k_id=k_id[old], k_text=k_text[old], lo=lo[old], hi=hi[old])
-        f = np.flatnonzero(new)
-        if len(f):
-            a = anchor[f]
-            start = np.ones(len(f), bool)
-            start[1:] = a[1:] != a[:-1]
-            start[0] = not (a[0] == anchor_now)
-            groups = np.flatnonzero(start)
-            number = np.arange(len(f)) - np.maximum.accumulate(np.where(start, np.arange(len(f)), 0))
-            head = groups[0] if len(groups) else len(f)
-            number[:head] = np.arange(head) + ordinal + 1  # goes on with the anchor of the batch before
-            more = np.r_[~start[1:], False]  # another segment of the same anchor follows
-            emit = (number > 0) | more
-            if number[0] > 0 and held is not None:
-                yield held
-                held = None
-            last = f[-1]
-            if emit.any():
-                g = f[emit]
-                yield _rows(2, anchor=anchor[g], segment=number[emit] // BLOCK_SEGMENTS, k_id=k_id[g], k_text=k_text[g], lo=lo[g], hi=hi[g])
-            ordinal = int(number[-1])
-            held = None if emit[-1] else _rows(2, anchor=anchor[last : last + 1], segment=[0], k_id=k_id[last : last + 1], k_text=k_text[last : last + 1], lo=lo[last : last + 1], hi=hi[last : last + 1])
-        anchor_now, segment_now, place_now = anchor[-1], segment[-1], (k_id[-1], k_text[-1], lo[-1])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        anchor_now = segment_now = place_now = None
+        ordinal = 0  # of the segment within its anchor
+        held = None  # the only segment of the anchor so far
+        for batch in batches:
+            cols = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(7)]
+            anchor, segment, k_id, k_text, lo, hi, kind = cols
+            known = kind == 1
+            if known.any():
+                yield _rows(1, k_id=k_id[known], k_text=k_text[known], lo=lo[known], hi=hi[known])
+                anchor, segment, k_id, k_text, lo, hi = (x[~known] for x in cols[:6])
+            n = len(anchor)
+            if not n:
+                continue
+            new = np.ones(n, bool)
+            new[1:] = (anchor[1:] != anchor[:-1]) | (segment[1:] != segment[:-1])
+            new[0] = not (anchor[0] == anchor_now and segment[0] == segment_now)
+            again = np.zeros(n, bool)  # a row given twice is one place
+            again[1:] = ~new[1:] & (k_id[1:] == k_id[:-1]) & (k_text[1:] == k_text[:-1]) & (lo[1:] == lo[:-1])
+            again[0] = not new[0] and (k_id[0], k_text[0], lo[0]) == place_now
+            old = ~new & ~again
+            if old.any():
+                yield _rows(1, k_id=k_id[old], k_text=k_text[old], lo=lo[old], hi=hi[old])
+            f = np.flatnonzero(new)
+            if len(f):
+                a = anchor[f]
+                start = np.ones(len(f), bool)
+                start[1:] = a[1:] != a[:-1]
+                start[0] = not (a[0] == anchor_now)
+                groups = np.flatnonzero(start)
+                number = np.arange(len(f)) - np.maximum.accumulate(np.where(start, np.arange(len(f)), 0))
+                head = groups[0] if len(groups) else len(f)
+                number[:head] = np.arange(head) + ordinal + 1  # goes on with the anchor of the batch before
+                more = np.r_[~start[1:], False]  # another segment of the same anchor follows
+                emit = (number > 0) | more
+                if number[0] > 0 and held is not None:
+                    yield held
+                    held = None
+                last = f[-1]
+                if emit.any():
+                    g = f[emit]
+                    yield _rows(2, anchor=anchor[g], segment=number[emit] // block, k_id=k_id[g], k_text=k_text[g], lo=lo[g], hi=hi[g])
+                ordinal = int(number[-1])
+                held = None if emit[-1] else _rows(2, anchor=anchor[last : last + 1], segment=[0], k_id=k_id[last : last + 1], k_text=k_text[last : last + 1], lo=lo[last : last + 1], hi=hi[last : last + 1])
+            anchor_now, segment_now, place_now = anchor[-1], segment[-1], (k_id[-1], k_text[-1], lo[-1])
+
+    return run
 
 
 def _cut(length: int):
@@ -273,7 +277,7 @@ def _strip(length: int):
 STEP = f"anchor long, segment long, {PLACE}, kind byte"
 
 
-def remove_repeats(docs: DataFrame, length: int = 100, text: str = "text") -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = 100, text: str = "text", block: int = BLOCK_SEGMENTS) -> DataFrame:
     """One row per document: doc_id, n_bytes, n_removed, n_spans (maximal removed runs), kept_sha256, kept (the bytes left).
 
     Windows are judged on the input.  Null text counts as empty; texts shorter than `length` bytes keep everything.  Rows
@@ -286,7 +290,7 @@ def remove_repeats(docs: DataFrame, length: int = 100, text: str = "text") -> Da
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("k_id"),
                         F.xxhash64(text_of(text)).alias("k_text"), text_of(text).alias("text"))
     rows = keyed.select("k_id", "k_text", "text").mapInArrow(_anchors(length), STEP)
-    found = staged(rows.repartition("anchor").sortWithinPartitions("anchor", "segment", "k_id", "k_text", "lo").mapInArrow(_sieve, STEP), "segments")
+    found = staged(rows.repartition("anchor").sortWithinPartitions("anchor", "segment", "k_id", "k_text", "lo").mapInArrow(_sieve(block), STEP), "segments")
     firsts = found.where("kind = 2").select("anchor", F.col("segment").alias("block"), "k_id", "k_text", "lo", "hi")
     many = firsts.where("block > 0").select("anchor").distinct().withColumn("many", F.lit(True))
     wanted = firsts.join(many, "anchor", "left").groupBy("k_id", "k_text").agg(
