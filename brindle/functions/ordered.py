@@ -16,14 +16,20 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from brindle.functions.expr import unpivot, with_params
 
+def named(key: str | Column) -> Column:
+    """A key as a string that is never null, so that null is a key like any other in maps and joins."""
+    key = F.col(key) if isinstance(key, str) else key
+    return F.coalesce(F.concat(F.lit("="), key.cast("string")), F.lit("null"))
+
+
 RANGES = 256  # a power of two; raise it when a range still holds too many distinct values
 
 
 def range_edges(df: DataFrame, order: str, key: str, ranges: int = RANGES) -> DataFrame:
     """One row: map key → ascending range edges.  `key` must be a column of few values (a name)."""
     probs = [i / ranges for i in range(1, ranges)]
-    per_key = df.groupBy(key).agg(F.percentile_approx(order, probs, 10 * ranges).alias("_all"))
-    return per_key.agg(F.map_from_entries(F.collect_list(F.struct(key, "_all"))).alias("edges"))
+    per_key = df.groupBy(named(key).alias("_name")).agg(F.percentile_approx(order, probs, 10 * ranges).alias("_all"))
+    return per_key.agg(F.map_from_entries(F.collect_list(F.struct("_name", "_all"))).alias("edges"))
 
 
 def _with_range(df: DataFrame, order: str, key: str, ranges: int, measures: Sequence[str]) -> DataFrame:
@@ -34,7 +40,7 @@ def _with_range(df: DataFrame, order: str, key: str, ranges: int, measures: Sequ
     """
     whole = df.where(reduce(and_, [F.col(m) > -1 for m in measures]))
     edged = with_params(df, range_edges(whole, order, key, ranges), "_e")
-    found = edged.select(*df.columns, F.col("_e.edges")[F.col(key)].alias("_edges"), F.lit(0).alias("_range"))
+    found = edged.select(*df.columns, F.col("_e.edges")[named(key)].alias("_edges"), F.lit(0).alias("_range"))
     step = ranges // 2
     while step:
         above = F.col(order) > F.get("_edges", F.col("_range") + (step - 1))
@@ -48,17 +54,17 @@ def running_totals(hist: DataFrame, order: str, measures: Sequence[str], key: st
 
     `hist` holds one row per (key, order value) and counts; `key` is a column of few values.
     """
-    ranged = _with_range(hist, order, key, ranges, [c for c in hist.columns if c not in (key, order)])
-    sums = ranged.groupBy(key, "_range").agg(*[F.sum(m).alias(f"_{m}") for m in measures])
-    over_ranges = Window.partitionBy(key).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    ranged = _with_range(hist, order, key, ranges, [c for c in hist.columns if c not in (key, order)]).withColumn("_name", named(key))
+    sums = ranged.groupBy("_name", "_range").agg(*[F.sum(m).alias(f"_{m}") for m in measures])
+    over_ranges = Window.partitionBy("_name").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sums.select(
-        key, "_range", *[F.coalesce(F.sum(f"_{m}").over(over_ranges), F.lit(0)).alias(f"_{m}_offset") for m in measures]
+        "_name", "_range", *[F.coalesce(F.sum(f"_{m}").over(over_ranges), F.lit(0)).alias(f"_{m}_offset") for m in measures]
     )
-    inside = Window.partitionBy(key, "_range").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy("_name", "_range").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
     local = ranged.select(
         "*", *[F.coalesce(F.sum(m).over(inside), F.lit(0)).alias(f"_{m}_local") for m in measures]
     )
-    joined = local.join(offsets, [key, "_range"])
+    joined = local.join(offsets, ["_name", "_range"])
     return joined.select(
         *hist.columns, *[(F.col(f"_{m}_offset") + F.col(f"_{m}_local")).alias(f"{m}_before") for m in measures]
     )

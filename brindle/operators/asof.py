@@ -19,11 +19,11 @@ def asof_join(
 ) -> DataFrame:
     """Request columns followed by `values`; null where no feature row is recent enough.
 
-    A feature at exactly the request time counts, and so does one exactly `ttl_seconds` old.  Of rows with
+    A request without an entity finds nothing: null is not a key.  A feature at exactly the request time counts, and so does one exactly `ttl_seconds` old.  Of rows with
     equal entity and feature time the newest `created` wins.  `period` (day, hour, …) sets the group size.
     """
     made = F.col(created) if created else F.col(feature_ts)
-    feats = features.where(F.col(feature_ts).isNotNull()).select(
+    feats = features.where(F.col(feature_ts).isNotNull() & F.col(entity).isNotNull()).select(
         F.col(entity).alias("_entity"), F.date_trunc(period, feature_ts).alias("_period"), F.col(feature_ts).alias("_ts"),
         made.alias("_made"), F.struct(F.col(feature_ts).alias("_feature_ts"), *values).alias("_value"),
     )

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from brindle.functions.expr import ratio, stable_hash, with_params
+from brindle.functions.ordered import named
+from brindle.sources.scratch import cut_lineage
 
 
 def ordinal(column: str, order: Sequence[str], unknown: int = -1, null_as: int | None = None) -> Column:
@@ -15,35 +17,36 @@ def ordinal(column: str, order: Sequence[str], unknown: int = -1, null_as: int |
     return F.when(F.col(column).isNull(), F.lit(0 if null_as is None else null_as)).otherwise(F.coalesce(codes[F.col(column)], F.lit(unknown)))
 
 
-def fit_label(df: DataFrame, column: str, prefix: int = 2) -> DataFrame:
-    """(value, code): alphabetical codes from 0.
+def fit_label(df: DataFrame, column: str) -> DataFrame:
+    """(value, code): alphabetical codes from 0; a null value has none.
 
-    Only distinct values are ordered, prefix by prefix: prefix totals are a small table, and each
-    prefix is ordered on its own.
+    Only distinct values are ordered.  They are dealt into ranges of about equal size by sampling, each range is ordered on its
+    own, and the ranges' sizes, one row each, give the offsets.  The ranges are written once: a second sampling could cut
+    elsewhere.
     """
-    values = df.where(F.col(column).isNotNull()).select(F.col(column).alias("value")).distinct().withColumn("_pre", F.substring("value", 1, prefix))
-    sizes = values.groupBy("_pre").agg(F.count("*").alias("_size"))
-    # one row per leading prefix of the distinct values
-    before = sizes.select("_pre", F.coalesce(F.sum("_size").over(Window.orderBy("_pre").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
-    inside = Window.partitionBy("_pre").orderBy("value")
-    ranked = values.select("_pre", "value", F.row_number().over(inside).alias("_i"))
-    return ranked.join(before, "_pre").select("value", (F.col("_before") + F.col("_i") - 1).cast("int").alias("code"))
+    values = df.where(F.col(column).isNotNull()).select(F.col(column).alias("value")).distinct()
+    dealt = cut_lineage(values.repartitionByRange("value").select("value", F.spark_partition_id().alias("_range")))
+    sizes = dealt.groupBy("_range").agg(F.count("*").alias("_size"))
+    before = sizes.select("_range", F.coalesce(F.sum("_size").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
+    ranked = dealt.select("_range", "value", F.row_number().over(Window.partitionBy("_range").orderBy("value")).alias("_i"))
+    return ranked.join(before, "_range").select("value", (F.col("_before") + F.col("_i") - 1).cast("int").alias("code"))
 
 
 def apply_label(df: DataFrame, codes: DataFrame, column: str, out: str = "code") -> DataFrame:
     return df.join(codes.select(F.col("value").alias(column), F.col("code").alias(out)), column, "left")
 
 
-def learn_categories(df: DataFrame, column: str, max_categories: int = 1000) -> list[str]:
-    """Sorted categories; they become columns, so a column with too many is refused."""
-    found = [r[0] for r in df.where(F.col(column).isNotNull()).select(column).distinct().limit(max_categories + 1).collect()]
-    if len(found) > max_categories:
-        raise ValueError(f"{column} has more than {max_categories} categories; hash it instead")
-    return sorted(found)
+def onehot_sparse(df: DataFrame, codes: DataFrame, column: str) -> DataFrame:
+    """Adds `width` and `slot`: the one-hot row in sparse form, for any number of categories.
+
+    `codes` is what fit_label learned; an unknown or null value has no slot (all zeros).
+    """
+    width = codes.agg(F.count("*").alias("width"))
+    return with_params(apply_label(df, codes, column, "slot"), width).select(*df.columns, F.col("_p.width").alias("width"), "slot")
 
 
 def onehot(df: DataFrame, column: str, categories: Sequence[str], drop_first: bool = False) -> DataFrame:
-    """One 0/1 column per learned category; an unknown value is all zeros."""
+    """One 0/1 column for each declared category; an unknown value is all zeros.  For learned categories see onehot_sparse."""
     kept = categories[1:] if drop_first else categories
     return df.withColumns({f"{column}={c}": F.coalesce((F.col(column) == c).cast("int"), F.lit(0)) for c in kept})
 
@@ -74,14 +77,18 @@ def hash_collisions(df: DataFrame, column: str, sizes: Sequence[int]) -> DataFra
 
 
 def target_oof(df: DataFrame, column: str, target: str, fold: str) -> DataFrame:
-    """Adds `encoded`: mean target of the category over the other folds, the other folds' mean if it is new there."""
-    cells = df.groupBy(column, fold).agg(F.sum(target).alias("_s"), F.count(target).alias("_n"))
-    by_cat = cells.groupBy(column).agg(F.sum("_s").alias("_cs"), F.sum("_n").alias("_cn"))
+    """Adds `encoded`: mean target of the category over the other folds, the other folds' mean if it is new there.
+
+    Null is a category of its own.  A category that holds most rows is summed before the shuffle, one row a fold.
+    """
+    named_ = df.withColumn("_category", named(column))
+    cells = named_.groupBy("_category", fold).agg(F.sum(target).alias("_s"), F.count(target).alias("_n"))
+    by_cat = cells.groupBy("_category").agg(F.sum("_s").alias("_cs"), F.sum("_n").alias("_cn"))
     by_fold = cells.groupBy(fold).agg(F.sum("_s").alias("_fs"), F.sum("_n").alias("_fn"))
     grand = cells.agg(F.sum("_s").alias("s"), F.sum("_n").alias("n"))
-    rest = with_params(cells.join(by_cat, column).join(F.broadcast(by_fold), fold), grand)  # one row per fold
+    rest = with_params(cells.join(by_cat, "_category").join(F.broadcast(by_fold), fold), grand)  # one row per fold
     value = F.coalesce(ratio(F.col("_cs") - F.col("_s"), F.col("_cn") - F.col("_n")), ratio(F.col("_p.s") - F.col("_fs"), F.col("_p.n") - F.col("_fn")))
-    return df.join(rest.select(column, fold, value.alias("encoded")), [column, fold], "left")
+    return named_.join(rest.select("_category", fold, value.alias("encoded")), ["_category", fold], "left").select(*df.columns, "encoded")
 
 
 def cardinality_cost(df: DataFrame, columns: Sequence[str], width: int = 16) -> DataFrame:

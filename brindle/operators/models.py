@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Sequence
 
 from pyspark.ml import Model, Pipeline, PipelineModel
@@ -83,14 +84,20 @@ def evaluate_classifier(scored: DataFrame, label: str, name: str) -> DataFrame:
     return base.select("model", (F.col("tp") + F.col("fp") + F.col("fn") + F.col("tn")).alias("n"), "accuracy", "f1").join(metrics.roc_auc(cut, "_y", "p", "model"), "model")
 
 
-# fixed values: cumulative probabilities of 0…5 draws in a bootstrap sample
-POISSON_1 = (0.36788, 0.73576, 0.91970, 0.98101, 0.99634, 0.99941)
+def poisson_steps() -> list[float]:
+    """Cumulative probabilities of 0, 1, … draws at rate 1, until what is left lies below one step of a 32-bit hash."""
+    steps, term, total = [], math.exp(-1.0), 0.0
+    while 1.0 - total > 2.0**-32:
+        total += term
+        steps.append(total)
+        term /= len(steps)
+    return steps
 
 
 def bootstrap_weight(key: str, tree: int) -> Column:
     """How often a row is drawn for a tree: a Poisson(1) count from the row key's hash."""
     u = stable_hash(key, seed=f"tree{tree}") / float(1 << 32)
-    return sum((u >= p).cast("double") for p in POISSON_1)
+    return F.size(F.filter(F.lit(poisson_steps()), lambda p: u >= p)).cast("double")
 
 
 def bagged_trees(df: DataFrame, key: str, label: str, n_trees: int, depth: int = 8) -> tuple[list[Model], DataFrame]:

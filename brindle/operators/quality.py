@@ -10,11 +10,12 @@ from brindle.functions.expr import ratio, unpivot
 from brindle.functions.ordered import exact_quantiles
 
 
-def null_counts(df: DataFrame, top: int = 12) -> DataFrame:
-    """Columns that have nulls, most first."""
+def null_counts(df: DataFrame, top: int | None = None) -> DataFrame:
+    """Columns that have nulls, most first; all of them unless `top` is given."""
     counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in df.columns])
     rows = counts.unpivot([], df.columns, "column", "nulls").where("nulls > 0")
-    return rows.orderBy(F.desc("nulls"), "column").limit(top)
+    ordered = rows.orderBy(F.desc("nulls"), "column")
+    return ordered if top is None else ordered.limit(top)
 
 
 def describe_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from brindle.functions.expr import stable_hash, with_params
 from brindle.operators.knn import knn_join, topk_against
+from brindle.sources.scratch import cut_lineage
 
 # fixed values: term saturation, length normalization and floor of the lexical score; constant of rank fusion
 K1, B, EPSILON, RRF_K, POOL = 1.5, 0.75, 0.25, 60, 15
@@ -21,11 +22,15 @@ def tokens(text: str | Column) -> Column:
 def term_counts(df: DataFrame, key: str, text: str) -> DataFrame:
     """(key, term, tf).
 
-    Texts are dealt out by key before they are split: the raw text is what crosses the network, and since
-    the rows are already placed by key, counting terms needs no second shuffle.
+    A text is one row, so its terms are counted where it lies; what crosses the network is one row for each of its different
+    terms, never the text.
     """
-    spread = df.select(key, text).repartition(key)
-    return spread.select(key, F.explode(tokens(text)).alias("term")).groupBy(key, "term").agg(F.count("*").alias("tf"))
+    return df.select(key, F.explode(tokens(text)).alias("term")).groupBy(key, "term").agg(F.count("*").alias("tf"))
+
+
+def build_postings(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """The term counts of a corpus, written once: lengths, document frequencies and scores all read the files."""
+    return cut_lineage(term_counts(docs, doc_id, text))
 
 
 def bm25_topk(docs: DataFrame, queries: DataFrame, doc_id: str, query_id: str, text: str, k: int = POOL) -> DataFrame:
@@ -34,8 +39,8 @@ def bm25_topk(docs: DataFrame, queries: DataFrame, doc_id: str, query_id: str, t
     Inverse document frequencies below zero are replaced by a quarter of the vocabulary's mean, which
     needs the document frequency of every term; scoring itself joins only the postings of query terms.
     """
-    postings = term_counts(docs, doc_id, text)
-    lengths = postings.groupBy(doc_id).agg(F.sum("tf").alias("dl"))  # same placement as the postings
+    postings = build_postings(docs, doc_id, text)
+    lengths = postings.groupBy(doc_id).agg(F.sum("tf").alias("dl"))
     n = docs.agg(F.count("*")).scalar()
     corpus = lengths.agg(F.sum("dl").alias("total")).select(n.alias("n"), (F.coalesce("total", F.lit(0)) / n).alias("avgdl"))
     df = with_params(postings.groupBy("term").agg(F.count("*").alias("df")), corpus, "_c")
@@ -114,29 +119,51 @@ def query_detail(marked: DataFrame, queries: DataFrame, query_id: str, k: int) -
     return queries.select(query_id).join(first, query_id, "left").withColumn("reciprocal", F.coalesce(1.0 / F.col("first_rank"), F.lit(0.0)))
 
 
-def hit_rate_mrr(marked: DataFrame, queries: DataFrame, query_id: str, ks: Sequence[int], mode: str = "mode") -> DataFrame:
-    """(mode, k, hit_rate, mrr); a query without a relevant result counts as 0."""
+def hit_rate_mrr(marked: DataFrame, queries: DataFrame, query_id: str, ks: Sequence[int], mode: str = "mode",
+                 modes: Sequence[str] | None = None) -> DataFrame:
+    """(mode, k, hit_rate, mrr); a query without a relevant result counts as 0.
+
+    Name the modes to see one that found nothing at all: it comes with 0 and 0.
+    """
     first = marked.where("relevant").groupBy(mode, query_id).agg((F.min("rank") + 1).alias("first"))
     n = queries.agg(F.countDistinct(query_id).cast("double").alias("n"))
-    modes = marked.select(mode).distinct()
-    per = modes.join(first, mode, "left").select(mode, "first", F.explode(F.array(*[F.lit(k) for k in ks])).alias("k"))
+    found = marked.select(mode).distinct()
+    known = found if modes is None else queries.sparkSession.createDataFrame([(m,) for m in modes], f"{mode} string")
+    per = known.join(first, mode, "left").select(mode, "first", F.explode(F.array(*[F.lit(k) for k in ks])).alias("k"))
     hit = F.coalesce(F.col("first") <= F.col("k"), F.lit(False))
     sums = per.groupBy(mode, "k").agg(F.count_if(hit).alias("h"), F.sum(F.when(hit, 1.0 / F.col("first")).otherwise(0.0)).alias("r"))
     return with_params(sums, n).select(mode, "k", F.round(F.col("h") / F.col("_p.n"), 3).alias("hit_rate"), F.round(F.col("r") / F.col("_p.n"), 3).alias("mrr"))
 
 
 def verbatim_matches(docs: DataFrame, passages: DataFrame, doc_id: str, passage_id: str, text: str, run: int = 5) -> DataFrame:
-    """(passage, doc) where the document contains the passage word for word.
+    """(passage, doc) where the document contains the passage, letter by letter, blanks included.
 
-    Candidates share the run of tokens after the passage's first one; containment is then checked on the
-    whole texts.  Passages shorter than the run plus two tokens are not looked up.
+    Candidates share an anchor; containment is then checked on the whole texts.  The anchor is the longest run of tokens, `run`
+    at most, after the passage's first token and before its last, for those two may be parts of longer words.  A passage of one
+    or two tokens has its first three letters (or as many as it has) as its anchor.  Documents are cut only into the lengths that
+    some passage needs.  An empty passage is contained in nothing here; null texts match nothing.
     """
-    t = tokens(text)
-    anchors = passages.where(F.size(t) >= run + 2).select(passage_id, F.col(text).alias("_passage"), F.array_join(F.slice(t, 2, run), " ").alias("_run"))
-    runs = F.transform(F.sequence(F.lit(1), F.size("_t") - run + 1), lambda i: F.array_join(F.slice("_t", i, run), " "))
-    shingled = docs.select(doc_id, F.col(text).alias("_text"), t.alias("_t")).where(F.size("_t") >= run)
-    candidates = shingled.select(doc_id, F.explode(F.array_distinct(runs)).alias("_run")).join(anchors.select(passage_id, "_run"), "_run").select(doc_id, passage_id).distinct()
-    full = candidates.join(docs.select(doc_id, F.col(text).alias("_text")), doc_id).join(anchors.select(passage_id, "_passage"), passage_id)
+    t, low = tokens(text), F.lower(text)
+    inner = F.least(F.size(t) - 2, F.lit(run))
+    by_words = F.struct(inner.alias("words"), F.lit(0).alias("letters"), F.array_join(F.slice(t, 2, F.greatest(inner, F.lit(1))), " ").alias("anchor"))
+    letters = F.least(F.length(text), F.lit(3))
+    by_letters = F.struct(F.lit(0).alias("words"), letters.alias("letters"), F.substring(low, F.lit(1), letters).alias("anchor"))
+    wanted = passages.where(F.length(text) > 0).select(passage_id, F.col(text).alias("_passage"), F.when(inner > 0, by_words).otherwise(by_letters).alias("_a"))
+    lengths = wanted.agg(F.collect_set("_a.words").alias("words"), F.collect_set("_a.letters").alias("letters"))
+    shown = with_params(docs.where(F.col(text).isNotNull()).select(doc_id, F.col(text).alias("_text"), t.alias("_t"), low.alias("_low")), lengths, "_n")
+
+    def cut(n: Column, size: Column, piece, words: Column, letters: Column) -> Column:
+        whole = F.sequence(F.lit(1), F.greatest(size - n + 1, F.lit(1)))
+        made = F.transform(whole, lambda i: F.struct(words.alias("words"), letters.alias("letters"), piece(i, n).alias("anchor")))
+        return F.when((n > 0) & (size >= n), made).otherwise(F.array().cast("array<struct<words:int,letters:int,anchor:string>>"))
+
+    zero = F.lit(0)
+    word_runs = F.flatten(F.transform("_n.words", lambda n: cut(n, F.size("_t"), lambda i, m: F.array_join(F.slice("_t", i, m), " "), n, zero)))
+    letter_runs = F.flatten(F.transform("_n.letters", lambda n: cut(n, F.length("_low"), lambda i, m: F.substring("_low", i, m), zero, n)))
+    pieces = shown.select(doc_id, F.explode(F.array_distinct(F.concat(word_runs, letter_runs))).alias("_p")).select(doc_id, "_p.*")
+    anchors = wanted.select(passage_id, "_a.*")
+    candidates = pieces.join(anchors, ["words", "letters", "anchor"]).select(doc_id, passage_id).distinct()
+    full = candidates.join(docs.select(doc_id, F.col(text).alias("_text")), doc_id).join(wanted.select(passage_id, "_passage"), passage_id)
     return full.where(F.contains("_text", "_passage")).select(passage_id, doc_id)
 
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from brindle.functions.expr import stable_hash
-from brindle.functions.ordered import running_totals
+from brindle.functions.ordered import named, running_totals
 
 _SCALE = 10_000
 
@@ -31,17 +31,17 @@ def stratified_split(df: DataFrame, key: Sequence[str], strata: str, fraction: f
 
     A class may hold most of the table, so its rows are never ranked in one task: hash values are counted,
     placed by range, and the rows look up how many come before their hash value.  Rows that share a hash
-    value (32 bits) are ordered by key inside that small tie group.
+    value (32 bits) are ordered by key inside that small tie group.  A null class is a class of its own.
     """
-    hashed = df.withColumn("_h", stable_hash(*key, seed=seed))
-    hist = hashed.groupBy(strata, "_h").agg(F.count("*").alias("_n"))
-    placed = running_totals(hist, "_h", ["_n"], key=strata)
-    size = hist.groupBy(strata).agg(F.sum("_n").alias("_size"))
-    ties = Window.partitionBy(strata, "_h").orderBy(*key)
+    hashed = df.withColumn("_h", stable_hash(*key, seed=seed)).withColumn("_class", named(strata))
+    hist = hashed.groupBy("_class", "_h").agg(F.count("*").alias("_n"))
+    placed = running_totals(hist, "_h", ["_n"], key="_class")
+    size = hist.groupBy("_class").agg(F.sum("_n").alias("_size"))
+    ties = Window.partitionBy("_class", "_h").orderBy(*key)
     ranked = (
         hashed.withColumn("_tie", F.row_number().over(ties))
-        .join(placed.drop("_n"), [strata, "_h"])
-        .join(F.broadcast(size), strata)  # one row per class
+        .join(placed.drop("_n"), ["_class", "_h"])
+        .join(size, "_class")  # one row per class: broadcast if the optimizer finds it small
     )
     test = F.col("_n_before") + F.col("_tie") <= F.floor(F.col("_size") * fraction)
     return ranked.select(*df.columns, F.when(test, "test").otherwise("train").alias("split"))

@@ -14,10 +14,17 @@ def mean_median(forecasts: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def inverse_rmse_weights(validation: DataFrame, by: Sequence[str]) -> DataFrame:
-    """(by…, model, weight): weights ∝ 1 / RMSE on validation rows (y, yhat), summing to 1."""
+    """(by…, model, weight): weights ∝ 1 / RMSE on validation rows (y, yhat), summing to 1.
+
+    Models without any error share all the weight; the others then get 0.
+    """
     e = F.col("y") - F.col("yhat")
-    inv = validation.groupBy(*by, "model").agg(F.try_divide(F.lit(1.0), F.sqrt(F.avg(e * e))).alias("_i"))
-    return inv.select(*by, "model", (F.col("_i") / F.sum("_i").over(Window.partitionBy(*by))).alias("weight"))
+    rmse = validation.groupBy(*by, "model").agg(F.sqrt(F.avg(e * e)).alias("_e"))
+    group = Window.partitionBy(*by)
+    perfect = F.count_if(F.col("_e") == 0).over(group)
+    inverse = F.try_divide(F.lit(1.0), F.col("_e"))
+    weight = F.when(perfect > 0, (F.col("_e") == 0).cast("double") / perfect).otherwise(inverse / F.sum(inverse).over(group))
+    return rmse.select(*by, "model", weight.alias("weight"))
 
 
 def weighted(forecasts: DataFrame, weights: DataFrame, keys: Sequence[str], by: Sequence[str]) -> DataFrame:

@@ -239,7 +239,8 @@ def next_feature_columns() -> list[Column]:
 def recursive_forecast(model, history: DataFrame, series: str, day: str, y: str, h: int, cut_every: int = 10) -> DataFrame:
     """Feed each prediction back as history, h times, for all series at once.
 
-    The state is one row per series: its last 365 values.  `model` turns the training matrix's columns
+    The state is one row per series: its last 365 values.  A series shorter than that has no features to forecast from; it does
+    not stop the others and comes back with null forecasts.  `model` turns the training matrix's columns
     into `prediction`; the plan is cut every few steps so it does not grow with h.
     """
     keep = max(LAGS)
@@ -247,6 +248,8 @@ def recursive_forecast(model, history: DataFrame, series: str, day: str, y: str,
         F.transform(F.sort_array(F.collect_list(F.struct(day, y))), lambda s: s[y]).alias("hist"), F.max(day).alias("_last"), F.count("*").cast("int").alias("t_next"),
     ).select(series, F.slice("hist", F.greatest(F.size("hist") - keep + 1, F.lit(1)), keep).alias("hist"), F.date_add("_last", 1).alias("day_next"), "t_next",
              F.array().cast("array<double>").alias("out"))
+    short = state.where(F.size("hist") < keep).select(series, F.explode(F.sequence(F.lit(1), F.lit(h))).alias("h"), F.lit(None).cast("double").alias("yhat"))
+    state = state.where(F.size("hist") >= keep)
     features = next_feature_columns()
     for step in range(h):
         scored = model.transform(state.select("*", *features))
@@ -255,7 +258,7 @@ def recursive_forecast(model, history: DataFrame, series: str, day: str, y: str,
             (F.col("t_next") + 1).alias("t_next"), F.concat("out", F.array("prediction")).alias("out"))
         if (step + 1) % cut_every == 0 and step + 1 < h:
             state = cut_lineage(state)
-    return state.select(series, F.posexplode("out").alias("_i", "yhat")).select(series, (F.col("_i") + 1).alias("h"), "yhat")
+    return state.select(series, F.posexplode("out").alias("_i", "yhat")).select(series, (F.col("_i") + 1).alias("h"), "yhat").union(short)
 
 
 def direct_targets(matrix: DataFrame, series: str, day: str, y: str, h: int) -> DataFrame:

@@ -39,8 +39,14 @@ def ordinal_signal(spark, sf):
 @query("encode_onehot", "SELECT c_custkey, " + ", ".join(f"""(c_mktsegment = '{s}')::INTEGER AS "c_mktsegment={s}" """ for s in SEGMENTS) + " FROM customer")
 def encode_onehot(spark, sf):
     cust = table(spark, sf, "customer").select("c_custkey", "c_mktsegment")
-    train = cust.where(~splits.in_test(["c_custkey"], 0.2))
-    return encode.onehot(cust, "c_mktsegment", encode.learn_categories(train, "c_mktsegment")).drop("c_mktsegment")
+    return encode.onehot(cust, "c_mktsegment", SEGMENTS).drop("c_mktsegment")
+
+
+@query("encode_onehot_sparse", """SELECT p_partkey, (SELECT count(DISTINCT p_name) FROM part) AS width, (dense_rank() OVER (ORDER BY p_name) - 1)::INTEGER AS slot FROM part""")
+def encode_onehot_sparse(spark, sf):
+    """One-hot rows of a column with very many categories."""
+    part = table(spark, sf, "part").select("p_partkey", "p_name")
+    return encode.onehot_sparse(part, encode.fit_label(part, "p_name"), "p_name").drop("p_name")
 
 
 @query("encode_hashing", "SELECT p_partkey, " + ", ".join(

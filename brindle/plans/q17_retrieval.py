@@ -239,11 +239,11 @@ def relevance_by_prefix(spark, sf):
     return retrieval.mark_relevant(results, accepted, "item_id")
 
 
-@query("hit_rate_mrr", f"""WITH {_EV}, a AS (SELECT mode, k, count(*) FILTER (first <= k) AS h, coalesce(sum(1.0::DOUBLE / first) FILTER (first <= k), 0) AS r FROM (SELECT DISTINCT mode FROM runs) LEFT JOIN fr USING (mode), (SELECT unnest([1, 3, 5]) AS k) GROUP BY 1, 2)
+@query("hit_rate_mrr", f"""WITH {_EV}, a AS (SELECT mode, k, count(*) FILTER (first <= k) AS h, coalesce(sum(1.0::DOUBLE / first) FILTER (first <= k), 0) AS r FROM (VALUES ('dense'), ('bm25'), ('hybrid')) AS modes(mode) LEFT JOIN fr USING (mode), (SELECT unnest([1, 3, 5]) AS k) GROUP BY 1, 2)
 SELECT mode, """ + ", ".join(f"round(max(h) FILTER (k = {k}) / (SELECT count(*) FROM benchmark)::DOUBLE, 3) AS hit_{k}, round(max(r) FILTER (k = {k}) / (SELECT count(*) FROM benchmark)::DOUBLE, 3) AS mrr_{k}" for k in (1, 3, 5)) + " FROM a GROUP BY 1")
 def hit_rate_mrr(spark, sf):
     results, accepted = _modes(spark, sf)
-    scores = retrieval.hit_rate_mrr(retrieval.mark_relevant(results, accepted, "item_id"), table(spark, sf, "benchmark"), "item_id", [1, 3, 5])
+    scores = retrieval.hit_rate_mrr(retrieval.mark_relevant(results, accepted, "item_id"), table(spark, sf, "benchmark"), "item_id", [1, 3, 5], modes=["dense", "bm25", "hybrid"])
     wide = scores.groupBy("mode").pivot("k", [1, 3, 5]).agg(F.first("hit_rate").alias("hit"), F.first("mrr").alias("mrr"))
     return wide.select("mode", *[F.col(f"{k}_{m}").alias(f"{m}_{k}") for k in (1, 3, 5) for m in ("hit", "mrr")])
 

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 
@@ -46,13 +45,10 @@ def read_text_docs(spark: SparkSession, path: str) -> DataFrame:
 
 
 def exists(spark: SparkSession, path: str) -> bool:
-    """True when the folder holds data of a finished write."""
-    try:
-        return spark.read.format("binaryFile").load(path).select("path").limit(1).count() == 1
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return False
-        raise
+    """True when the folder holds a finished write: the marker that the committer leaves last, on whatever store it lies."""
+    jvm = spark.sparkContext._jvm
+    marker = jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS")
+    return marker.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(marker)
 
 
 def csv_cache(spark: SparkSession, path: str, build: Callable[[], DataFrame], schema: T.StructType | str) -> DataFrame:

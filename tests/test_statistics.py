@@ -112,8 +112,29 @@ def test_encodings(spark):
     many = spark.createDataFrame([(f"v{i}",) for i in range(40)], "c string")
     row = encode.hash_collisions(many, "c", [8]).first()
     assert row["categories"] == 40 and row["buckets"] <= 8 and row["collisions"] == 40 - row["buckets"]
-    with pytest.raises(ValueError):
-        encode.learn_categories(many, "c", 10)
+    wide = spark.createDataFrame([(f"v{i:05d}",) for i in range(3000)] + [(None,), ("new",)], "c string")
+    codes = encode.fit_label(wide.where("c <> 'new'"), "c")
+    sparse = encode.onehot_sparse(wide, codes, "c").collect()
+    assert {(r["c"], r["width"], r["slot"]) for r in sparse} == {(f"v{i:05d}", 3000, i) for i in range(3000)} | {(None, 3000, None), ("new", 3000, None)}
+
+
+def test_null_keys_are_keys_like_any_other(spark):
+    rows = [(i, None if i % 3 == 0 else "ab"[i % 2], float(i), i % 2) for i in range(60)]
+    df = spark.createDataFrame(rows, "id bigint, c string, y double, fold int")
+    split = splits.stratified_split(df, ["id"], "c", 0.25).collect()
+    assert len(split) == 60
+    tests = [r["c"] for r in split if r["split"] == "test"]
+    assert {c: tests.count(c) for c in (None, "a", "b")} == {None: 5, "a": 5, "b": 5}
+    found = {r["id"]: r["encoded"] for r in encode.target_oof(df, "c", "y", "fold").collect()}
+    for i, c, _, fold in rows:
+        other = [y for _, d, y, f in rows if d == c and f != fold]
+        rest = other or [y for *_, y, f in rows if f != fold]
+        assert found[i] == pytest.approx(sum(rest) / len(rest))
+
+
+def test_null_counts_names_every_column(spark):
+    df = spark.range(3).select(*[F.lit(None).cast("int").alias(f"c{i}") for i in range(20)])
+    assert quality.null_counts(df).count() == 20 and quality.null_counts(df, 5).count() == 5
 
 
 def test_target_encoding_never_uses_its_own_fold(spark):
