@@ -1,30 +1,38 @@
-"""Shared scratch space.  A cluster names it in spark.checkpoint.dir; it must be reachable by all executors."""
+"""Shared scratch space, in the folder a cluster names in spark.checkpoint.dir; all executors must reach it."""
 
 from __future__ import annotations
 
-import tempfile
+import atexit
+import shutil
 import uuid
+from urllib.parse import urlparse
 
 from pyspark.sql import DataFrame, SparkSession
 
+_LOCAL: set[str] = set()
+
 
 def scratch_root(spark: SparkSession) -> str:
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    current = spark.sparkContext.getCheckpointDir()
-    if current:
-        return current.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-    path = tempfile.mkdtemp(prefix="brindle-")  # local mode only: driver and executors are one process
-    spark.sparkContext.setCheckpointDir(path)
-    return path
+    """spark.checkpoint.dir, or where that is unset the warehouse folder, which a session's executors share as well."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    root = (named or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
+    return f"{root}/brindle/{spark.sparkContext.applicationId}"
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh folder name below the shared root."""
-    return f"{scratch_root(spark)}/brindle/{label}-{uuid.uuid4().hex}"
+    """A fresh folder name below the application's own root."""
+    root = scratch_root(spark)
+    if spark.sparkContext.master.startswith("local[") and urlparse(root).scheme in ("", "file"):
+        if not _LOCAL:
+            atexit.register(lambda: [shutil.rmtree(p, ignore_errors=True) for p in _LOCAL])
+        _LOCAL.add(urlparse(root).path)
+    return f"{root}/{label}-{uuid.uuid4().hex}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete all stages of this application.  A job calls it when its results are written."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(scratch_root(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

@@ -5,53 +5,72 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from brindle.operators.featurestore import FeatureView, merge_snapshot
+from brindle.sources.files import exists
 from brindle.sources.scratch import scratch_path
 
 
 class SnapshotSink:
     """Newest row per entity, rewritten by every micro-batch under the batch's own number.
 
-    A batch that runs again after a failure reads the snapshot before it and writes the same folder again,
-    so nothing is applied twice.
+    A batch that runs again after a failure reads the last finished snapshot before it and writes the same folder again, so
+    nothing is applied twice.  State is found on disk, so a new process goes on where the last one stopped.  The snapshot before
+    the newest is kept for such a rerun; older ones go.
     """
 
     def __init__(self, spark: SparkSession, view: FeatureView, root: str, schema):
         self.spark, self.view, self.root, self.schema = spark, view, root, schema
-        self.current: int | None = None
 
     def path(self, batch: int) -> str:
         return f"{self.root}/batch={batch:08d}"
 
+    def batches(self) -> list[int]:
+        """Numbers of the finished snapshots."""
+        jvm = self.spark.sparkContext._jvm
+        folder = jvm.org.apache.hadoop.fs.Path(self.root)
+        fs = folder.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        if not fs.exists(folder):
+            return []
+        names = [f.getPath().getName() for f in fs.listStatus(folder)]
+        return sorted(n for n in (int(x[6:]) for x in names if x.startswith("batch=")) if exists(self.spark, self.path(n)))
+
+    def before(self, batch: int | None = None) -> DataFrame:
+        done = [n for n in self.batches() if batch is None or n < batch]
+        return self.spark.read.schema(self.schema).parquet(self.path(done[-1])) if done else self.spark.createDataFrame([], self.schema)
+
     def read(self) -> DataFrame:
-        if self.current is None:
-            return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(self.path(self.current))
+        return self.before()
 
     def __call__(self, delta: DataFrame, batch: int) -> None:
-        spark = delta.sparkSession
-        before = spark.createDataFrame([], self.schema) if batch == 0 else spark.read.schema(self.schema).parquet(self.path(batch - 1))
-        merge_snapshot(before, delta, self.view).write.mode("overwrite").parquet(self.path(batch))
-        self.current = batch
+        merge_snapshot(self.before(batch), delta, self.view).write.mode("overwrite").parquet(self.path(batch))
+        jvm = self.spark.sparkContext._jvm
+        for old in [n for n in self.batches() if n < batch][:-1]:
+            path = jvm.org.apache.hadoop.fs.Path(self.path(old))
+            path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def stream_materialize(spark: SparkSession, source: str, schema, view: FeatureView, files_per_batch: int = 2) -> DataFrame:
-    """Run over all history files there are, batch by batch, and return the final snapshot."""
-    sink = SnapshotSink(spark, view, scratch_path(spark, "snapshot"), schema)
+def stream_materialize(spark: SparkSession, source: str, schema, view: FeatureView, files_per_batch: int = 2, snapshot: str | None = None, offsets: str | None = None) -> DataFrame:
+    """Run over all history files there are, batch by batch, and return the newest snapshot.
+
+    Give `snapshot` and `offsets`, folders that outlive the job, and the next call reads only files that came since; without them
+    the run starts from nothing.
+    """
+    sink = SnapshotSink(spark, view, snapshot or scratch_path(spark, "snapshot"), schema)
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(source)
-    query = stream.writeStream.foreachBatch(sink).option("checkpointLocation", scratch_path(spark, "offsets")).trigger(availableNow=True).start()
+    query = stream.writeStream.foreachBatch(sink).option("checkpointLocation", offsets or scratch_path(spark, "offsets")).trigger(availableNow=True).start()
     query.awaitTermination()
     return sink.read()
 
 
-def stream_resample(spark: SparkSession, source: str, schema, ts: str, key: str, value: str, window: str = "1 hour", delay: str = "2 hours") -> DataFrame:
-    """Mean per event-time window; only windows the watermark has passed are written."""
-    out = scratch_path(spark, "windows")
+def stream_resample(spark: SparkSession, source: str, schema, ts: str, key: str, value: str, window: str = "1 hour", delay: str = "2 hours",
+                    target: str | None = None, offsets: str | None = None) -> DataFrame:
+    """Mean per event-time window; only windows the watermark has passed are written.  Lasting folders let it resume."""
+    out = target or scratch_path(spark, "windows")
     # watermarks need a zoned timestamp; the session's zone is used both ways
     stream = spark.readStream.schema(schema).parquet(source).withColumn(ts, F.col(ts).cast("timestamp"))
     means = (
         stream.withWatermark(ts, delay).groupBy(F.window(ts, window).alias("w"), key).agg(F.avg(value).alias("y"), F.count("*").alias("n"))
         .select(key, F.col("w.start").cast("timestamp_ntz").alias("ts"), "y", "n")
     )
-    query = means.writeStream.format("parquet").option("path", out).option("checkpointLocation", scratch_path(spark, "offsets")).outputMode("append").trigger(availableNow=True).start()
+    query = means.writeStream.format("parquet").option("path", out).option("checkpointLocation", offsets or scratch_path(spark, "offsets")).outputMode("append").trigger(availableNow=True).start()
     query.awaitTermination()
     return spark.read.schema(means.schema).parquet(out)

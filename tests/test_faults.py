@@ -72,3 +72,28 @@ def test_unfinished_write_is_not_taken_for_finished(spark, tmp_path):
 def test_bootstrap_steps_reach_the_end():
     steps = poisson_steps()
     assert steps[0] == pytest.approx(0.36787944117144233) and 1 - steps[-1] < 2**-32 and steps == sorted(steps)
+
+
+def test_stream_stops_and_resumes(spark, tmp_path):
+    from brindle.operators.featurestore import FeatureView
+    from brindle.streaming.jobs import stream_materialize
+
+    view = FeatureView("v", "user_id", {"clicks": "bigint"}, ttl_seconds=60)
+    schema = "user_id bigint, event_timestamp timestamp_ntz, created timestamp_ntz, clicks bigint"
+    t = dt.datetime(2024, 1, 1)
+
+    def put(rows):
+        spark.createDataFrame([(u, t + dt.timedelta(hours=h), t, c) for u, h, c in rows], schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+
+    folders = {"snapshot": str(tmp_path / "snap"), "offsets": str(tmp_path / "off")}
+    empty = spark.createDataFrame([], schema).schema
+    put([(1, 5, 50), (2, 1, 10)])
+    first = stream_materialize(spark, str(tmp_path / "in"), empty, view, 1, **folders)
+    assert {(r["user_id"], r["clicks"]) for r in first.collect()} == {(1, 50), (2, 10)}
+    again = stream_materialize(spark, str(tmp_path / "in"), empty, view, 1, **folders)  # nothing new: the snapshot stands
+    assert again.count() == 2
+    put([(1, 4, 40), (3, 1, 7)])  # an older event never overwrites
+    put([(2, 9, 90)])
+    last = stream_materialize(spark, str(tmp_path / "in"), empty, view, 1, **folders)
+    assert {(r["user_id"], r["clicks"]) for r in last.collect()} == {(1, 50), (2, 90), (3, 7)}
+    assert len(list((tmp_path / "snap").glob("batch=*"))) <= 2
