@@ -42,7 +42,7 @@ def document_data(spark, sf):
         "doc_id", "lang", F.length("text").cast("double").alias("n_chars"), n.alias("n_words"), (F.size(F.array_distinct(words)) / n).alias("distinct_share"), (chars / n).alias("mean_word"),
         (F.length(F.regexp_replace("text", r"[^\p{Lu}]", "")) / chars).alias("upper_share"), (F.length(F.regexp_replace("text", r"[^0-9]", "")) / chars).alias("digit_share"),
         F.size(F.split("text", "\n")).cast("double").alias("lines"))
-    df = kfold(docs.join(table(spark, sf, "labels"), "doc_id").withColumn("label", F.col("quality").cast("double")), ["doc_id"], 3)
+    df = kfold(docs.join(table(spark, sf, "labels"), "doc_id").withColumn("label", F.col("quality").cast("double")), ["doc_id"], 5)
     train, test = df.where(~in_test(["doc_id"], 0.25)), df.where(in_test(["doc_id"], 0.25))
     prep = models.preprocess(DOC_NUM, ["lang"]).fit(train)
     keep = ["doc_id", "label", "features", "fold"]
@@ -139,17 +139,17 @@ def lasso_select(spark, sf):
 @query("tree_importance_rank")
 def tree_importance_rank(spark, sf):
     train, _ = regression_data(spark, sf)
-    return models.importances(spark, RandomForestRegressor(numTrees=20, maxDepth=6, seed=0).fit(train), NUM)
+    return models.importances(spark, RandomForestRegressor(numTrees=200, maxDepth=6, seed=0).fit(train), NUM)
 
 
-@query("fit_transform_per_fold")
-def fit_transform_per_fold(spark, sf):
+@query("fit_transform_pipeline")
+def fit_transform_pipeline(spark, sf):
     """Preparation and model refitted inside every fold; a category new to a fold is all zeros."""
     df = base.sales(spark, sf).select("row_id", *NUM, "p_brand", "p_type", F.log1p("l_extendedprice").alias("label"))
-    df = kfold(df, ["row_id"], 3).persist()
+    df = kfold(df, ["row_id"], 5).persist()
     pipe = Pipeline(stages=[models.preprocess(NUM, ["p_brand", "p_type"]), LinearRegression(solver="normal")])
     score = lambda d: metrics.regression_metrics(d, "label", "prediction").select("rmse", "r2")
-    return models.mean_sd(models.cross_validate(df, "fold", 3, pipe.fit, score), ["rmse", "r2"])
+    return models.mean_sd(models.cross_validate(df, "fold", 5, pipe.fit, score), ["rmse", "r2"])
 
 
 def _classifier_report(spark, sf, estimator, name):
@@ -170,12 +170,12 @@ def decision_tree(spark, sf):
 
 @query("random_forest")
 def random_forest(spark, sf):
-    return _classifier_report(spark, sf, RandomForestClassifier(numTrees=30, featureSubsetStrategy="sqrt", seed=0), "forest")
+    return _classifier_report(spark, sf, RandomForestClassifier(numTrees=300, featureSubsetStrategy="sqrt", seed=0), "forest")
 
 
 @query("gradient_boosting")
 def gradient_boosting(spark, sf):
-    return _classifier_report(spark, sf, GBTClassifier(maxIter=15, maxDepth=4, stepSize=0.1, subsamplingRate=0.9, seed=0), "boosting")
+    return _classifier_report(spark, sf, GBTClassifier(maxIter=100, maxDepth=4, stepSize=0.1, subsamplingRate=0.9, seed=0), "boosting")
 
 
 @query("gradient_boosting_regressor")
@@ -211,14 +211,14 @@ def kernel_svm(spark, sf):
 def mlp_classifier(spark, sf):
     train, test = document_data(spark, sf)
     dims = train.first()["features"].size
-    model = MultilayerPerceptronClassifier(layers=[dims, 64, 32, 2], maxIter=60, seed=0).fit(train)
+    model = MultilayerPerceptronClassifier(layers=[dims, 64, 32, 2], maxIter=100, seed=0).fit(train)
     return models.evaluate_classifier(models.score_all({"m": model}, test, ["label"]).withColumnRenamed("p_m", "p"), "label", "mlp")
 
 
 BASES = {
     "logistic": lambda d: LogisticRegression(maxIter=50).fit(d),
     "tree": lambda d: DecisionTreeClassifier(maxDepth=5, seed=0).fit(d),
-    "forest": lambda d: RandomForestClassifier(numTrees=15, seed=0).fit(d),
+    "forest": lambda d: RandomForestClassifier(numTrees=300, seed=0).fit(d),
 }
 
 
@@ -253,7 +253,7 @@ def _meta_report(bases, meta, test, name):
 @query("stacking_oof")
 def stacking_oof(spark, sf):
     train, test = document_data(spark, sf)
-    bases, meta = models.stack(train, BASES, "label", "fold", 3, ["doc_id", "label"])
+    bases, meta = models.stack(train, BASES, "label", "fold", 5, ["doc_id", "label"])
     return _meta_report(bases, meta, test, "stacking")
 
 
@@ -271,8 +271,8 @@ def blending(spark, sf):
 def grid_search_cv(spark, sf):
     train, _ = document_data(spark, sf)
     lr = LogisticRegression(maxIter=30)
-    grid = ParamGridBuilder().addGrid(lr.regParam, [0.001, 0.1]).addGrid(lr.elasticNetParam, [0.0, 0.5]).build()
-    cv = CrossValidator(estimator=lr, estimatorParamMaps=grid, evaluator=BinaryClassificationEvaluator(), numFolds=3, seed=0, parallelism=4).fit(train)
+    grid = ParamGridBuilder().addGrid(lr.regParam, [0.0001, 0.001, 0.01, 0.1]).addGrid(lr.elasticNetParam, [0.0, 0.33, 0.67, 1.0]).build()
+    cv = CrossValidator(estimator=lr, estimatorParamMaps=grid, evaluator=BinaryClassificationEvaluator(), numFolds=5, seed=0, parallelism=4).fit(train)
     rows = [(float(p[lr.regParam]), float(p[lr.elasticNetParam]), float(s)) for p, s in zip(grid, cv.avgMetrics)]
     best = max(r[2] for r in rows)
     return spark.createDataFrame([(a, b, s, s == best) for a, b, s in rows], "reg_param double, elastic_net double, auc double, best boolean")
@@ -297,5 +297,5 @@ def training_set_end_to_end(spark, sf):
     rows = joined.join(frame.select("event_id", F.log1p("value").alias("label")), "event_id").na.drop()
     cols = ["clicks", "purchases", "conversion_rate"]
     data = VectorAssembler(inputCols=cols, outputCol="features").transform(rows.select("event_id", "label", *[F.col(c).cast("double").alias(c) for c in cols])).persist()
-    model = RandomForestRegressor(numTrees=20, maxDepth=4, seed=42).fit(data.where(~in_test(["event_id"], 0.2)))
+    model = RandomForestRegressor(numTrees=300, maxDepth=10, seed=42).fit(data.where(~in_test(["event_id"], 0.2)))
     return metrics.regression_metrics(model.transform(data.where(in_test(["event_id"], 0.2))), "label", "prediction")

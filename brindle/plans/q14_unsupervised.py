@@ -26,7 +26,7 @@ def user_points(spark, sf):
     return VectorAssembler(inputCols=["n", "price"], outputCol="features").transform(z)
 
 
-def _best_kmeans(rows, k, seeds=(0, 1, 2)):
+def _best_kmeans(rows, k, seeds=range(10)):
     fits = [KMeans(k=k, seed=s).fit(rows) for s in seeds]
     return min(fits, key=lambda m: m.summary.trainingCost)
 
@@ -113,7 +113,7 @@ def event_points(spark, sf):
 
 def _forest_scores(spark, sf):
     pts = event_points(spark, sf)
-    return isoforest.score(pts, isoforest.fit_forest(pts, "event_id", ["v", "k"], trees=100), ["v", "k"])
+    return isoforest.score(pts, isoforest.fit_forest(pts, "event_id", ["v", "k"], trees=200), ["v", "k"])
 
 
 @query("isolation_forest")
