@@ -141,7 +141,8 @@ def fit_rules(voted: DataFrame, rounds: int = 30, tolerance: float = 1e-3) -> Ru
     round is one aggregation over that table; three pairs of sums for each rule reach the driver.  Rounding keeps reruns equal.
     """
     names = list(rules())
-    patterns = staged(voted.where(~base_failed()).groupBy("votes").agg(F.count("*").alias("n")), "patterns").coalesce(1)
+    counted = staged(voted.groupBy("votes", base_failed().alias("failed")).agg(F.count("*").alias("n")), "patterns")
+    patterns = counted.where("not failed").drop("failed").coalesce(1)
     model = RuleModel(0.85, dict.fromkeys(names, 0.02), dict.fromkeys(names, 0.3))
     for _ in range(rounds):
         q = patterns.select("n", F.round(model.posterior(), 9).cast("decimal(12,9)").alias("q"), F.posexplode("votes").alias("rule", "vote"))
@@ -172,6 +173,11 @@ def judge(voted: DataFrame, model: RuleModel, threshold: float = 0.5) -> DataFra
 
 
 def keep_good(docs: DataFrame, text: str = "text", threshold: float = 0.5) -> DataFrame:
-    """The documents judged good, with their own columns only.  Two passes over the texts, no shuffle of them."""
+    """The documents judged good, with their own columns only.  Two passes over the texts, no shuffle of them.
+
+    The verdict passes through a one-element array: a plain filter would be pushed below the projections, and all statistics
+    would be worked out anew at each place that names them.
+    """
     voted = votes(text_stats(docs, text))
-    return judge(voted, fit_rules(voted), threshold).where("kept").select("row.*")
+    judged = judge(voted, fit_rules(voted), threshold).select(F.explode(F.array(F.struct("row", "kept"))).alias("j"))
+    return judged.where("j.kept").select("j.row.*")
