@@ -1,13 +1,14 @@
 """Language-model scoring with a hashed maximum-entropy model.
 
 The next token's class is a softmax over CLASSES, whose scores are sums of weight rows picked by hashed features of the tokens
-before it: the words one to four places back (the skips) and the last two together (the n-gram).  The most frequent tokens are
+before it: the words one, two and three places back (the skips) and the last two together (the n-gram).  The most frequent tokens are
 classes of their own; all others share classes by their last letters, and inside a class a word has its smoothed relative
 frequency.  So every token has a probability, known or not.
 
 Word counts cover all training text.  The most frequent HEAD words travel with the tasks; all others are met in one join by
 hash, and none of those is frequent, so no key is hot.  Training is distributed gradient descent: each task walks its texts in
-small batches, and rows of weights are averaged over tasks by how often each was used; then the next round starts from there.
+small batches, each step moves two of the features' tables in turn, and rows of weights are averaged over tasks by how often
+each was used; then the next round starts from there.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from __future__ import annotations
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -26,17 +28,18 @@ from brindle.llm.compression_quality import remainder
 from brindle.llm.shingles import mix
 
 END = b" "  # no word can be a blank
-SINGLE = 64  # classes of one frequent token each
-SHARED = 64  # classes by the last letters
+SINGLE = 32  # classes of one frequent token each
+SHARED = 32  # classes by the last letters
 CLASSES = SINGLE + SHARED
 HEAD = 65_536  # words whose counts travel with the tasks: a few megabytes
 NAMED = 4_096  # words that are features under their own name; others stand for their class
-FEATURES = 5
-BUCKETS = 4_096  # hashed rows of weights for each feature
+FEATURES = 4
+MOVED = 2  # features whose tables a step moves
+BUCKETS = 4_096  # hashed rows of weights for each feature; a power of two
 ROUNDS = 2  # each sees its own part of the training documents, all of them once
-BATCH = 2_048  # tokens of a gradient step
+BATCH = 4_096  # tokens of a gradient step
 BLOCK = 8_192  # tokens scored at once
-RATE = 0.5
+RATE = 1.0
 SMOOTH = 0.1
 
 _SEEDS = [np.uint64(0x9E3779B97F4A7C15 * (i + 1) % 2**64) for i in range(FEATURES)]
@@ -101,19 +104,18 @@ def encode(lookup: Lookup, found: list[list[bytes]]) -> tuple[np.ndarray, np.nda
     """The numbers of the words of several texts, one after another, and for each feature the row it picks."""
     sizes = [len(f) for f in found]
     total = sum(sizes)
-    code = np.fromiter((lookup[w] for f in found for w in f), np.int64, total)
+    code = np.fromiter(map(lookup.__getitem__, chain.from_iterable(found)), np.int64, total)
     name = (code >> 25).astype(np.uint64)
-    start = np.zeros(total, np.int64)
     ends = np.cumsum(sizes)
     place = np.arange(total) - np.repeat(np.r_[0, ends[:-1]], sizes)
     back = []
-    for lag in range(1, 5):
-        b = start.astype(np.uint64)
-        b[lag:] = np.where(place[lag:] >= lag, name[:-lag], 0)
+    for lag in range(1, FEATURES):
+        b = np.zeros(total, np.uint64)
+        b[lag:] = name[:-lag] * (place[lag:] >= lag)
         back.append(b)
     with np.errstate(over="ignore"):
         keys = [*back, back[0] * np.uint64(1_000_003) + back[1]]
-        rows = np.stack([(mix(k * _SEEDS[0] + s) % np.uint64(BUCKETS)).astype(np.int64) + i * BUCKETS for i, (k, s) in enumerate(zip(keys, _SEEDS))])
+        rows = np.stack([(mix(k * _SEEDS[0] + s) & np.uint64(BUCKETS - 1)).astype(np.int64) + i * BUCKETS for i, (k, s) in enumerate(zip(keys, _SEEDS))])
     return code, rows
 
 
@@ -137,17 +139,19 @@ def class_log10(weights: np.ndarray, bias: np.ndarray, code: np.ndarray, rows: n
     return out
 
 
-def gradient_step(weights: np.ndarray, bias: np.ndarray, scale: np.ndarray, used: np.ndarray, code: np.ndarray, rows: np.ndarray) -> None:
-    """One step down the log loss of a batch, in place.  Each row of weights has its own step length from its past gradients."""
+def gradient_step(weights: np.ndarray, bias: np.ndarray, scale: np.ndarray, used: np.ndarray, code: np.ndarray, rows: np.ndarray, turn: int) -> None:
+    """One step down the log loss of a batch, in place, in the tables whose turn it is.  Each row of weights has its own step
+    length from its past gradients."""
     x = logits(weights, bias, rows)
     np.exp(x, out=x)
     x /= x.sum(axis=1, keepdims=True)
     x[np.arange(len(code)), code & 255] -= 1
-    for r in rows:
-        order = np.argsort(r, kind="stable")
+    for i in range(MOVED):
+        r = rows[(turn * MOVED + i) % FEATURES]
+        order = np.argsort((r % BUCKETS).astype(np.uint16), kind="stable")  # short keys sort by their digits
         s = r[order]
         first = np.flatnonzero(np.r_[True, s[1:] != s[:-1]])
-        g = np.add.reduceat(x[order], first, axis=0)
+        g = np.add.reduceat(x.take(order, axis=0), first, axis=0)
         at = s[first]
         scale[at] += np.einsum("ij,ij->i", g, g)
         used[at] += np.diff(np.r_[first, len(s)])
@@ -160,12 +164,14 @@ def _train(head, model, bias: np.ndarray):
         weights = model.value.copy()
         scale, used = np.zeros(len(weights)), np.zeros(len(weights), np.int64)
         waiting: list[list[bytes]] = []
-        room = 0
+        room = turn = 0
 
         def learn() -> None:
+            nonlocal turn
             code, rows = encode(lookup, waiting)
             for a in range(0, len(code), BATCH):
-                gradient_step(weights, bias, scale, used, code[a : a + BATCH], rows[:, a : a + BATCH])
+                gradient_step(weights, bias, scale, used, code[a : a + BATCH], rows[:, a : a + BATCH], turn)
+                turn += 1
 
         for batch in batches:
             for t in texts(batch):
@@ -209,30 +215,30 @@ def _score(head, model, bias: np.ndarray, inside: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lookup, weights = Lookup(head.value), model.value
         for batch in batches:
-            found = [words(t) for t in texts(batch)]
+            waiting = texts(batch)
             columns: list[list] = [[], [], [], [], []]
             i = 0
-            while i < len(found):
-                j, room = i, 0
-                while j < len(found) and (j == i or room < 200_000):
-                    room += len(found[j])
-                    j += 1
-                code, rows = encode(lookup, found[i:j])
+            while i < len(waiting):
+                found, room = [], 0  # only a part of the batch is held as words
+                while i + len(found) < len(waiting) and room < 100_000:
+                    found.append(words(waiting[i + len(found)]))
+                    room += len(found[-1])
+                i += len(found)
+                code, rows = encode(lookup, found)
                 logs = class_log10(weights, bias, code, rows)
                 k = code & 255
                 place = (code >> 8) & 0x1FFFF
                 shared = k >= SINGLE
                 base = lookup.logs[place]
                 model_part = logs + np.where(shared, base - inside[k], 0.0)
-                sizes = np.array([len(f) for f in found[i:j]])
+                sizes = np.array([len(f) for f in found])
                 starts = np.r_[0, np.cumsum(sizes)[:-1]]
                 columns[0] += sizes.tolist()
                 columns[1] += np.add.reduceat(place > 0, starts, dtype=np.int64).tolist()
                 columns[2] += np.add.reduceat(base, starts).tolist()
                 columns[3] += np.add.reduceat(model_part, starts).tolist()
-                for f, a in zip(found[i:j], starts):
+                for f, a in zip(found, starts):
                     columns[4].append([xxhash.xxh64_intdigest(f[x]) - (1 << 63) for x in np.flatnonzero(place[a : a + len(f)] == 0)])
-                i = j
             yield pa.RecordBatch.from_arrays([batch.column("k"), batch.column("doc_id"), batch.column("held_out"), *(pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.list_(pa.int64()))))],
                                              ["k", "doc_id", "held_out", "n_tokens", "known", "base", "model", "rare"])
 
