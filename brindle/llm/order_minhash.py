@@ -128,16 +128,17 @@ def fingerprints(docs: DataFrame, text: str = "text") -> DataFrame:
     rows are one document in this order and come back as often as they came.
     """
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("k_id"), F.xxhash64(text_of(text)).alias("k_text"), text_of(text).alias("text"))
-    small = keyed.groupBy("k_id", "k_text").agg(F.max(F.length("text")).cast("long").alias("n_chars"))
+    small = keyed.groupBy("k_id", "k_text").agg(F.max(F.length("text")).cast("long").alias("n_chars"), F.first("doc_id").alias("doc_id"), F.count("*").alias("copies"))
     order = staged(next_rows(small).withColumn("cut", F.floor(F.col("n_chars") / 4).cast("int")), "order")
-    rows = keyed.groupBy("k_id", "k_text").agg(F.first("doc_id").alias("doc_id"), F.count("*").alias("copies"), F.first("text").alias("text"))
-    wanted = order.select(F.col("next_id").alias("k_id"), F.col("next_text").alias("k_text"), F.col("k_id").alias("to_id"), F.col("k_text").alias("to_text"), "cut")
-    tails = rows.join(wanted, ["k_id", "k_text"]).select(F.col("to_id").alias("k_id"), F.col("to_text").alias("k_text"), F.expr("substring(text, 1, cut)").alias("tail"))
-    both = rows.join(tails, ["k_id", "k_text"]).select("k_id", "k_text", "doc_id", "copies", F.length("text").cast("long").alias("n_chars"), "text", F.expr(
-        "concat(substring(text, 1, length(text) - cast(floor(length(text) / 4) as int)), tail)").alias("edited"))
+    # both uses read the same columns, so the texts are shuffled once
+    rows = keyed.groupBy("k_id", "k_text").agg(F.first("text").alias("text"))
+    wanted = order.select(F.col("next_id").alias("k_id"), F.col("next_text").alias("k_text"), F.col("k_id").alias("to_id"), F.col("k_text").alias("to_text"), "doc_id", "copies", "n_chars", "cut")
+    # a document sends its head and its signature to the one before it, which then has all it needs in one row
+    heads = signatures(rows.join(wanted, ["k_id", "k_text"]).drop("k_id", "k_text"), {"text": "next_a"})
+    heads = heads.select(F.col("to_id").alias("k_id"), F.col("to_text").alias("k_text"), "doc_id", "copies", "n_chars", "next_a", F.expr("substring(text, 1, cut)").alias("tail"))
+    both = rows.join(heads, ["k_id", "k_text"]).select("doc_id", "copies", "n_chars", "next_a", "text", F.expr(
+        "concat(substring(text, 1, cast(n_chars - floor(n_chars / 4) as int)), tail)").alias("edited"))
     made = signatures(both, {"text": "a", "edited": "b"})
-    done = staged(made.select("k_id", "k_text", "doc_id", "copies", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "a", fingerprint(F.col("b")).alias("edited_fingerprint"), likeness(F.col("a"), F.col("b")).alias("near_edited")), "fingerprints")
-    after = order.select("k_id", "k_text", "next_id", "next_text").join(done.select(F.col("k_id").alias("next_id"), F.col("k_text").alias("next_text"), F.col("a").alias("next_a")), ["next_id", "next_text"])
-    out = done.join(after.select("k_id", "k_text", "next_a"), ["k_id", "k_text"])
-    return out.select("doc_id", "n_chars", "edited_sha256", fingerprint(F.col("a")).alias("fingerprint"), "edited_fingerprint", "near_edited",
-                      likeness(F.col("a"), F.col("next_a")).alias("near_next"), F.explode(F.array_repeat(F.lit(0), F.col("copies").cast("int"))).alias("copy")).drop("copy")
+    return made.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), fingerprint(F.col("a")).alias("fingerprint"), fingerprint(F.col("b")).alias("edited_fingerprint"),
+                       likeness(F.col("a"), F.col("b")).alias("near_edited"), likeness(F.col("a"), F.col("next_a")).alias("near_next"),
+                       F.explode(F.array_repeat(F.lit(0), F.col("copies").cast("int"))).alias("copy")).drop("copy")
