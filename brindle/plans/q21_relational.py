@@ -1,4 +1,4 @@
-"""Plain table operations as the notebooks use them."""
+"""Plain table operations: dropping, casting, looking up, sorting, pivoting."""
 
 from __future__ import annotations
 
