@@ -245,6 +245,25 @@ def _score(head, model, bias: np.ndarray, inside: np.ndarray):
     return run
 
 
+def _frequent(counts: DataFrame) -> list[tuple[str, int]]:
+    """(word, count) of the most frequent words, HEAD at most, most frequent first.
+
+    A histogram of counts in steps of an eighth of a power of two gives the lowest step down to which they are few enough; only
+    those words are fetched.  A sort with a limit would send as many rows from each task.
+    """
+    step = F.floor(F.log2("n") * 8).cast("int")
+    sizes = {r["step"]: r["count"] for r in counts.groupBy(step.alias("step")).count().collect()}
+    low, room = None, HEAD
+    for s in sorted(sizes, reverse=True):
+        room -= sizes[s]
+        if room < 0:
+            break
+        low = s
+    if low is None:
+        return []
+    return sorted(((r["token"], r["n"]) for r in counts.where(step >= low).select("token", "n").collect()), key=lambda x: (-x[1], x[0]))
+
+
 def score_texts(docs: DataFrame, mod: int = 10, text: str = "text") -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score for each document.
 
@@ -258,7 +277,7 @@ def score_texts(docs: DataFrame, mod: int = 10, text: str = "text") -> DataFrame
     train = rows.where(remainder("doc_id", mod) != 0)
     counted = train.select("text").mapInArrow(_count, "token string, hash long, class int, n long")
     counts = staged(counted.groupBy("token", "hash", "class").agg(F.sum("n").alias("n")), "counts")
-    top = [(r["token"], r["n"]) for r in counts.orderBy(F.desc("n"), "token").select("token", "n").limit(HEAD).collect()]
+    top = _frequent(counts)
     single = top[:SINGLE]
     by_class = {r["class"]: (r["n"], r["v"]) for r in counts.groupBy("class").agg(F.sum("n").alias("n"), F.count("*").alias("v")).collect()}
     total, distinct = (sum(v[i] for v in by_class.values()) for i in (0, 1))
