@@ -1,14 +1,14 @@
 """Language-model scoring with a hashed maximum-entropy model.
 
 The next token's class is a softmax over CLASSES, whose scores are sums of weight rows picked by hashed features of the tokens
-before it: the words one, two and three places back (the skips) and the last two together (the n-gram).  The most frequent tokens are
+before it: the words one to four places back (the skips) and the last two together (the n-gram).  The most frequent tokens are
 classes of their own; all others share classes by their last letters, and inside a class a word has its smoothed relative
 frequency.  So every token has a probability, known or not.
 
 Word counts cover all training text.  The most frequent HEAD words travel with the tasks; all others are met in one join by
 hash, and none of those is frequent, so no key is hot.  Training is distributed gradient descent: each task walks its texts in
-small batches, each step moves two of the features' tables in turn, and rows of weights are averaged over tasks by how often
-each was used; then the next round starts from there.
+small batches, each step moves the tables of all features, and rows of weights are averaged over tasks by how often each was
+used; then the next round starts from there.
 """
 
 from __future__ import annotations
@@ -28,18 +28,17 @@ from brindle.llm.compression_quality import remainder
 from brindle.llm.shingles import mix
 
 END = b" "  # no word can be a blank
-SINGLE = 32  # classes of one frequent token each
-SHARED = 32  # classes by the last letters
+SINGLE = 64  # classes of one frequent token each
+SHARED = 64  # classes by the last letters
 CLASSES = SINGLE + SHARED
 HEAD = 65_536  # words whose counts travel with the tasks: a few megabytes
 NAMED = 4_096  # words that are features under their own name; others stand for their class
-FEATURES = 4
-MOVED = 2  # features whose tables a step moves
+FEATURES = 5
 BUCKETS = 4_096  # hashed rows of weights for each feature; a power of two
 ROUNDS = 2  # each sees its own part of the training documents, all of them once
-BATCH = 4_096  # tokens of a gradient step
+BATCH = 2_048  # tokens of a gradient step
 BLOCK = 8_192  # tokens scored at once
-RATE = 1.0
+RATE = 0.5
 SMOOTH = 0.1
 
 _SEEDS = [np.uint64(0x9E3779B97F4A7C15 * (i + 1) % 2**64) for i in range(FEATURES)]
@@ -139,15 +138,14 @@ def class_log10(weights: np.ndarray, bias: np.ndarray, code: np.ndarray, rows: n
     return out
 
 
-def gradient_step(weights: np.ndarray, bias: np.ndarray, scale: np.ndarray, used: np.ndarray, code: np.ndarray, rows: np.ndarray, turn: int) -> None:
-    """One step down the log loss of a batch, in place, in the tables whose turn it is.  Each row of weights has its own step
-    length from its past gradients."""
+def gradient_step(weights: np.ndarray, bias: np.ndarray, scale: np.ndarray, used: np.ndarray, code: np.ndarray, rows: np.ndarray) -> None:
+    """One step down the log loss of a batch, in place, in the tables of all features.  Each row of weights has its own step length
+    from its past gradients."""
     x = logits(weights, bias, rows)
     np.exp(x, out=x)
     x /= x.sum(axis=1, keepdims=True)
     x[np.arange(len(code)), code & 255] -= 1
-    for i in range(MOVED):
-        r = rows[(turn * MOVED + i) % FEATURES]
+    for r in rows:
         order = np.argsort((r % BUCKETS).astype(np.uint16), kind="stable")  # short keys sort by their digits
         s = r[order]
         first = np.flatnonzero(np.r_[True, s[1:] != s[:-1]])
@@ -164,14 +162,12 @@ def _train(head, model, bias: np.ndarray):
         weights = model.value.copy()
         scale, used = np.zeros(len(weights)), np.zeros(len(weights), np.int64)
         waiting: list[list[bytes]] = []
-        room = turn = 0
+        room = 0
 
         def learn() -> None:
-            nonlocal turn
             code, rows = encode(lookup, waiting)
             for a in range(0, len(code), BATCH):
-                gradient_step(weights, bias, scale, used, code[a : a + BATCH], rows[:, a : a + BATCH], turn)
-                turn += 1
+                gradient_step(weights, bias, scale, used, code[a : a + BATCH], rows[:, a : a + BATCH])
 
         for batch in batches:
             for t in texts(batch):

@@ -2,12 +2,15 @@ import math
 import random
 import zlib
 from collections import Counter, defaultdict
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
 
+from brindle.llm import maxent_lm
 from brindle.llm.components import components
 from brindle.llm.compression_quality import score_quality
 from brindle.llm.maxent_lm import score_texts
@@ -223,6 +226,21 @@ def test_language_model(spark):
     assert {r.base_score for r in score_texts(only_held).collect()} == {0.0}
 
 
+def test_each_token_moves_the_row_of_every_feature():
+    rng = random.Random(3)
+    data = [" ".join(rng.choice("abcdefghij") for _ in range(900)) for _ in range(8)]
+    size = maxent_lm.FEATURES * maxent_lm.BUCKETS
+    start = SimpleNamespace(value=np.zeros((size, maxent_lm.CLASSES), np.float32))
+    head = SimpleNamespace(value=[(c, 700) for c in "abcdefghij"])
+    made = maxent_lm._train(head, start, np.zeros(maxent_lm.CLASSES, np.float32))(iter([pa.RecordBatch.from_pydict({"text": data})]))
+    used = np.zeros(size, np.int64)
+    for b in made:
+        used[b.column("row").to_numpy()] = b.column("used").to_numpy()
+    tokens = sum(len(maxent_lm.words(t)) for t in data)
+    # four skips and the n-gram, and the gradient of every token reaches the row each of them picks
+    assert used.reshape(-1, maxent_lm.BUCKETS).sum(axis=1).tolist() == [tokens] * 5
+
+
 def test_language_model_learns_order_and_sums_to_one(spark):
     rng = random.Random(3)
     data = [(i, " ".join(rng.choice(["a b c", "d e f", "g h a"]) for _ in range(60)), "s") for i in range(200)]
