@@ -17,6 +17,7 @@ from brindle.llm.shingles import bands, jaccard_counts, shingle_set, superminhas
 SLOTS = 128  # slots of a signature
 ROWS = 4  # slots of a band: a link at 0.85 is missed in all 32 bands with probability 6e-11, at 0.8 with 5e-8
 BLOCK = 512  # rows of an intersection matrix computed at once
+BLOCK_BYTES = 8 << 20  # bytes of sets in a block of a mixed bucket; a task holds two blocks
 
 
 def _digest(s: np.ndarray) -> int:
@@ -78,8 +79,9 @@ def _linked(num: int, den: int):
     return run
 
 
-def link_bucket(nodes: np.ndarray, comps: np.ndarray, sets: list[np.ndarray], num: int, den: int) -> list[tuple[int, int]]:
+def link_bucket(nodes: np.ndarray, comps: np.ndarray, sets: list[np.ndarray], num: int, den: int, cut: int = 0) -> list[tuple[int, int]]:
     """Links that join different components of one bucket: every pair is decided on full sets, only joining links leave.
+    With a cut only pairs of a member before it and one from there on.
 
     Words that one member alone has cannot be shared, so the intersection counts are products of a small 0/1 matrix, block by block.
     """
@@ -100,10 +102,11 @@ def link_bucket(nodes: np.ndarray, comps: np.ndarray, sets: list[np.ndarray], nu
         m[r[pick] - lo, c[pick] - first] = 1
         return m
 
-    for lo in range(0, len(sets), BLOCK):
+    end = cut or len(sets)
+    for lo in range(cut, len(sets), BLOCK):
         hi = min(lo + BLOCK, len(sets))
-        for lo2 in range(0, hi, BLOCK):
-            hi2 = min(lo2 + BLOCK, len(sets))
+        for lo2 in range(0, cut or hi, BLOCK):
+            hi2 = min(lo2 + BLOCK, end)
             both = np.zeros((hi - lo, hi2 - lo2), np.float32)
             for first in range(0, columns, 16_384):
                 last = min(first + 16_384, columns)
@@ -115,15 +118,37 @@ def link_bucket(nodes: np.ndarray, comps: np.ndarray, sets: list[np.ndarray], nu
     return out
 
 
-def _bucket_links(num: int, den: int):
+def block_pairs(left: DataFrame, sets: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """(key, one, two, block, node, comp, words): the members of each bucket, once for each pair of blocks they take part in.
+
+    A bucket is cut by hash into as many blocks as it holds block_bytes of sets, so blocks are about that large at any size of the
+    bucket; pair (one, two) has the members of both, and each pair of members meets in one of them.
+    """
+    sizes = sets.select("node", F.octet_length("words").alias("size"))
+    blocks = left.join(sizes, "node").groupBy("key").agg(F.ceil(F.sum("size") / block_bytes).cast("int").alias("blocks"))
+    placed = left.join(blocks, "key").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    spread = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    return spread.select("key", F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two"), "block", "node", "comp").join(sets, "node")
+
+
+def _pair_links(num: int, den: int):
     def run(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.drop_duplicates("node").sort_values("node")
-        found = link_bucket(frame["node"].to_numpy(), frame["comp"].to_numpy(), [np.frombuffer(x, np.uint64) for x in frame["words"]], num, den)
+        frame = frame.drop_duplicates("node").sort_values(["block", "node"])
+        cut, found = 0, []
+        if frame["one"].iat[0] != frame["two"].iat[0]:
+            cut = int((frame["block"] == frame["one"]).sum())
+        if frame["one"].iat[0] == frame["two"].iat[0] or 0 < cut < len(frame):
+            found = link_bucket(frame["node"].to_numpy(), frame["comp"].to_numpy(), [np.frombuffer(x, np.uint64) for x in frame["words"]], num, den, cut)
         return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
     return run
 
 
+def bucket_links(left: DataFrame, sets: DataFrame, num: int, den: int, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """(a, b): links that join components, of all buckets; the pairs of blocks are groups of their own."""
+    return block_pairs(left, sets, block_bytes).groupBy("key", "one", "two").applyInPandas(_pair_links(num, den), "a long, b long")
+
+
 def near_duplicates(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, text: str = "text") -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id (smallest doc_id reachable over links), kept,
     text_hash (of the text, to tell rows that share an id apart).
@@ -133,8 +158,8 @@ def near_duplicates(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100,
     * Documents with equal sets form one class first, so thousands of copies cost one row.
     * Classes that share a band of their SuperMinHash signature are candidates.  Each bucket links its members to its smallest
       one, checked on full sets; components of these links are found.
-    * Buckets that still hold several components are settled on full sets inside the bucket; only links that join components
-      leave it, never all pairs.
+    * Buckets that still hold several components are settled on full sets, pairs of blocks of bounded size in tasks of their own;
+      only links that join components leave a task, never all pairs.
 
     Null or empty text, or text without words: an empty set, alone.  Null doc_id: takes no part; component_id null and kept.
     Rows that share a doc_id are told apart by their sets; equal rows all carry the same answer.
@@ -161,7 +186,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100,
     left = labelled.join(mixed, "key")
     alike = left.groupBy("key").agg(F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("content"), F.count("*").alias("n"))
     once = alike.groupBy("content", "n").agg(F.min("key").alias("key")).select("key")
-    more = left.join(once, "key").join(sets, "node").groupBy("key").applyInPandas(_bucket_links(num, den), "a long, b long")
+    more = bucket_links(left.join(once, "key"), sets, num, den)
     comp = components(links.union(staged(more, "joins")))
     ids = comp.join(classes.select("node", "first_id"), "node")
     low = ids.groupBy("comp").agg(F.min("first_id").alias("component_id"))

@@ -15,7 +15,7 @@ from brindle.llm.components import components
 from brindle.llm.compression_quality import score_quality
 from brindle.llm.maxent_lm import score_texts
 from brindle.llm.mixing import hypergeometric, mix_documents, mix_words
-from brindle.llm.neardup import link_bucket, near_duplicates
+from brindle.llm.neardup import block_pairs, bucket_links, link_bucket, near_duplicates
 from brindle.llm.order_minhash import BUCKET_BITS, K, PLACE_BITS, fingerprints
 from brindle.llm.shingles import shingle_set, superminhash
 from .fixtures import SCHEMA, empty, rows, sentence, table
@@ -90,6 +90,21 @@ def test_bucket_links_leave_no_pair_out():
                 assert find(a) == find(b)
 
 
+def test_a_mixed_bucket_is_spread_over_pairs_of_blocks(spark):
+    rng = np.random.default_rng(5)
+    stem = rng.integers(0, 1 << 62, 200, dtype=np.uint64)  # pages of one template, similarity about 0.67
+    sets = [np.unique(np.r_[stem[:160], rng.integers(0, 1 << 62, 40, dtype=np.uint64)]) for _ in range(200)]
+    sets += [np.unique(np.r_[sets[i][:-1], rng.integers(0, 1 << 62, 1, dtype=np.uint64)]) for i in range(0, 200, 4)]
+    left = spark.createDataFrame([(9, i, i) for i in range(250)], "key long, node long, comp long")
+    words = spark.createDataFrame([(i, bytearray(x.tobytes())) for i, x in enumerate(sets)], "node long, words binary")
+    sizes = [r.bytes for r in block_pairs(left, words, 40_000).groupBy("key", "one", "two").agg(F.sum(F.octet_length("words")).alias("bytes")).collect()]
+    assert len(sizes) == 55 and max(sizes) < 2 * 40_000 * 1.6 and sum(len(x) * 8 for x in sets) > 390_000
+
+    want = {frozenset(p) for p in link_bucket(np.arange(250), np.arange(250), sets, 80, 100)}  # disjoint pairs
+    got = {frozenset((r.a, r.b)) for r in bucket_links(left, words, 80, 100, 40_000).collect()}
+    assert got == want and len(want) == 50
+
+
 def test_superminhash_estimates_similarity():
     rng = np.random.default_rng(4)
     for share in (0.3, 0.85):
