@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from brindle.llm.bpe import encode_documents
 from brindle.llm.common import documents, staged
 from brindle.llm.compression_quality import score_quality
+from brindle.llm import conversation_queries  # noqa: F401  registers its queries
 from brindle.llm.lines import dedup_lines
 from brindle.llm.maxent_lm import score_texts
 from brindle.llm.mixing import mix_words
