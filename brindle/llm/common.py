@@ -55,3 +55,23 @@ def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | p
 
 def texts(batch: pa.RecordBatch, column: str = "text") -> list[str]:
     return ["" if x is None else x for x in batch.column(column).to_pylist()]
+
+
+HOT = 1000  # a key with more than this part of all rows is looked up by broadcast; there are fewer than HOT such keys
+
+
+def lookup(rows: DataFrame, table: DataFrame, keys: list[str], n: str) -> DataFrame:
+    """Left join with a table of one row a key, whose column `n` (dropped) says how many of the rows have it.
+
+    Rows of a frequent key would meet in one task.  At most HOT keys can hold a HOT-th of all rows each, so these are broadcast, and
+    only the others are shuffled.
+    """
+    total = table.agg(F.coalesce(F.sum(n), F.lit(0)).alias("total")).scalar()
+    hot = table.where(F.col(n) * HOT > total).drop(n)
+    rest = table.where(F.col(n) * HOT <= total).drop(n)
+    values = [c for c in hot.columns if c not in keys]
+    found = rows.join(F.broadcast(hot.withColumn("_hot", F.lit(True)).withColumnsRenamed({v: f"_hot_{v}" for v in values})), keys, "left")
+    # a row that was found goes to a place of its own in the shuffle
+    cold = found.where("_hot IS NULL").drop("_hot", *[f"_hot_{v}" for v in values]).join(rest, keys, "left")
+    done = found.where("_hot").drop("_hot").withColumnsRenamed({f"_hot_{v}": v for v in values})
+    return cold.unionByName(done)

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from brindle.llm.conversation_repair import damaged, repair
+from brindle.llm.prefix_trie import prefix_trie
 from brindle.llm.registry import query
+from brindle.llm.warc import archived_pages
 
 #: One byte's eight steps of the reflected polynomial; DuckDB has no crc32.  Fixed value: 3988292384.
 _STEP = "list_reduce([xor(x, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda y, z: xor(y >> 1, (y & 1) * 3988292384))"
@@ -84,3 +86,39 @@ def op11(spark: SparkSession, sf: str) -> DataFrame:
     """Damaged conversations and their cheapest repairs."""
     told = conversations(spark, sf)
     return repair(damaged(told), told)
+
+
+OP12 = f"""
+WITH ids AS (SELECT conv_id, conv_id - conv_id % 100 AS base, {crc32_sql('conv_id::VARCHAR')} % 6 AS h FROM (SELECT DISTINCT conv_id FROM conversations WHERE conv_id IS NOT NULL)),
+turns AS (SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS pos FROM conversations WHERE conv_id IS NOT NULL),
+heads AS (SELECT ids.conv_id, pos AS d, role, text FROM ids JOIN turns ON turns.conv_id = base AND pos <= h::BIGINT),
+rebuilt AS (SELECT * FROM heads UNION ALL SELECT ids.conv_id, pos - h::BIGINT + (SELECT count(*) FROM heads WHERE heads.conv_id = ids.conv_id), role, text FROM ids JOIN turns ON turns.conv_id = ids.conv_id AND pos > h),
+prefixes AS (SELECT conv_id, d AS depth, list({{'role': role, 'text': text}}) OVER (PARTITION BY conv_id ORDER BY d) AS k FROM rebuilt UNION ALL SELECT conv_id, 0, [] FROM ids),
+nodes AS (SELECT depth, k, min(conv_id) AS conv_id, count(*) AS n_convs, CASE WHEN depth > 0 THEN length(k[-1].text) ELSE 0 END AS n FROM prefixes GROUP BY depth, k),
+kids AS (SELECT depth - 1 AS depth, k[1:depth - 1] AS k, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY 1, 2),
+trie AS (SELECT nodes.*, coalesce(n_children, 0) AS n_children FROM nodes LEFT JOIN kids USING (depth, k)),
+chains AS (SELECT u AS depth, k[1:u] AS k, depth AS v, n_convs, n, n_children FROM (SELECT *, unnest(range(0, depth + 1)) AS u FROM trie)),
+sums AS (SELECT depth, k, count(*) FILTER (n_children = 0) AS n_leaves, sum((n_convs - 1) * n)::BIGINT AS saved_tokens FROM chains GROUP BY 1, 2),
+ends AS (SELECT depth, k, string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) AS e FROM (SELECT * FROM prefixes QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY depth DESC) = 1) GROUP BY 1, 2)
+SELECT trie.conv_id, trie.depth::BIGINT AS depth, up.conv_id AS parent_conv_id, trie.n_convs, trie.n_children, n_leaves, saved_tokens, sha256(coalesce(e, '')) AS ends_sha256
+FROM trie JOIN sums USING (depth, k) LEFT JOIN ends USING (depth, k) LEFT JOIN trie AS up ON up.depth = trie.depth - 1 AND up.k = trie.k[1:trie.depth - 1]
+"""
+
+
+@query("op12_prefix_trie", OP12)
+def op12(spark: SparkSession, sf: str) -> DataFrame:
+    """Nodes of the trie of all rebuilt conversations."""
+    return prefix_trie(conversations(spark, sf))
+
+
+OP13 = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages), q AS (SELECT page_id, strlen(html) AS payload_bytes, sha256(html) AS payload_digest FROM p),
+r AS (SELECT *, CASE WHEN payload_bytes >= 100 THEN first_value(page_id) OVER (PARTITION BY payload_digest ORDER BY page_id) ELSE page_id END AS first FROM q)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN first = page_id THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN first <> page_id THEN first END AS refers_to FROM r
+"""
+
+
+@query("op13_warc_archives", OP13)
+def op13(spark: SparkSession, sf: str) -> DataFrame:
+    """All pages, written as archives, normalised to members and read back."""
+    return archived_pages(spark.read.parquet(f"{sf}/pages.parquet"))
