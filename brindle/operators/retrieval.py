@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from brindle.functions.expr import stable_hash, with_params
-from brindle.operators.knn import knn_join, topk_against
+from brindle.operators.knn import knn_join
 from brindle.sources.scratch import cut_lineage
 
 # fixed values: term saturation, length normalization and floor of the lexical score; constant of rank fusion
@@ -65,23 +65,11 @@ def hashed_vectors(df: DataFrame, key: str, text: str, width: int = 64) -> DataF
         key, F.transform(F.sequence(F.lit(0).cast("bigint"), F.lit(width - 1).cast("bigint")), lambda i: F.coalesce(F.col("_m")[i], F.lit(0.0))).alias("vec"))
 
 
-def dense_topk(items: DataFrame, queries: DataFrame, item_id: str, query_id: str, vec: str, k: int = POOL, where: Column | None = None,
-               max_in_memory: int = 1024) -> DataFrame:
-    """(query, item, score, rank): best k items by cosine, ties by item id, rank from 0.
-
-    Up to `max_in_memory` queries travel to the tasks and the items are scanned where they lie; a larger
-    query table is joined with the items block by block.  Both ways are exact.
-    """
+def dense_topk(items: DataFrame, queries: DataFrame, item_id: str, query_id: str, vec: str, k: int = POOL, where: Column | None = None) -> DataFrame:
+    """(query, item, score, rank): best k items by cosine, ties by item id, rank from 0."""
     pool = items if where is None else items.where(where)
-    pool = pool.select(F.col(item_id).alias("id"), F.col(vec).cast("array<double>").alias("vec"), F.lit(0.0).alias("payload"))
-    asked = queries.select(F.col(query_id).cast("bigint").alias("qid"), F.col(vec).cast("array<double>").alias("vec"))
-    few = asked.limit(max_in_memory + 1).toPandas()
-    if len(few) == 0:
-        out = asked.select("qid", F.lit(0).cast("bigint").alias("id"), F.lit(0.0).alias("score"), F.lit(1).alias("rank")).where("false")
-    elif len(few) <= max_in_memory:
-        out = topk_against(pool, few, k)
-    else:
-        out = knn_join(asked, pool, k)
+    pool = pool.select(F.col(item_id).alias("id"), F.col(vec).alias("vec"), F.lit(0.0).alias("payload"))
+    out = knn_join(queries.select(F.col(query_id).alias("qid"), F.col(vec).alias("vec")), pool, k)
     return out.select(F.col("qid").alias(query_id), F.col("id").alias(item_id), "score", (F.col("rank") - 1).alias("rank"))
 
 

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from brindle.operators import chunking, conversations, retrieval, tracking
-from brindle.operators.knn import knn_classify, knn_join, topk_against
+from brindle.operators.knn import knn_classify, knn_join, visits_and_rows
 
 
 def texts(spark, rows, schema="id bigint, text string"):
@@ -68,11 +68,12 @@ def vectors(spark, n, name, seed=0, payload=False):
     return (df if payload else df.drop("payload")), np.array([d[1] for d in data])
 
 
+@pytest.mark.parametrize("sizes", [{}, {"cell_rows": 6}, {"cell_rows": 6, "block_bytes": 300}, {"block_bytes": 400}])
 @pytest.mark.parametrize("metric", ["cosine", "euclidean"])
-def test_block_join_is_exact(spark, metric):
+def test_block_join_is_exact(spark, metric, sizes):
     q, qm = vectors(spark, 23, "qid", 1)
     x, xm = vectors(spark, 57, "id", 2, payload=True)
-    got = knn_join(q, x, 4, metric, query_blocks=3, item_blocks=5).collect()
+    got = knn_join(q, x, 4, metric, **sizes).collect()
     if metric == "cosine":
         score = -(qm @ xm.T) / np.linalg.norm(qm, axis=1)[:, None] / np.linalg.norm(xm, axis=1)[None, :]
     else:
@@ -80,8 +81,57 @@ def test_block_join_is_exact(spark, metric):
     for i in range(23):
         rows = sorted((r for r in got if r["qid"] == i), key=lambda r: r["rank"])
         assert [r["id"] for r in rows] == list(np.argsort(score[i], kind="stable")[:4])
-    scan = topk_against(x.repartition(5), q.toPandas(), 4, metric).collect()
-    assert sorted((r["qid"], r["id"], r["rank"]) for r in scan) == sorted((r["qid"], r["id"], r["rank"]) for r in got)
+
+
+def _plain_nan(q, x, k, skip=False):
+    out = {}
+    for i, a in enumerate(q):
+        scored = []
+        for j, b in enumerate(x):
+            both = [(u - v) ** 2 for u, v in zip(a, b) if u == u and v == v]
+            if both and not (skip and i == j):
+                scored.append((round((sum(both) * len(a) / len(both)) ** 0.5, 12), j))
+        out[i] = [j for _, j in sorted(scored)[:k]]
+    return out
+
+
+def _frame(spark, rows, name):
+    data = [(i, [None if v != v else float(v) for v in r], 1.0) for i, r in enumerate(rows)]
+    return spark.createDataFrame(data, f"{name} bigint, vec array<double>, payload double")
+
+
+@pytest.mark.parametrize("skip", [False, True])
+def test_join_with_gaps_ties_and_copies(spark, skip):
+    """Grid points tie everywhere; missing coordinates make cells of their own; a row of nothing but gaps finds nothing."""
+    rng = np.random.default_rng(4)
+    x = rng.integers(0, 6, (400, 3)).astype(float)
+    x[rng.random((400, 3)) < 0.15] = np.nan
+    x[7] = x[8] = x[9] = [2, 2, 2]
+    q = x if skip else np.vstack([rng.integers(-2, 9, (40, 3)).astype(float), [[np.nan] * 3, [1, np.nan, np.nan]]])
+    got = knn_join(_frame(spark, q, "qid").drop("payload"), _frame(spark, x, "id"), 5, "nan_euclidean", skip, cell_rows=20).collect()
+    found = {i: [r["id"] for r in sorted((r for r in got if r["qid"] == i), key=lambda r: r["rank"])] for i in range(len(q))}
+    assert found == _plain_nan(q, x, 5, skip)
+
+
+def test_cells_are_skipped(spark):
+    """In two dimensions a query visits few of the cells; all rows of a third of the table at one point stay exact."""
+    rng = np.random.default_rng(5)
+    x = np.vstack([rng.normal(size=(4000, 2)), np.full((2000, 2), 0.25)])
+    q, items = _frame(spark, x[:300], "qid").drop("payload"), _frame(spark, x, "id")
+    cells, visits, found = visits_and_rows(q, items, 5, "euclidean", cell_rows=100, block_bytes=20_000)
+    pairs = sum(int(cells.count[c]) for part in visits for r in part.select("cells").collect() for c in r["cells"])
+    assert pairs < 0.45 * len(x) * 300 and cells.count.sum() == len(x)
+    got = knn_join(q, items, 5, "euclidean", cell_rows=100, block_bytes=20_000).collect()
+    for i in (0, 17, 255):
+        d = np.round(np.sqrt(((x - x[i]) ** 2).sum(axis=1)), 12)
+        assert [r["id"] for r in sorted((r for r in got if r["qid"] == i), key=lambda r: r["rank"])] == list(np.argsort(d, kind="stable")[:5])
+
+
+def test_join_with_nothing(spark):
+    q, _ = vectors(spark, 3, "qid", 1)
+    x, _ = vectors(spark, 3, "id", 2, payload=True)
+    assert knn_join(q, x.where("id < 0"), 2).count() == 0 and knn_join(q.where("qid < 0"), x, 2).count() == 0
+    assert knn_join(q.withColumn("vec", F.lit(None).cast("array<double>")), x, 2).count() == 0
 
 
 def test_dense_search_edges(spark):
@@ -90,8 +140,6 @@ def test_dense_search_edges(spark):
     rows = retrieval.dense_topk(items, asked, "id", "q", "vec", 10).orderBy("rank").collect()
     assert [(r["id"], r["score"]) for r in rows] == [(1, 1.0), (3, 1.0)]  # the zero vector has no direction
     assert [r["id"] for r in retrieval.dense_topk(items, asked, "id", "q", "vec", 10, where=F.col("kind") == "b").collect()] == [3]
-    big = retrieval.dense_topk(items, asked, "id", "q", "vec", 10, max_in_memory=0).orderBy("rank").collect()
-    assert [r["id"] for r in big] == [1, 3]
 
 
 def test_knn_vote(spark):
