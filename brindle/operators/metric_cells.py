@@ -20,7 +20,7 @@ from brindle.sources.scratch import cut_lineage
 MAX_CELLS = 1024  # pivots at most; with gaps in the data also as many patterns of missing coordinates as there are frequent ones
 PATTERNS = 64
 CELL_ROWS = 2048  # items a cell is meant to hold
-BLOCK_BYTES = 16 << 20  # vectors of one side of a task
+BLOCK_BYTES = 4 << 20  # vectors of one side of a task
 
 
 def matrix(column: pa.ChunkedArray | pa.Array, d: int) -> np.ndarray:
@@ -146,7 +146,10 @@ def block_join(visits: DataFrame, placed: DataFrame, cells: Cells, meet, schema:
     asked = np.zeros(n, dtype=int)
     for cell, rows in visits.select(F.explode("cells").alias("cell")).groupBy("cell").count().collect():
         asked[cell] = rows
-    parts = [int(x) for x in np.maximum(np.ceil(asked * bytes_each / block_bytes), 1)]
+    # also as many blocks as give every core its share of the pairs, so that a large cell is not one task
+    work = asked * cells.count.astype(float)
+    share = np.ceil(visits.sparkSession.sparkContext.defaultParallelism * work / max(work.sum(), 1.0))
+    parts = [int(x) for x in np.maximum(np.ceil(asked * bytes_each / block_bytes), np.minimum(share, np.ceil(asked / 64)).clip(1))]
     blocks = [int(x) for x in np.ceil(cells.count * (8 * cells.d + 24) / block_bytes)]
 
     def of(counts: list[int]):

@@ -11,12 +11,13 @@ from pyspark.sql import functions as F
 
 from brindle.functions.expr import with_params
 from brindle.functions.ordered import quantile_row
-from brindle.operators import density, isoforest, metrics, outliers, ts_cluster as tc
+from brindle.operators import density, isoforest, metrics, outliers, reachability, ts_cluster as tc
 from brindle.operators.knn import knn_join
 from brindle.operators.scale import apply_zscore, fit_zscore
 from brindle.plans.base import cents
 from brindle.plans.registry import query
 from brindle.sources.files import table
+from brindle.sources.scratch import cut_lineage
 
 
 def user_points(spark, sf):
@@ -104,6 +105,36 @@ def core_distance(spark, sf):
     return near.where("rank = 10").select(F.col("qid").alias("vec_id"), F.round("score", 6).alias("core_distance"))
 
 
+_MREACH = """v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings), d AS (SELECT a.vec_id AS i, b.vec_id AS j, round(list_distance(a.e, b.e), 12) AS d FROM v a, v b),
+core AS (SELECT i, d AS c FROM d QUALIFY row_number() OVER (PARTITION BY i ORDER BY d, j) = 10),
+m AS (SELECT d.i, d.j, greatest(d, a.c, b.c) AS w FROM d JOIN core a ON a.i = d.i JOIN core b ON b.i = d.j)"""
+
+
+@query("reachability_tree", f"""WITH RECURSIVE {_MREACH},
+rows AS (SELECT i, list({{'w': w, 'lo': least(i, j), 'hi': greatest(i, j), 'j': j}} ORDER BY j) AS r FROM m GROUP BY i),
+prim AS (SELECT (SELECT count(*) FROM core) - 1 AS left_, list_filter(r, lambda e: e.j <> i) AS front, NULL::STRUCT(w DOUBLE, lo BIGINT, hi BIGINT, j BIGINT) AS took FROM rows WHERE i = (SELECT min(i) FROM rows)
+  UNION ALL SELECT left_ - 1, list_filter(list_transform(list_zip(front, list_filter(r, lambda e: list_contains(list_transform(front, lambda f: f.j), e.j))), lambda z: least(z[1], z[2])), lambda e: e.j <> p.j), p
+  FROM (SELECT left_, front, list_min(front) AS p FROM prim WHERE left_ > 0) JOIN rows ON rows.i = p.j)
+SELECT took.lo AS a, took.hi AS b, round(took.w, 6) AS weight FROM prim WHERE took IS NOT NULL""")
+def reachability_tree(spark, sf):
+    """The least spanning tree over mutual reachability of all vectors."""
+    tree, _, _ = reachability.spanning_tree(table(spark, sf, "embeddings"), "vec_id", "embedding", 10)
+    return tree.select("a", "b", F.round("weight", 6).alias("weight"))
+
+
+LEVELS = (1.2, 1.215, 1.23)
+
+
+@query("reachability_clusters", f"""WITH RECURSIVE {_MREACH}, lv AS (SELECT unnest([{', '.join(map(str, LEVELS))}]::DOUBLE[]) AS eps),
+r AS (SELECT eps, i AS x, i AS y FROM core, lv WHERE c <= eps UNION SELECT eps, x, j FROM r JOIN m ON m.i = y AND m.w <= eps AND m.i <> m.j),
+low AS (SELECT eps, x, min(y) AS label FROM r GROUP BY 1, 2)
+SELECT lv.eps, core.i AS vec_id, coalesce(label, -1) AS label FROM lv, core LEFT JOIN low ON low.eps = lv.eps AND low.x = core.i""")
+def reachability_clusters(spark, sf):
+    """Clusters of the same tree at three levels of density."""
+    tree, core, _ = reachability.spanning_tree(table(spark, sf, "embeddings"), "vec_id", "embedding", 10)
+    return reachability.cut_tree(cut_lineage(tree), core, "vec_id", LEVELS)
+
+
 def event_points(spark, sf):
     """Every event's value and payload number, on z-scores, with the known outliers."""
     df = table(spark, sf, "events").select("event_id", "value", F.get_json_object("props", "$.k").cast("double").alias("k"))
