@@ -21,8 +21,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from brindle.llm.common import map_batches, texts
 
-PIECES_KEPT = 500_000  # pieces whose ids a worker remembers
-PAIRS_KEPT = 1_000_000  # pairs whose compatibility a worker remembers
+PIECES_KEPT = 100_000  # pieces whose ids a worker remembers
+PAIRS_KEPT = 100_000  # pairs whose compatibility a worker remembers
 LONGEST_KEPT = 64  # characters of a remembered piece
 
 

@@ -40,13 +40,30 @@ def row_key(doc_id: str = "doc_id", text: str = "text") -> list[Column]:
     return [F.col(doc_id).alias("k_id"), F.xxhash64(text_of(text)).alias("k_text")]
 
 
+SLICE_BYTES = 2 << 20  # Arrow bytes that are Python objects at a time
+
+
+def slices(batch: pa.RecordBatch, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batch in runs of rows of about so many bytes; a row is never cut."""
+    rows = max(1, batch.num_rows * limit // max(batch.nbytes, 1))
+    for start in range(0, batch.num_rows, rows):
+        part = batch.slice(start, rows)
+        # a run of long texts among short ones is cut again
+        if part.num_rows > 1 and part.nbytes > 2 * limit:
+            half = part.num_rows // 2
+            yield from slices(part.slice(0, half), limit)
+            yield from slices(part.slice(half), limit)
+        else:
+            yield part
+
+
 def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | pa.Table | None], schema: str) -> DataFrame:
-    """Apply a function to each Arrow batch; the batches of a partition pass one at a time."""
+    """Apply a function to each Arrow batch, a bounded number of bytes at a time."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows:
-                made = fn(batch)
+            for part in slices(batch):
+                made = fn(part)
                 if made is not None and made.num_rows:
                     yield from made.to_batches() if isinstance(made, pa.Table) else [made]
 

@@ -10,14 +10,14 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from brindle.llm.common import map_batches, staged, text_of, texts
+from brindle.llm.common import lookup, map_batches, staged, text_of, texts
 from brindle.llm.components import UnionFind, components
 from brindle.llm.shingles import bands, jaccard_counts, shingle_set, superminhash
 
 SLOTS = 128  # slots of a signature
 ROWS = 4  # slots of a band: a link at 0.85 is missed in all 32 bands with probability 6e-11, at 0.8 with 5e-8
 BLOCK = 512  # rows of an intersection matrix computed at once
-BLOCK_BYTES = 8 << 20  # bytes of sets in a block of a mixed bucket; a task holds two blocks
+BLOCK_BYTES = 2 << 20  # bytes of sets in a block of a mixed bucket; a task holds two blocks
 
 
 def _digest(s: np.ndarray) -> int:
@@ -35,7 +35,7 @@ def signatures(docs: DataFrame, k: int, text: str = "text") -> DataFrame:
         todo = [i for i, d in enumerate(digests) if d is not None and first.setdefault(d, i) == i]
         made: dict[int, np.ndarray] = {}
         for i in [*todo, None]:
-            if i is None or room > 300_000:
+            if i is None or room > 100_000:
                 if chunk:
                     made.update(zip(chunk, bands(superminhash([sets[c] for c in chunk], SLOTS), ROWS).view(np.int64)))
                 chunk, room = [], 0
@@ -62,7 +62,8 @@ def _sets(docs: DataFrame, wanted: DataFrame, k: int, text: str) -> DataFrame:
                 out.append(s.tobytes())
         return pa.table({"node": pa.array(nodes, pa.int64()), "words": pa.array(out, pa.binary())})
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("first_id"), F.col(text).cast("string").alias("text")).join(wanted, "first_id")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text_of(text)).alias("text_hash"), F.col(text).cast("string").alias("text"))
+    rows = rows.join(wanted, rows["doc_id"].eqNullSafe(wanted["first_id"]) & (rows["text_hash"] == wanted["first_hash"]))
     return map_batches(rows.select("node", "text"), run, "node long, words binary").dropDuplicates(["node"])
 
 
@@ -149,30 +150,27 @@ def bucket_links(left: DataFrame, sets: DataFrame, num: int, den: int, block_byt
     return block_pairs(left, sets, block_bytes).groupBy("key", "one", "two").applyInPandas(_pair_links(num, den), "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, text: str = "text") -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id (smallest doc_id reachable over links), kept,
-    text_hash (of the text, to tell rows that share an id apart).
+def near_duplicate_groups(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, text: str = "text", nulls: bool = True) -> DataFrame:
+    """(doc_id, text_hash, n_shingles, group, first_id) of each row; `group` is null for rows without words, which are alone.
 
-    Two documents are linked when den * |A ∩ B| >= num * |A ∪ B| for their sets of distinct k-word shingles (A-Z in lower case).
+    `first_id` is the group's smallest doc_id, null where none of its rows has one.  Without `nulls` rows without a doc_id take no part.
 
     * Documents with equal sets form one class first, so thousands of copies cost one row.
     * Classes that share a band of their SuperMinHash signature are candidates.  Each bucket links its members to its smallest
       one, checked on full sets; components of these links are found.
     * Buckets that still hold several components are settled on full sets, pairs of blocks of bounded size in tasks of their own;
       only links that join components leave a task, never all pairs.
-
-    Null or empty text, or text without words: an empty set, alone.  Null doc_id: takes no part; component_id null and kept.
-    Rows that share a doc_id are told apart by their sets; equal rows all carry the same answer.
     """
     rows = staged(signatures(docs, k, text), "signatures")
-    classes = rows.where("class_key is not null and doc_id is not null").groupBy(F.col("class_key").alias("node")).agg(
-        F.min("doc_id").alias("first_id"), F.first("band_keys").alias("band_keys"))
-    classes = staged(classes, "classes")
+    takes = F.col("class_key").isNotNull() if nulls else F.col("class_key").isNotNull() & F.col("doc_id").isNotNull()
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash"))
+    classes = rows.where(takes).groupBy(F.col("class_key").alias("node")).agg(first.alias("f"), F.first("band_keys").alias("band_keys"), F.count("*").alias("n_rows"))
+    classes = staged(classes.select("node", F.col("f.doc_id").alias("first_id"), F.col("f.text_hash").alias("first_hash"), "band_keys", "n_rows"), "classes")
     keys = classes.select("node", F.posexplode("band_keys").alias("band", "key"))
     # the band number is part of the key's hash; a class meets a bucket once
     buckets = keys.groupBy("key").agg(F.min("node").alias("pivot"), F.count("*").alias("n")).where("n > 1")
     members = staged(keys.join(buckets, "key").select("key", "node", "pivot"), "members")
-    wanted = members.select("node").distinct().join(classes.select("node", "first_id"), "node")
+    wanted = members.select("node").distinct().join(classes.select("node", "first_id", "first_hash"), "node")
     sets = staged(_sets(docs, wanted, k, text), "sets")
     star = members.where("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
     pairs = star.join(sets.select(F.col("node").alias("b"), F.col("words").alias("wb")), "b").join(
@@ -189,9 +187,46 @@ def near_duplicates(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100,
     more = bucket_links(left.join(once, "key"), sets, num, den)
     comp = components(links.union(staged(more, "joins")))
     ids = comp.join(classes.select("node", "first_id"), "node")
-    low = ids.groupBy("comp").agg(F.min("first_id").alias("component_id"))
-    found = classes.select("node", "first_id").join(ids.join(low, "comp").select("node", "component_id"), "node", "left").select(
-        F.col("node").alias("class_key"), F.coalesce("component_id", "first_id").alias("class_component"))
-    return rows.join(found, "class_key", "left").select(
-        "doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("class_component", "doc_id")).alias("component_id"), "text_hash",
-    ).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    low = ids.groupBy("comp").agg(F.min("first_id").alias("group_id"))
+    named = ids.join(low, "comp").select("node", "comp", "group_id")
+    found = classes.select("node", "first_id", "n_rows").join(named, "node", "left").select(
+        F.col("node").alias("class_key"), F.coalesce("comp", "node").alias("group"), F.coalesce("group_id", "first_id").alias("first_id"), "n_rows")
+    # copies of one text share a class, so frequent classes are looked up without a shuffle; rows without a class meet none
+    kinds = rows.select("doc_id", "text_hash", "n_shingles", F.when(takes, F.col("class_key")).alias("class_key"))
+    placed = lookup(kinds.where("class_key IS NOT NULL"), staged(found, "groups"), ["class_key"], "n_rows")
+    alone = kinds.where("class_key IS NULL").withColumns({"group": F.lit(None).cast("long"), "first_id": F.col("doc_id")})
+    return placed.unionByName(alone).select("doc_id", "text_hash", "n_shingles", "group", "first_id")
+
+
+def near_duplicates(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, text: str = "text") -> DataFrame:
+    """One row per document: doc_id, n_shingles, component_id (smallest doc_id reachable over links), kept,
+    text_hash (of the text, to tell rows that share an id apart).
+
+    Two documents are linked when den * |A ∩ B| >= num * |A ∪ B| for their sets of distinct k-word shingles (A-Z in lower case).
+
+    Null or empty text, or text without words: an empty set, alone.  Null doc_id: takes no part; component_id null and kept.
+    Rows that share a doc_id are told apart by their sets; equal rows all carry the same answer.  Texts of any length pass whole.
+    """
+    found = near_duplicate_groups(docs, k, num, den, text, nulls=False)
+    component = F.when(F.col("doc_id").isNotNull(), F.col("first_id")).alias("component_id")
+    return found.select("doc_id", "n_shingles", component, "text_hash").withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
+def keep_one(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100) -> DataFrame:
+    """One row of each group of near-duplicates, with all its columns.
+
+    It is the one with the smallest doc_id (rows without one come last), then the smallest hash of the text; of several rows that
+    agree in both the least by all columns.  Rows without words stay.
+    """
+    groups = near_duplicate_groups(docs, k, num, den).where("group IS NOT NULL")
+    keys = staged(groups.groupBy("doc_id", "text_hash", "group").agg(F.count("*").alias("copies")), "copies")
+    best = keys.groupBy("group").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")).alias("best"), F.count("*").alias("n"))
+    judged = lookup(keys, best, ["group"], "n")
+    stays = F.col("best.doc_id").eqNullSafe(F.col("doc_id")) & (F.col("best.text_hash") == F.col("text_hash"))
+    judged = staged(judged.select(F.col("doc_id").alias("j_id"), F.col("text_hash").alias("j_hash"), stays.alias("stays"), "copies"), "judged")
+    same = docs["doc_id"].eqNullSafe(F.col("j_id")) & (F.xxhash64(text_of()) == F.col("j_hash"))
+    rest = docs.join(judged.where("NOT stays OR copies > 1"), same, "left_anti")
+    # equal keys are few kinds; each is one row after the partial aggregation
+    many = docs.join(judged.where("stays AND copies > 1").select("j_id", "j_hash"), same, "left_semi")
+    one = many.groupBy("doc_id", F.xxhash64(text_of()).alias("_h")).agg(F.min(F.struct(*docs.columns)).alias("_r")).select("_r.*")
+    return rest.unionByName(one)

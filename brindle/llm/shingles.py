@@ -20,7 +20,7 @@ class _Codes(dict):
     """Word to 64-bit hash, remembered up to a bound."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 400_000:
+        if len(self) > 100_000:
             self.clear()
         self[word] = code = xxhash.xxh64_intdigest(word)
         return code
@@ -48,7 +48,17 @@ def shingle_set(text: str, k: int = 3) -> np.ndarray:
     return np.unique(h)
 
 
+PART = 100_000  # elements that step through the slots together
+
+
 def superminhash(sets: list[np.ndarray], m: int = 128) -> np.ndarray:
+    """One row of m slots per set; a set of any size passes in parts, for a slot holds the least offer of all elements."""
+    if max(map(len, sets), default=0) <= PART:
+        return _step(sets, m)
+    return np.stack([np.minimum.reduce([_step([s[i : i + PART]], m)[0] for i in range(0, max(len(s), 1), PART)]) for s in sets]) if sets else np.empty((0, m))
+
+
+def _step(sets: list[np.ndarray], m: int) -> np.ndarray:
     """One row of m slots per set.
 
     Element e visits the slots in its own random order; at its j-th visit it offers j + r with a fresh r in [0, 1).

@@ -323,3 +323,22 @@ def test_fingerprints(spark):
     every = fingerprints(table(spark)).collect()
     assert Counter(r.doc_id for r in every) == Counter(i for i, *_ in rows())
     assert fingerprints(empty(spark)).count() == 0
+
+
+def test_long_sets_are_signed_in_parts(monkeypatch):
+    from brindle.llm import shingles
+
+    rng = np.random.default_rng(1)
+    sets = [rng.integers(0, 2**63, n).astype(np.uint64) for n in (0, 1, 700, 5000)]
+    whole = superminhash(sets, 128)
+    monkeypatch.setattr(shingles, "PART", 600)
+    assert (superminhash(sets, 128) == whole).all()
+
+
+def test_batches_are_cut_by_bytes():
+    from brindle.llm.common import slices
+
+    batch = pa.RecordBatch.from_pydict({"text": ["x" * n for n in [10] * 500 + [5000] * 30 + [0, 100_000, 3]]})
+    parts = list(slices(batch, 4000))
+    assert pa.Table.from_batches(parts).to_pydict() == batch.to_pydict() and len(parts) > 20
+    assert all(p.num_rows == 1 or p.nbytes <= 8000 for p in parts)

@@ -42,8 +42,7 @@ def test_each_stage_against_brute_force(spark, tmp_path):
 
     rest = [(r.doc_id, r.text) for r in two.collect()]
     three = again(near(spark, two, sf))
-    stay = Counter(i for (i, _, low), c in _groups(rest, 5, 80, 100).items() for _ in range(c) if i == low or i is None)
-    assert three.columns == columns and Counter(r.doc_id for r in three.collect()) == stay
+    assert three.columns == columns and Counter(r.doc_id for r in three.collect()) == _one_of_each(rest)
 
     rest = three.collect()
     four = again(mix(spark, three, sf))
@@ -61,6 +60,31 @@ def test_each_stage_against_brute_force(spark, tmp_path):
     assert Counter((r.doc_id, r.ids_sha256, r.decoded_sha256) for r in bpe(spark, four, sf).collect()) == want
 
 
+def _one_of_each(rest):
+    """Ids of the rows that stay: of each group the smallest id, nulls last; rows without words all stay."""
+    own = [(n, t) for n, (_, t) in enumerate(rest)]
+    ids = dict(enumerate(i for i, _ in rest))
+    lows = {n: low for (n, size, low), _ in _groups(own, 5, 80, 100).items() if size}
+    groups = {}
+    for n, low in lows.items():
+        groups.setdefault(low, []).append(ids[n])
+    stay = Counter(min(found, key=lambda i: (i is None, i or 0)) for found in groups.values())
+    return stay + Counter(i for n, i in ids.items() if n not in lows)
+
+
+def test_repeated_rows_and_rows_without_an_id_are_thinned(spark):
+    text, other = "one two three four five six seven eight nine ten", "red green blue cyan pink grey black white gold teal"
+    data = [(5, text), (5, text), (5, text), (None, other), (None, other), (None, other), (9, None), (9, None), (9, " "), (None, "")]
+    docs = table(spark, [(i, t, "en", "s", 0, *["clash"] * 9) for i, t in data])
+    (_, _), (_, _), (_, near), _, _ = corpus_pipeline.STAGES
+    got = Counter((r.doc_id, r.text) for r in near(spark, docs, "").collect())
+    assert got == Counter([(5, text), (None, other), (9, None), (9, None), (9, " "), (None, "")])
+    mixed = [(7, text), (3, text + " eleven"), (None, text), (3, text + " eleven"), (8, other)]
+    docs = table(spark, [(i, t, "en", f"s{n}", 0, *["clash"] * 9) for n, (i, t) in enumerate(mixed)])
+    assert sorted((r.doc_id, r.source) for r in near(spark, docs, "").collect()) == [(3, "s1"), (8, "s4")]
+    assert near(spark, empty(spark), "").count() == 0
+
+
 def test_run_is_the_chain_and_takes_an_empty_table(spark, tmp_path):
     empty(spark).write.parquet(f"{tmp_path}/documents.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
