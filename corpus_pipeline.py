@@ -10,10 +10,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from brindle.llm.bpe import encode_documents
-from brindle.llm.common import staged, text_of
+from brindle.llm.common import staged
 from brindle.llm.lines import dedup_lines
 from brindle.llm.mixing import mix_documents
-from brindle.llm.neardup import near_duplicates
+from brindle.llm.neardup import keep_one
 from brindle.llm.quality_rules import keep_good
 
 
@@ -30,12 +30,8 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates: five words, similarity 0.8.
-
-    Fully equal rows with the id that stays all stay; texts without words and rows without an id are alone.
-    """
-    gone = near_duplicates(docs).where("not kept").select(F.col("doc_id").alias("gone_id"), F.col("text_hash").alias("gone_hash")).distinct()
-    return docs.join(gone, (docs["doc_id"] == gone["gone_id"]) & (F.xxhash64(text_of()) == gone["gone_hash"]), "left_anti")
+    """One document of each group of near-duplicates: five words, similarity 0.8.  Repeated rows and rows without an id count as others."""
+    return keep_one(docs)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
