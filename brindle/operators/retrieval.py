@@ -8,15 +8,10 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from brindle.functions.expr import stable_hash, with_params
 from brindle.operators.knn import knn_join
-from brindle.sources.scratch import cut_lineage
+from brindle.operators.lexical_index import build_index, search, tokens
 
-# fixed values: term saturation, length normalization and floor of the lexical score; constant of rank fusion
-K1, B, EPSILON, RRF_K, POOL = 1.5, 0.75, 0.25, 60, 15
-
-
-def tokens(text: str | Column) -> Column:
-    """Lower-cased, split on white space."""
-    return F.filter(F.split(F.lower(text), r"\s+"), lambda t: t != "")
+# fixed values: constant of rank fusion, results of each list that are fused
+RRF_K, POOL = 60, 15
 
 
 def term_counts(df: DataFrame, key: str, text: str) -> DataFrame:
@@ -28,32 +23,12 @@ def term_counts(df: DataFrame, key: str, text: str) -> DataFrame:
     return df.select(key, F.explode(tokens(text)).alias("term")).groupBy(key, "term").agg(F.count("*").alias("tf"))
 
 
-def build_postings(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """The term counts of a corpus, written once: lengths, document frequencies and scores all read the files."""
-    return cut_lineage(term_counts(docs, doc_id, text))
-
-
 def bm25_topk(docs: DataFrame, queries: DataFrame, doc_id: str, query_id: str, text: str, k: int = POOL) -> DataFrame:
     """(query, doc, score, rank): best k documents with a positive score, ties by document id, rank from 0.
 
-    Inverse document frequencies below zero are replaced by a quarter of the vocabulary's mean, which
-    needs the document frequency of every term; scoring itself joins only the postings of query terms.
+    The index is written first; where it is there already, `lexical_index.search` takes it.
     """
-    postings = build_postings(docs, doc_id, text)
-    lengths = postings.groupBy(doc_id).agg(F.sum("tf").alias("dl"))
-    n = docs.agg(F.count("*")).scalar()
-    corpus = lengths.agg(F.sum("dl").alias("total")).select(n.alias("n"), (F.coalesce("total", F.lit(0)) / n).alias("avgdl"))
-    df = with_params(postings.groupBy("term").agg(F.count("*").alias("df")), corpus, "_c")
-    idf = df.select("term", F.ln((F.col("_c.n") - F.col("df") + 0.5) / (F.col("df") + 0.5)).alias("idf"))
-    floor = idf.agg((F.avg("idf") * EPSILON).alias("low"))
-    wanted = term_counts(queries, query_id, text).withColumnRenamed("tf", "qtf")
-    weighted = with_params(wanted.join(idf, "term"), floor, "_f").select(
-        query_id, "term", (F.col("qtf") * F.when(F.col("idf") < 0, F.col("_f.low")).otherwise(F.col("idf"))).alias("w"))
-    hits = with_params(weighted.join(postings, "term").join(lengths, doc_id), corpus, "_c")
-    part = F.col("w") * F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("dl") / F.col("_c.avgdl")))
-    scores = hits.groupBy(query_id, doc_id).agg(F.round(F.sum(part), 8).alias("score")).where("score > 0")
-    best = Window.partitionBy(query_id).orderBy(F.desc("score"), doc_id)
-    return scores.withColumn("rank", F.row_number().over(best) - 1).where(F.col("rank") < k)
+    return search(build_index(docs, doc_id, text), queries, query_id, text, k, doc_id)
 
 
 def hashed_vectors(df: DataFrame, key: str, text: str, width: int = 64) -> DataFrame:
