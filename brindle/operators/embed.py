@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.feature import PCA, VectorAssembler, Word2Vec, Word2VecModel
+import numpy as np
+from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
+from brindle.functions.expr import cosine
 from brindle.operators.scale import apply_zscore, fit_zscore
+from brindle.operators.sparse_svd import truncated_svd
 
 
 def fit_pca(df: DataFrame, columns: Sequence[str], k: int):
@@ -47,11 +50,20 @@ def cooccurrence(df: DataFrame, tokens: str = "tokens") -> DataFrame:
     return pairs.groupBy("a", "b").agg(F.count("*").alias("n"))
 
 
-def fit_tokens(df: DataFrame, tokens: str = "tokens", size: int = 16, epochs: int = 5, seed: int = 0) -> Word2VecModel:
-    return Word2Vec(vectorSize=size, minCount=1, inputCol=tokens, outputCol="vec", seed=seed, maxIter=epochs, windowSize=8, numPartitions=1).fit(df)
+def token_vectors(df: DataFrame, tokens: str = "tokens", size: int = 16) -> tuple[np.ndarray, DataFrame]:
+    """(singular values, (token, vec)) of the co-occurrence counts."""
+    return truncated_svd(cooccurrence(df, tokens), size)
 
 
-def row_embeddings(model: Word2VecModel, df: DataFrame, size: int = 16) -> DataFrame:
-    """Mean token vector of each row as columns w2v_0…"""
-    scored = model.transform(df).withColumn("_a", vector_to_array("vec"))
-    return scored.withColumns({f"w2v_{i}": F.col("_a")[i] for i in range(size)}).drop("_a", "vec")
+def most_similar(vectors: DataFrame, token: str, n: int = 5) -> DataFrame:
+    """(token, similarity): the n other tokens of largest cosine."""
+    asked = vectors.where(F.col("token") == token).select(F.col("vec").alias("_v"))
+    scored = vectors.where(F.col("token") != token).crossJoin(F.broadcast(asked)).select("token", cosine(F.col("vec"), F.col("_v")).alias("similarity"))
+    return scored.where("similarity IS NOT NULL").orderBy(F.desc(F.round("similarity", 9)), "token").limit(n)
+
+
+def row_embeddings(df: DataFrame, vectors: DataFrame, key: str, tokens: str = "tokens", size: int = 16) -> DataFrame:
+    """(key, w2v_0, …): mean vector of each row's tokens; a row without known tokens has nulls."""
+    parts = df.select(key, F.explode(tokens).alias("token")).join(vectors, "token")
+    means = parts.groupBy(key).agg(*[F.avg(F.col("vec")[i]).alias(f"w2v_{i}") for i in range(size)])
+    return df.select(key).join(means, key, "left")

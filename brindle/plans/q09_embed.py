@@ -57,22 +57,28 @@ def cooccurrence_counts(spark, sf):
 
 @query("embed_tokens_w2v")
 def embed_tokens_w2v(spark, sf):
-    vectors = embed.fit_tokens(_tokens(spark, sf)).getVectors()
-    from pyspark.ml.functions import vector_to_array
+    """Vector of every token from the co-occurrence counts."""
+    return embed.token_vectors(_tokens(spark, sf))[1].select("token", F.transform("vec", lambda v: F.round(v, 6)).alias("vec"))
 
-    return vectors.select(F.col("word").alias("token"), F.size(vector_to_array("vector")).alias("width"))
+
+@query("embedding_strengths")
+def embedding_strengths(spark, sf):
+    """Singular values of the co-occurrence counts, largest first."""
+    values, _ = embed.token_vectors(_tokens(spark, sf))
+    return spark.createDataFrame([(i, round(float(v), 6)) for i, v in enumerate(values, 1)], "component int, strength double")
 
 
 @query("most_similar_tokens")
 def most_similar_tokens(spark, sf):
-    return embed.fit_tokens(_tokens(spark, sf)).findSynonyms("p_type=ECONOMY", 5).select(F.col("word").alias("token"), F.round("similarity", 6).alias("similarity"))
+    return embed.most_similar(embed.token_vectors(_tokens(spark, sf))[1], "p_type=ECONOMY", 5).select("token", F.round("similarity", 6).alias("similarity"))
 
 
 @query("row_embedding_mean")
 def row_embedding_mean(spark, sf):
     """How strongly each embedding dimension goes with the log price."""
     rows = _tokens(spark, sf)
-    scored = embed.row_embeddings(embed.fit_tokens(rows), rows)
-    cols = [f"w2v_{i}" for i in range(16)]
+    values, vectors = embed.token_vectors(rows)
+    cols = [f"w2v_{i}" for i in range(len(values))]
+    scored = embed.row_embeddings(rows, vectors, "p_partkey", size=len(cols)).join(rows.select("p_partkey", "p_retailprice"), "p_partkey")
     wide = scored.agg(*[F.abs(F.corr(c, F.log1p("p_retailprice"))).alias(c) for c in cols])
     return wide.unpivot([], cols, "dimension", "abs_r").orderBy(F.desc("abs_r"))
