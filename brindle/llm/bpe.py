@@ -21,8 +21,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from brindle.llm.common import map_batches, texts
 
-PIECES_KEPT = 100_000  # pieces whose ids a worker remembers
-PAIRS_KEPT = 100_000  # pairs whose compatibility a worker remembers
+PIECES_KEPT = 500_000  # pieces whose ids a worker remembers
+PAIRS_KEPT = 1_000_000  # pairs whose compatibility a worker remembers
 LONGEST_KEPT = 64  # characters of a remembered piece
 
 
@@ -139,4 +139,4 @@ def encode_documents(docs: DataFrame, path: str, pattern: str, text: str = "text
         return pa.table(columns)
 
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids binary" * keep_ids
-    return map_batches(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")), run, schema)
+    return map_batches(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")), run, schema, lambda: codec(path, pattern).pieces.clear())

@@ -57,8 +57,11 @@ def slices(batch: pa.RecordBatch, limit: int = SLICE_BYTES) -> Iterator[pa.Recor
             yield part
 
 
-def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | pa.Table | None], schema: str) -> DataFrame:
-    """Apply a function to each Arrow batch, a bounded number of bytes at a time."""
+def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | pa.Table | None], schema: str, forget: Callable[[], None] | None = None) -> DataFrame:
+    """Apply a function to each Arrow batch, a bounded number of bytes at a time.
+
+    Workers outlive their tasks; `forget` is called at the end of a partition, so that an idle one holds no caches.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -66,6 +69,8 @@ def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | p
                 made = fn(part)
                 if made is not None and made.num_rows:
                     yield from made.to_batches() if isinstance(made, pa.Table) else [made]
+        if forget is not None:
+            forget()
 
     return df.mapInArrow(run, schema)
 

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from brindle.llm.common import lookup, map_batches, staged, text_of, texts
 from brindle.llm.components import UnionFind, components
+from brindle.llm import shingles
 from brindle.llm.shingles import bands, jaccard_counts, shingle_set, superminhash
 
 SLOTS = 128  # slots of a signature
@@ -47,7 +48,7 @@ def signatures(docs: DataFrame, k: int, text: str = "text") -> DataFrame:
                          "class_key": pa.array(digests, pa.int64()), "band_keys": pa.array(keys, pa.list_(pa.int64()))})
 
     return map_batches(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text_of(text)).alias("text_hash"), F.col(text).cast("string").alias("text")), run,
-                       "doc_id long, text_hash long, n_shingles long, class_key long, band_keys array<long>")
+                       "doc_id long, text_hash long, n_shingles long, class_key long, band_keys array<long>", lambda: shingles.forget())
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, k: int, text: str) -> DataFrame:
@@ -64,7 +65,7 @@ def _sets(docs: DataFrame, wanted: DataFrame, k: int, text: str) -> DataFrame:
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text_of(text)).alias("text_hash"), F.col(text).cast("string").alias("text"))
     rows = rows.join(wanted, rows["doc_id"].eqNullSafe(wanted["first_id"]) & (rows["text_hash"] == wanted["first_hash"]))
-    return map_batches(rows.select("node", "text"), run, "node long, words binary").dropDuplicates(["node"])
+    return map_batches(rows.select("node", "text"), run, "node long, words binary", lambda: shingles.forget()).dropDuplicates(["node"])
 
 
 def _linked(num: int, den: int):

@@ -20,13 +20,14 @@ class _Codes(dict):
     """Word to 64-bit hash, remembered up to a bound."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 100_000:
+        if len(self) > 400_000:
             self.clear()
         self[word] = code = xxhash.xxh64_intdigest(word)
         return code
 
 
 _codes = _Codes()
+forget = _codes.clear
 
 
 def word_codes(text: str) -> np.ndarray:
