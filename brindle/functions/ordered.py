@@ -14,7 +14,7 @@ from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from brindle.functions.expr import unpivot, with_params
+from brindle.functions.expr import with_params
 
 def named(key: str | Column) -> Column:
     """A key as a string that is never null, so that null is a key like any other in maps and joins."""
@@ -22,6 +22,7 @@ def named(key: str | Column) -> Column:
     return F.coalesce(F.concat(F.lit("="), key.cast("string")), F.lit("null"))
 
 
+ACCURACY = 10_000  # of the sketch: a bracket holds 4 / ACCURACY of the rows
 RANGES = 256  # a power of two; raise it when a range still holds too many distinct values
 
 
@@ -70,51 +71,61 @@ def running_totals(hist: DataFrame, order: str, measures: Sequence[str], key: st
     )
 
 
-def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float], ranges: int = RANGES) -> DataFrame:
-    """Linear-interpolated quantiles as rows (column, prob, value); nulls are ignored.
+def brackets(df: DataFrame, columns: Sequence[str], probs: Sequence[float], accuracy: int = ACCURACY) -> DataFrame:
+    """One row with a struct (n, lo, hi) for each column: values that surely enclose the wanted ranks.
 
-    Only the ranges that hold a wanted rank are ever ordered.
+    A mergeable sketch errs by n / accuracy ranks at most; the ends are asked for twice as far from the rank, and an end beyond the
+    first or last value is that value.  Fewer than `accuracy` values are all inside, as ranks lie apart by more than the margin then.
     """
-    values = unpivot(df, columns).where(F.col("value").isNotNull())
-    counts = values.groupBy("column", "value").agg(F.count("*").alias("n"))
-    ranged = _with_range(counts, "value", "column", ranges, ["n"])
-    by_range = Window.partitionBy("column").orderBy("_range")
-    totals = (
-        ranged.groupBy("column", "_range")
-        .agg(F.sum("n").alias("size"))
-        .select(
-            "column", "_range", "size",
-            (F.sum("size").over(by_range) - F.col("size")).alias("before"),
-            F.sum("size").over(Window.partitionBy("column")).alias("total"),
-        )
-    )
-    ranks = totals.select(
-        "*", F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("prob")
-    ).select("*", (F.col("prob") * (F.col("total") - 1)).alias("pos"))
-    ranks = ranks.select("*", F.explode(F.array(F.floor("pos"), F.ceil("pos"))).alias("rank")).distinct()
-    ranks = ranks.where((F.col("rank") >= F.col("before")) & (F.col("rank") < F.col("before") + F.col("size")))
-    # at most columns × probs × 2 rows, whatever the data
-    wanted = F.broadcast(
-        ranks.groupBy("column", "_range").agg(F.collect_list(F.struct("prob", "pos", "rank")).alias("_ranks"), F.first("before").alias("before"))
-    )
-    inside = Window.partitionBy("column", "_range").orderBy("value")
-    placed = ranged.join(wanted, ["column", "_range"]).select(
-        "column", "value", "n", "_ranks", (F.col("before") + F.sum("n").over(inside) - F.col("n")).alias("start")
-    )
-    hits = placed.select("column", "value", "n", "start", F.explode("_ranks").alias("_r")).select(
-        "column", "value", "_r.*", "n", "start"
-    ).where((F.col("rank") >= F.col("start")) & (F.col("rank") < F.col("start") + F.col("n")))
-    low = F.max(F.when(F.col("rank") == F.floor("pos"), F.col("value")))
-    high = F.max(F.when(F.col("rank") == F.ceil("pos"), F.col("value")))
-    frac = F.max(F.col("pos") - F.floor("pos"))
-    return hits.groupBy("column", "prob").agg((low + (high - low) * frac).alias("value"))
-
-
-def quantile_row(df: DataFrame, wanted: dict[str, tuple[str, float]], ranges: int = RANGES) -> DataFrame:
+    ends = [min(max(float(p) + d * 2 / accuracy, 0.0), 1.0) for d in (-1, 1) for p in probs]
+    made = []
+    for i, c in enumerate(columns):
+        v = F.col(c).cast("double")
+        q = F.percentile_approx(v, ends, accuracy)
+        few = F.count(v) < accuracy
+        lows = [F.min(v) if e <= 0 else F.when(few, F.min(v)).otherwise(q[k]) for k, e in enumerate(ends[: len(probs)])]
+        highs = [F.max(v) if e >= 1 else F.when(few, F.max(v)).otherwise(q[len(probs) + k]) for k, e in enumerate(ends[len(probs) :])]
+        made.append(F.struct(F.count(v).alias("n"), F.array(*lows).alias("lo"), F.array(*highs).alias("hi")).alias(f"c{i}"))
+    return df.agg(*made)
+
+
+def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float], accuracy: int = ACCURACY) -> DataFrame:
+    """Linear-interpolated quantiles as rows (column, prob, value); nulls are ignored, a column without values has no rows.
+
+    A sketch brackets each rank; a second look counts what lies below the bracket, a third keeps the values inside it.  Those are few
+    (a part of 4 / accuracy of the rows, and equal values are one row), so nothing else is exchanged or ordered.
+    """
+    columns, probs = list(columns), list(probs)
+    held = brackets(df, columns, probs, accuracy).first()  # two numbers for each rank
+    values = df.select(*[F.col(c).cast("double").alias(f"v{i}") for i, c in enumerate(columns)])
+    every = [(i, k) for i in range(len(columns)) for k in range(len(probs)) if held[i]["n"]]
+    v = lambda i: F.col(f"v{i}")
+    low, high = (lambda i, k, end=end: F.lit(held[i][end][k]) for end in ("lo", "hi"))
+    below = values.agg(*[F.count_if(v(i) < low(i, k)).alias(f"b{i}_{k}") for i, k in every] or [F.lit(0).alias("none")])
+    cell = lambda i, k: F.when((v(i) >= low(i, k)) & (v(i) <= high(i, k)), F.struct(F.lit(i).alias("i"), F.lit(k).alias("k"), v(i).alias("value")))
+    none = F.lit(None).cast("struct<i:int,k:int,value:double>")
+    inside = values.select(F.explode(F.array_compact(F.array(none, *[cell(i, k) for i, k in every]))).alias("c"))
+    counts = inside.groupBy("c.i", "c.k", "c.value").agg(F.count("*").alias("n"))
+    zero = F.lit(0).cast("bigint")
+    before = F.array(*[F.array(*[F.col(f"_w.b{i}_{k}") if (i, k) in every else zero for k in range(len(probs))]) for i in range(len(columns))])
+    sizes = F.array(*[F.lit(r["n"]) for r in held])
+    placed = with_params(counts, below, "_w")
+    rising = Window.partitionBy("i", "k").orderBy("value")
+    placed = placed.select("i", "k", "value", "n", (before[F.col("i")][F.col("k")] + F.sum("n").over(rising) - F.col("n")).alias("start"), sizes[F.col("i")].alias("total"))
+    prob = F.array(*[F.lit(float(p)) for p in probs])[F.col("k")]
+    pos = prob * (F.col("total") - 1)
+    holds = lambda rank: (rank >= F.col("start")) & (rank < F.col("start") + F.col("n"))
+    low, high = (F.max(F.when(holds(rank), F.col("value"))) for rank in (F.floor("pos"), F.ceil("pos")))
+    found = placed.withColumn("pos", pos).groupBy("i", "k").agg(low.alias("low"), high.alias("high"), F.max(F.col("pos") - F.floor("pos")).alias("frac"))
+    name = F.array(*[F.lit(c) for c in columns])[F.col("i")]
+    return found.select(name.alias("column"), prob.alias("prob"), (F.col("low") + (F.col("high") - F.col("low")) * F.col("frac")).alias("value"))
+
+
+def quantile_row(df: DataFrame, wanted: dict[str, tuple[str, float]]) -> DataFrame:
     """One row of named quantiles: {"q1": ("price", .25)} → column q1."""
     columns = sorted({c for c, _ in wanted.values()})
     probs = sorted({p for _, p in wanted.values()})
-    rows = exact_quantiles(df, columns, probs, ranges)
+    rows = exact_quantiles(df, columns, probs)
     return rows.agg(
         *[
             F.max(F.when((F.col("column") == c) & (F.col("prob") == float(p)), F.col("value"))).alias(name)

@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from brindle.functions.ordered import exact_quantiles, quantile_row, running_totals
+from brindle.functions.ordered import brackets, exact_quantiles, quantile_row, running_totals
 from brindle.operators import encode, impute, metrics, outliers, quality, scale, selection, splits, transform
 
 
@@ -14,16 +14,29 @@ def column(spark, values, name="x"):
 
 
 @pytest.mark.parametrize("values", [[5.0], [1, 1, 1, 1], [3, 1, 2], list(range(1000)), [0] * 600 + list(range(400)), [-5, None, 2.5, 2.5, 1e9]])
-@pytest.mark.parametrize("ranges", [16, 256])
-def test_exact_quantiles_match_linear_interpolation(spark, values, ranges):
+@pytest.mark.parametrize("accuracy", [16, 10_000])
+def test_exact_quantiles_match_linear_interpolation(spark, values, accuracy):
     df = column(spark, values).repartition(3)
-    got = {r["prob"]: r["value"] for r in exact_quantiles(df, ["x"], [0.0, 0.1, 0.25, 0.5, 0.9, 1.0], ranges).collect()}
+    got = {r["prob"]: r["value"] for r in exact_quantiles(df, ["x"], [0.0, 0.1, 0.25, 0.5, 0.9, 1.0], accuracy).collect()}
     known = [v for v in values if v is not None]
     for p, v in got.items():
         assert v == pytest.approx(np.quantile(known, p), rel=1e-12)
     assert len(got) == 6
 
 
+def test_few_values_leave_the_brackets(spark):
+    """Only values near the wanted ranks are kept, whatever their order, and infinite ones and ties change nothing."""
+    rng = np.random.default_rng(0)
+    values = np.concatenate([rng.normal(size=20_000), np.full(7_000, 0.25), [np.inf, -np.inf] * 3])
+    df = column(spark, values).repartition(5)
+    held = brackets(df, ["x"], [0.1, 0.5], 1000).first()["c0"]
+    for p, lo, hi in zip((0.1, 0.5), held["lo"], held["hi"]):
+        kept = values[(values >= lo) & (values <= hi)]
+        assert lo <= np.quantile(values, p) <= hi and len(np.unique(kept)) < 0.01 * len(values)
+    got = {r["prob"]: r["value"] for r in exact_quantiles(df, ["x"], [0.1, 0.5, 0.93], 1000).collect()}
+    assert got == pytest.approx({p: np.quantile(values, p) for p in (0.1, 0.5, 0.93)})
+
+
 def test_quantiles_of_nothing_are_null(spark):
     assert quantile_row(column(spark, [None, None]), {"m": ("x", 0.5)}).first()["m"] is None
 
