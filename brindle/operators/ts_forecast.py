@@ -9,6 +9,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from brindle.operators.state_space import fit_sarima, stepwise
 from brindle.operators.ts_prep import FOURIER, LAGS, WINDOWS, fourier_columns
 from brindle.sources.scratch import cut_lineage
 
@@ -133,68 +134,11 @@ def holt_winters(df: DataFrame, series: str, ts: str, y: str, h: int, m: int = 7
     return _horizon(state, h).select(series, "h", (base * phase if multiplicative else base + phase).alias("yhat"))
 
 
-def _expand(p: int, q: int, sp: int, sq: int, m: int) -> tuple[list[int], list[int]]:
-    """Lags of the autoregressive and of the error terms, seasonal ones included."""
-    ar = sorted({*range(1, p + 1), *[m * k for k in range(1, sp + 1)]})
-    ma = sorted({*range(1, q + 1), *[m * k for k in range(1, sq + 1)]})
-    return ar, ma
-
-
-def fit_arima(values: np.ndarray, order: tuple[int, int, int], seasonal: tuple[int, int, int], m: int, h: int) -> dict:
-    """Two-stage least squares: residuals of a long autoregression stand in for the errors."""
-    (p, d, q), (sp, sd, sq) = order, seasonal
-    levels = [np.asarray(values, dtype=float)]
-    steps = [m] * sd + [1] * d
-    for s in steps:
-        levels.append(levels[-1][s:] - levels[-1][:-s])
-    z = levels[-1]
-    mean = z.mean() if not steps else 0.0
-    z = z - mean
-    ar, ma = _expand(p, q, sp, sq, m)
-    n = len(z)
-    long = min(max(2 * m, 10), n // 4)
-    lagged = lambda x, lags, start: np.column_stack([x[start - k : len(x) - k] for k in lags]) if lags else np.empty((len(x) - start, 0))
-    x = lagged(z, range(1, long + 1), long)
-    e = np.zeros(n)
-    e[long:] = z[long:] - x @ np.linalg.lstsq(x, z[long:], rcond=None)[0]
-    start = long + max(ar + ma + [0])
-    design = np.hstack([lagged(z, ar, start), lagged(e, ma, start)])
-    beta = np.linalg.lstsq(design, z[start:], rcond=None)[0] if design.shape[1] else np.empty(0)
-    resid = z[start:] - (design @ beta if design.shape[1] else 0.0)
-    sigma2 = float(np.mean(resid**2))
-    phi, theta = beta[: len(ar)], beta[len(ar) :]
-    zs, es = list(z), list(np.concatenate([np.zeros(start), resid]))
-    for _ in range(h):
-        zs.append(sum(c * zs[-k] for c, k in zip(phi, ar)) + sum(c * es[-k] for c, k in zip(theta, ma)))
-        es.append(0.0)
-    path = np.array(zs[n:]) + mean
-    for s, level in zip(reversed(steps), reversed(levels[:-1])):
-        history = list(level[-s:])
-        for v in path:
-            history.append(v + history[-s])
-        path = np.array(history[s:])
-    # response of the level to one shock, differencing included
-    poly = np.zeros(1 + max(ar + [0]))
-    poly[0] = 1.0
-    for c, k in zip(phi, ar):
-        poly[k] -= c
-    for s in steps:
-        diff = np.zeros(s + 1)
-        diff[0], diff[s] = 1.0, -1.0
-        poly = np.convolve(poly, diff)
-    psi = np.zeros(h)
-    for i in range(h):
-        shock = 1.0 if i == 0 else sum(c for c, k in zip(theta, ma) if k == i)
-        psi[i] = shock - sum(poly[j] * psi[i - j] for j in range(1, min(i, len(poly) - 1) + 1))
-    spread = 1.96 * np.sqrt(sigma2 * np.cumsum(psi**2))
-    return {"yhat": path, "spread": spread, "aic": len(resid) * np.log(sigma2) + 2 * (len(beta) + 1), "sigma2": sigma2}
-
-
 def sarima(df: DataFrame, series: str, ts: str, y: str, h: int, order=(1, 0, 1), seasonal=(0, 1, 1), m: int = 7) -> DataFrame:
-    """(series, h, yhat, low, high) with a 95 % band.  One task fits one calendar-long series."""
+    """(series, h, yhat, low, high) with a 95 % band, by exact likelihood.  One task fits one calendar-long series."""
 
     def fit(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        out = fit_arima(pdf.sort_values("ts")["y"].to_numpy(), order, seasonal, m, h)
+        out = fit_sarima(pdf.sort_values("ts")["y"].to_numpy(), order, seasonal, m, h)
         return pd.DataFrame({series: key[0], "h": np.arange(1, h + 1), "yhat": out["yhat"], "low": out["yhat"] - out["spread"], "high": out["yhat"] + out["spread"]})
 
     kind = dict(df.dtypes)[series]
@@ -202,20 +146,20 @@ def sarima(df: DataFrame, series: str, ts: str, y: str, h: int, order=(1, 0, 1),
         fit, f"{series} {kind}, h int, yhat double, low double, high double")
 
 
-def arima_order_search(df: DataFrame, series: str, ts: str, y: str, candidates: Sequence[tuple[tuple[int, int, int], tuple[int, int, int]]], m: int = 7) -> DataFrame:
-    """(series, order, aic, chosen): every candidate of every series is a group of its own."""
-    listed = F.explode(F.array(*[F.lit(str(c)) for c in candidates])).alias("order")
-    known = {str(c): c for c in candidates}
+def arima_order_search(df: DataFrame, series: str, ts: str, y: str, candidates: Sequence[tuple[tuple[int, int, int], tuple[int, int, int]]] | None = None,
+                       m: int = 7, most: tuple[int, int, int, int] = (3, 3, 2, 2)) -> DataFrame:
+    """(series, order, aic, chosen) of every model tried; a series' models are tried where it lies, no row is copied.
+
+    Without candidates differences are chosen by test, and orders up to `most` (p, q, P, Q) by steps to better neighbours.
+    """
 
     def fit(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        order, seasonal = known[key[1]]
-        out = fit_arima(pdf.sort_values("ts")["y"].to_numpy(), order, seasonal, m, 1)
-        return pd.DataFrame({series: [key[0]], "order": [key[1]], "aic": [out["aic"]]})
+        values = pdf.sort_values("ts")["y"].to_numpy()
+        tried = stepwise(values, m, most) if candidates is None else sorted(((o, s, fit_sarima(values, o, s, m)["aic"]) for o, s in candidates), key=lambda r: (r[2], r[0], r[1]))
+        return pd.DataFrame({series: key[0], "order": [str((o, s)) for o, s, _ in tried], "aic": [float(v) for _, _, v in tried], "chosen": [i == 0 for i in range(len(tried))]})
 
     kind = dict(df.dtypes)[series]
-    scores = df.select(series, F.col(ts).alias("ts"), F.col(y).alias("y"), listed).groupBy(series, "order").applyInPandas(fit, f"{series} {kind}, order string, aic double")
-    rank = F.row_number().over(Window.partitionBy(series).orderBy("aic", "order"))
-    return scores.withColumn("chosen", rank == 1)
+    return df.select(series, F.col(ts).alias("ts"), F.col(y).alias("y")).groupBy(series).applyInPandas(fit, f"{series} {kind}, order string, aic double, chosen boolean")
 
 
 def _sample_sd(part: Column, mean: Column, n: int) -> Column:

@@ -110,8 +110,7 @@ def forecast_interval(spark, sf):
 
 @query("arima_order_search")
 def arima_order_search(spark, sf):
-    grid = [((p, 0, q), (0, 1, sq)) for p in (0, 1, 2) for q in (0, 1) for sq in (0, 1)]
-    return fc.arima_order_search(_split(spark, sf)[0], "series", "day", "y", grid)
+    return fc.arima_order_search(_split(spark, sf)[0], "series", "day", "y")
 
 
 def _base_forecasts(train):
