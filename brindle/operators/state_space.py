@@ -65,7 +65,7 @@ def kalman(z: np.ndarray, ar: np.ndarray, ma: np.ndarray) -> tuple[np.ndarray, n
                 column = (move @ cov[:, :, :1])[:, :, 0]
                 gain = column / f[:, None]
                 cov = move @ cov @ move.transpose(0, 2, 1) + noise - gain[:, :, None] * column[:, None, :]
-                still = bool(np.all(np.abs(f - 1) < 1e-10))
+                still = bool(np.all(np.abs(f - 1) < 1e-8))
             logs += np.log(f)
             squares += off**2 / f
             state = phi * state[:, :1] + np.hstack([state[:, 1:], np.zeros((size, 1))]) + gain * off[:, None]
@@ -107,7 +107,9 @@ def maximise(z: np.ndarray, order: Order, seasonal: Order, m: int, rounds: int =
                 break
             inverse, slope_before = np.eye(k), None  # once more along the slope itself
             continue
-        x_before, slope_before, x, best = x, slope, tried[at], found[at]
+        gained, x_before, slope_before, x, best = best - found[at], x, slope, tried[at], found[at]
+        if gained < 1e-5:
+            break
     return -best, x
 
 
