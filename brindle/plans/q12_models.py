@@ -12,12 +12,12 @@ from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRe
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import functions as F
 
-from brindle.operators import featurestore as fs, metrics, models
+from brindle.operators import featurestore as fs, impute, metrics, models
 from brindle.operators.splits import in_test, kfold
 from brindle.plans import base, q11_featurestore as q11
 from brindle.plans.registry import query
 from brindle.sources.files import table
-from brindle.sources.scratch import scratch_path
+from brindle.sources.scratch import cut_lineage, scratch_path
 
 NUM = ["l_quantity", "l_discount", "l_tax", "p_size", "p_retailprice"]
 DOC_NUM = ["n_chars", "n_words", "distinct_share", "mean_word", "upper_share", "digit_share", "lines"]
@@ -288,14 +288,29 @@ def batch_serve_model(spark, sf):
     return served.transform(mine).agg(F.count("*").alias("n"), F.max(F.abs(F.col("p") - F.col("prediction"))).alias("max_difference"))
 
 
+TRAINING_FEATURES = ("clicks", "purchases", "conversion_rate")
+
+
+def training_rows(joined, test, columns=TRAINING_FEATURES):
+    """Every request with its features; a missing one becomes the median of the training part and is flagged.
+
+    A request without a label has nothing to learn from or to compare with; those alone are left out.
+    """
+    rows = joined.where("label IS NOT NULL").withColumns({c: F.col(c).cast("double") for c in columns})
+    rows = cut_lineage(rows.select("event_id", "label", *columns))
+    filled = impute.apply_fill(rows, impute.fit_median(rows.where(~test), list(columns)), list(columns), indicator=True)
+    # a feature that no training row has stays without a median
+    return filled.fillna(0.0, list(columns))
+
+
 @query("training_set_end_to_end")
 def training_set_end_to_end(spark, sf):
-    """Entity frame → point-in-time features → label → split → model → metrics."""
+    """Entity frame → point-in-time features → label → split → fill by the training part → model → metrics over all requests."""
     events = table(spark, sf, "events")
     frame = events.where("event_type = 'purchase'").select("event_id", "user_id", F.col("ts").alias("event_timestamp"), "value")
     joined = fs.historical_features(frame.drop("value"), q11.history(spark, sf), q11.USER_STATS)
-    rows = joined.join(frame.select("event_id", F.log1p("value").alias("label")), "event_id").na.drop()
-    cols = ["clicks", "purchases", "conversion_rate"]
-    data = VectorAssembler(inputCols=cols, outputCol="features").transform(rows.select("event_id", "label", *[F.col(c).cast("double").alias(c) for c in cols])).persist()
+    joined = joined.join(frame.select("event_id", F.log1p("value").alias("label")), "event_id")
+    cols = [*TRAINING_FEATURES, *[f"{c}_missing" for c in TRAINING_FEATURES]]
+    data = VectorAssembler(inputCols=cols, outputCol="features").transform(training_rows(joined, in_test(["event_id"], 0.2)))
     model = RandomForestRegressor(numTrees=300, maxDepth=10, seed=42).fit(data.where(~in_test(["event_id"], 0.2)))
     return metrics.regression_metrics(model.transform(data.where(in_test(["event_id"], 0.2))), "label", "prediction")

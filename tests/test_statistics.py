@@ -208,3 +208,13 @@ def test_quality_gate_reports_each_broken_rule(spark):
     assert empty["not_empty"] is False and empty["key_unique"] is True
     falls = spark.createDataFrame([(1, 1, 5), (1, 2, 4), (1, 3, 6)], "u bigint, t bigint, v bigint")
     assert quality.order_violations(falls, "u", "t", ["v"]).first()["violations"] == 1
+
+
+def test_training_rows_keep_every_request(spark):
+    from brindle.plans.q12_models import training_rows
+
+    rows = [(i, float(i), None if i % 3 else float(i), float(i), None) for i in range(10)] + [(99, None, 1.0, 1.0, 1.0)]
+    df = spark.createDataFrame(rows, "event_id int, label double, clicks double, purchases double, conversion_rate double")
+    got = {r["event_id"]: r for r in training_rows(df, F.col("event_id") >= 7).collect()}
+    assert len(got) == 10 and got[4]["clicks"] == 3.0 and got[4]["clicks_missing"] == 1  # median of 0, 3, 6; 9 is in the test part
+    assert got[9]["clicks"] == 9.0 and got[9]["clicks_missing"] == 0 and got[5]["conversion_rate"] == 0.0 and got[5]["conversion_rate_missing"] == 1
