@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from brindle.functions.expr import stable_hash, with_params
+from brindle.functions.expr import stable_hash
+from brindle.operators.metric_cells import matrix
+from brindle.sources.scratch import cut_lineage
 
 
 def daily_profiles(df: DataFrame, series: str, ts: str, value: str) -> DataFrame:
@@ -69,27 +75,80 @@ def dtw_pairs(sample: DataFrame, key: str, max_rows: int = 200) -> DataFrame:
     return left.join(right, "j").select("a", "b", dtw(F.col("pa"), F.col("pb")).alias("distance"))
 
 
-def dtw_medoids(df: DataFrame, key: str, k: int = 2, rounds: int = 3, candidates: int = 12, seed: int = 0) -> DataFrame:
-    """(key, cluster): clusters around real profiles under the warped distance.
+def warp(rows: np.ndarray, centre: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Squared warped distance of each row to a centre, and what the best paths align with its places: sums and counts.
 
-    Each round assigns all rows to the nearest of k medoids (one scan), then picks the new medoid of a
-    cluster among a few hash-chosen members by its summed distance to all members (one more scan).
+    All rows take a cell of the cost table together; the paths are traced back together as well.  Of equal steps the diagonal is taken
+    first, then the one along the row.
+    """
+    size, n, m = len(rows), rows.shape[1], len(centre)
+    cost = np.full((n + 1, m + 1, size), np.inf)
+    cost[0, 0] = 0.0
+    for i in range(n):
+        for j in range(m):
+            cost[i + 1, j + 1] = (rows[:, i] - centre[j]) ** 2 + np.minimum(np.minimum(cost[i, j], cost[i, j + 1]), cost[i + 1, j])
+    sums, counts, every = np.zeros((size, m)), np.zeros((size, m)), np.arange(size)
+    i, j = np.full(size, n), np.full(size, m)
+    while (live := i > 0).any():
+        at, a, b = every[live], i[live], j[live]
+        sums[at, b - 1] += rows[at, a - 1]
+        counts[at, b - 1] += 1
+        back = np.stack([cost[a - 1, b - 1, at], cost[a - 1, b, at], cost[a, b - 1, at]])
+        step = back.argmin(axis=0)
+        i[live], j[live] = a - (step < 2), b - (step != 1)
+        done = (i == 0) | (j == 0)
+        i[done] = 0
+    return cost[n, m], sums, counts
+
+
+def barycentres(df: DataFrame, key: str, k: int = 2, rounds: int = 100, seed: int = 0) -> tuple[DataFrame, list[float]]:
+    """((key, cluster, distance), summed squared distance of each round): clusters around averages under the warped distance.
+
+    Each round assigns every row to its nearest centre and moves a centre's places to the mean of the values that the best paths align
+    with them.  Neither step raises the summed squared distance; it ends when the sum stands still, by then at the latest after
+    `rounds`.  What a task sends is one row of sums for each cluster.  The first centres are a hash sample; a cluster without rows keeps
+    its centre.  Profiles have one length; rows with a null profile are left out.
     """
-    rows = df.select(key, "profile").persist()
-    medoids = sample_rows(rows, F.col(key), k, seed).agg(F.collect_list(F.struct("profile")).alias("m"))  # k arrays
-
-    def assign(current: DataFrame) -> DataFrame:
-        near = F.transform("_p.m", lambda m, i: F.struct(dtw(F.col("profile"), m["profile"]).alias("d"), i.alias("cluster")))
-        return with_params(rows, current).select(key, "profile", F.array_min(near)["cluster"].alias("cluster"))
-
-    for r in range(rounds):
-        members = assign(medoids)
-        order = Window.partitionBy("cluster").orderBy(stable_hash(key, seed=f"{seed}-{r}"), key)
-        picked = members.withColumn("_r", F.row_number().over(order)).where(F.col("_r") <= candidates)
-        pool = picked.agg(F.collect_list(F.struct("cluster", key, "profile")).alias("c"))  # k · candidates arrays
-        tried = with_params(members, pool).select(key, "cluster", "profile", F.explode(F.filter("_p.c", lambda c: c["cluster"] == F.col("cluster"))).alias("c"))
-        costs = tried.groupBy("c.cluster", f"c.{key}").agg(F.round(F.sum(dtw(F.col("profile"), F.col("c.profile"))), 9).alias("cost"), F.first("c.profile").alias("profile"))
-        best = costs.groupBy("cluster").agg(F.min_by(F.struct("profile"), F.struct("cost", key)).alias("m"))
-        frozen = best.orderBy("cluster").collect()  # k profiles
-        medoids = rows.sparkSession.createDataFrame([([row["m"] for row in frozen],)], "m array<struct<profile:array<double>>>")
-    return assign(medoids).select(key, "cluster")
+    rows = cut_lineage(df.select(key, "profile").where("profile IS NOT NULL"))
+    centres = [np.array(r["profile"], dtype=float) for r in sample_rows(rows, F.col(key), k, seed).orderBy(key).collect()]
+    if not centres:
+        return rows.select(key, F.lit(0).alias("cluster"), F.lit(0.0).alias("distance")), []
+
+    def nearest(x: np.ndarray, at: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, list]:
+        found = [warp(x, c) for c in at]
+        far = np.stack([f[0] for f in found])
+        return far.argmin(axis=0), far.min(axis=0), found
+
+    def moved(at: list[np.ndarray]):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            total = np.zeros((len(at), 2 * len(at[0]) + 1))
+            for b in batches:
+                for start in range(0, b.num_rows, 2048):
+                    x = matrix(b.column("profile").slice(start, 2048), len(at[0]))
+                    which, far, found = nearest(x, at)
+                    for c, (_, sums, counts) in enumerate(found):
+                        mine = which == c
+                        total[c] += np.concatenate([sums[mine].sum(axis=0), counts[mine].sum(axis=0), [far[mine].sum()]])
+            yield pa.RecordBatch.from_arrays([pa.array(range(len(at)), pa.int32()), pa.array(total.tolist(), pa.list_(pa.float64()))], names=["cluster", "v"])
+
+        return run
+
+    sums: list[float] = []
+    m = len(centres[0])
+    for _ in range(rounds):
+        parts = rows.select("profile").mapInArrow(moved(centres), "cluster int, v array<double>").select("cluster", F.posexplode("v").alias("i", "v"))
+        total = np.zeros((len(centres), 2 * m + 1))
+        for r in parts.groupBy("cluster", "i").agg(F.sum("v").alias("v")).collect():  # k · (2 m + 1) numbers
+            total[r["cluster"], r["i"]] = r["v"]
+        sums.append(float(total[:, -1].sum()))
+        if len(sums) > 1 and sums[-2] - sums[-1] <= 1e-9 * max(sums[0], 1e-300):
+            break
+        centres = [np.round(np.where(t[m : 2 * m] > 0, t[:m] / np.maximum(t[m : 2 * m], 1), c), 9) for t, c in zip(total, centres)]
+
+    def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            which, far, _ = nearest(matrix(b.column("profile"), m), centres)
+            yield pa.RecordBatch.from_arrays([b.column(key), pa.array(which.astype("int32")), pa.array(np.sqrt(far))], names=[key, "cluster", "distance"])
+
+    kind = dict(rows.dtypes)[key]
+    return rows.mapInArrow(assign, f"{key} {kind}, cluster int, distance double"), sums

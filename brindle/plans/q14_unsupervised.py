@@ -214,7 +214,7 @@ def dtw_pairs(spark, sf):
 
 def _shape_clusters(spark, sf):
     z = profiles(spark, sf).select("day", tc.znorm(F.col("profile")).alias("profile"))
-    return tc.dtw_medoids(z, "day", 2)
+    return tc.barycentres(z, "day", 2)[0].select("day", "cluster")
 
 
 @query("dtw_kmeans")

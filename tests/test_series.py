@@ -169,13 +169,53 @@ def test_dtw_matches_a_plain_dynamic_programme(spark, band):
     assert [g[0] for g in got] == pytest.approx([dtw_plain(a, b, band) for a, b in rows])
 
 
-def test_znorm_shift_and_medoids(spark):
+def align_plain(a, c):
+    """Sums and counts of the values of a along its best path to c; diagonal first, then along the row."""
+    d = np.full((len(a) + 1, len(c) + 1), np.inf)
+    d[0, 0] = 0
+    for i in range(1, len(a) + 1):
+        for j in range(1, len(c) + 1):
+            d[i, j] = (a[i - 1] - c[j - 1]) ** 2 + min(d[i - 1, j], d[i, j - 1], d[i - 1, j - 1])
+    i, j, sums, counts = len(a), len(c), np.zeros(len(c)), np.zeros(len(c))
+    while i and j:
+        sums[j - 1] += a[i - 1]
+        counts[j - 1] += 1
+        step = int(np.argmin([d[i - 1, j - 1], d[i - 1, j], d[i, j - 1]]))
+        i, j = i - (step < 2), j - (step != 1)
+    return d[-1, -1], sums, counts
+
+
+def test_barycentres_equal_brute_force_on_thirty_days(spark):
+    rng = np.random.default_rng(2)
+    base = [np.sin(np.arange(24) / 3), np.exp(-((np.arange(24) - 12) ** 2) / 8)]
+    x = [np.roll(base[i % 2], int(rng.integers(-2, 3))) + rng.normal(scale=0.05, size=24) for i in range(30)]
+    df = spark.createDataFrame([(i, [float(v) for v in r]) for i, r in enumerate(x)] + [(99, None)], "id bigint, profile array<double>")
+    out, sums = tc.barycentres(df, "id", 2)
+    got = {r["id"]: (r["cluster"], r["distance"]) for r in out.collect()}
+    start = sorted(r["id"] for r in tc.sample_rows(df.where("profile IS NOT NULL"), F.col("id"), 2, 0).collect())
+    centres, seen = [x[i] for i in start], []
+    while True:
+        found = [[align_plain(r, c) for c in centres] for r in x]
+        which = [int(np.argmin([f[0] for f in row])) for row in found]
+        seen.append(sum(row[w][0] for row, w in zip(found, which)))
+        if len(seen) > 1 and seen[-2] - seen[-1] <= 1e-9 * seen[0]:
+            break
+        for c in range(2):
+            total = sum((row[c][1] for row, w in zip(found, which) if w == c), np.zeros(24))
+            count = sum((row[c][2] for row, w in zip(found, which) if w == c), np.zeros(24))
+            centres[c] = np.round(np.where(count > 0, total / np.maximum(count, 1), centres[c]), 9)
+    assert sums == pytest.approx(seen) and all(a >= b - 1e-9 for a, b in zip(sums, sums[1:]))
+    assert {i: c for i, (c, _) in got.items()} == dict(enumerate(which)) and len(set(which)) == 2
+    assert [got[i][1] for i in range(30)] == pytest.approx([dtw_plain(x[i], centres[which[i]]) for i in range(30)])
+    none, sums = tc.barycentres(df.where("id = 99"), "id", 2)
+    assert none.count() == 0 and sums == []
+
+
+def test_znorm_and_shift(spark):
     df = spark.createDataFrame([(1, [5.0, 5.0, 5.0]), (2, [1.0, 2.0, 3.0])], "id bigint, p array<double>")
     got = {r[0]: r[1] for r in df.select("id", tc.znorm(F.col("p"))).collect()}
     assert got[1] == [0.0] * 3 and got[2] == pytest.approx([-1.224745, 0, 1.224745], abs=1e-6)
     assert df.where("id = 2").select(tc.shift(F.col("p"), 1)).first()[0] == [3.0, 1.0, 2.0]
     rows = [(i, [0.0, 0.0, 9.0, 0.0] if i % 2 else [9.0, 9.0, 0.0, 9.0]) for i in range(12)]
-    out = tc.dtw_medoids(spark.createDataFrame(rows, "id bigint, profile array<double>"), "id", 2).collect()
-    assert len({r["cluster"] for r in out if r["id"] % 2}) == 1 and len({r["cluster"] for r in out}) in (1, 2)
     with pytest.raises(ValueError):
         tc.dtw_pairs(spark.createDataFrame(rows, "id bigint, profile array<double>"), "id", 5)
