@@ -278,7 +278,7 @@ def grid_search_cv(spark, sf):
     return spark.createDataFrame([(a, b, s, s == best) for a, b, s in rows], "reg_param double, elastic_net double, auc double, best boolean")
 
 
-@query("batch_serve_model")
+@query("batch_serve_model", f"WITH {base.SALES} SELECT count(*) AS n, 0.0::DOUBLE AS max_difference FROM sales")
 def batch_serve_model(spark, sf):
     """A saved and reloaded pipeline must predict what the fitted one does."""
     df = base.sales(spark, sf).select("row_id", *NUM, "p_brand", F.log1p("l_extendedprice").alias("label"))

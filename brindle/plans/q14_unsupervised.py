@@ -91,7 +91,13 @@ def dbscan_core(spark, sf):
     return out.select("p_partkey", "core", (F.col("label") == -1).alias("noise"))
 
 
-@query("dbscan")
+_DBSCAN = f"""{_PTS}, e AS (SELECT x.p_partkey AS i, y.p_partkey AS j FROM p x JOIN p y ON y.a BETWEEN x.a - 0.11 AND x.a + 0.11 AND sqrt((x.a - y.a) ** 2 + (x.b - y.b) ** 2) <= {EPS}),
+c AS (SELECT i FROM e GROUP BY i HAVING count(*) >= {MIN_POINTS}), ce AS (SELECT e.i, e.j FROM e SEMI JOIN c ON c.i = e.i SEMI JOIN c AS c2 ON c2.i = e.j),
+r AS (SELECT i AS x, i AS y FROM c UNION SELECT x, ce.j FROM r JOIN ce ON ce.i = r.y WHERE ce.j > r.x OR ce.j < r.x), low AS (SELECT x, min(y) AS label FROM r GROUP BY x),
+lab AS (SELECT p_partkey, low.label IS NOT NULL AS core, coalesce(low.label, (SELECT min(n.label) FROM e JOIN low AS n ON n.x = e.j WHERE e.i = p_partkey), -1) AS label FROM p LEFT JOIN low ON low.x = p_partkey)"""
+
+
+@query("dbscan", f"WITH RECURSIVE {_DBSCAN} SELECT label, count(*) AS n, count(*) FILTER (core) AS n_core FROM lab GROUP BY label")
 def dbscan(spark, sf):
     out = density.dbscan(part_points(spark, sf), "p_partkey", ["a", "b"], EPS, MIN_POINTS)
     return out.groupBy("label").agg(F.count("*").alias("n"), F.count_if("core").alias("n_core"))
