@@ -35,9 +35,18 @@ def ljung_box(spark, sf):
     return ts_diagnose.ljung_box(rows, "series").withColumn("q", F.round("q", 5))
 
 
-@query("pacf")
+def _dot_sql(a: str, b: str) -> str:
+    return f"coalesce(list_sum(list_transform(list_zip({a}, {b}), lambda z: z[1] * z[2])), 0)"
+
+
+@query("pacf", f"""WITH RECURSIVE {_ACF}, rr AS (SELECT series, list(rho ORDER BY lag) AS r FROM acf GROUP BY 1),
+st AS (SELECT series, r, 0 AS k, []::DOUBLE[] AS phi, NULL::DOUBLE AS last FROM rr UNION ALL
+  SELECT series, r, k + 1, list_append(list_transform(list_zip(phi, list_reverse(phi)), lambda z: z[1] - l * z[2]), l), l
+  FROM (SELECT *, (r[k + 1] - {_dot_sql('phi', 'list_reverse(r[1:k])')}) / (1 - {_dot_sql('phi', 'r[1:k]')}) AS l FROM st WHERE k < len(r)))
+SELECT series, k::INTEGER AS lag, round(last, 6) AS phi FROM st WHERE k > 0""")
 def pacf(spark, sf):
-    return ts_diagnose.pacf(ts_diagnose.acf(daily(spark, sf), "series", "day", "y"), "series")
+    rows = ts_diagnose.pacf(ts_diagnose.acf(daily(spark, sf), "series", "day", "y"), "series")
+    return rows.withColumn("phi", F.round("phi", 6))
 
 
 @query("adf_test")
@@ -83,19 +92,53 @@ def forecast_ses_fitted(spark, sf):
     return fc.ses(_split(spark, sf)[0], "series", "day", "y", H)
 
 
-@query("forecast_holt")
+def _smoothing_sql(lists: dict[str, tuple], start: str, first: int, season: str | None = None) -> str:
+    """Every series under every point of the grid, a day at a time; the point of least one-step error forecasts.
+
+    `start` gives (l, b, s) from the list ys, `first` is the first day that is forecast, `season` how a season enters: + or *.
+    """
+    grid = ", ".join(f"(SELECT unnest({list(v)}::DOUBLE[]) AS {n}) AS g_{n}" for n, v in lists.items())
+    names = ", ".join(lists)
+    back = {"+": "-", "*": "/"}.get(season)
+    guess, plain, phase = ("base", "y", "s") if season is None else (f"(base {season} s[1])", f"(y {back} s[1])", f"list_append(s[2:], gamma * (y {back} base) + (1 - gamma) * s[1])")
+    yhat = "l + damp * b" if season is None else f"(l + damp * b) {season} s[(h - 1) % 7 + 1]"
+    return f"""WITH RECURSIVE {_TR}, tr AS (SELECT series, y, row_number() OVER (PARTITION BY series ORDER BY day) AS k FROM r WHERE rd > {H}),
+ya AS (SELECT series, list(y ORDER BY k) AS ys FROM tr GROUP BY 1), grid AS (SELECT * FROM {grid}),
+st AS (SELECT series, {names}, {first} AS k, {start}, 0.0::DOUBLE AS sse FROM ya, grid UNION ALL
+  SELECT series, {names}, k + 1, level AS l, beta * (level - l) + (1 - beta) * phi * b AS b, {phase} AS s, sse + (y - {guess}) * (y - {guess}) AS sse
+  FROM (SELECT *, alpha * {plain} + (1 - alpha) * base AS level FROM (SELECT st.*, tr.y, l + phi * b AS base FROM st JOIN tr ON tr.series = st.series AND tr.k = st.k))),
+best AS (SELECT * FROM st JOIN (SELECT series, max(k) AS k FROM st GROUP BY 1) USING (series, k) QUALIFY row_number() OVER (PARTITION BY series ORDER BY sse, {names}) = 1),
+hs AS (SELECT unnest(range(1, {H + 1})) AS h)
+SELECT series, h::INTEGER AS h, round({yhat}, 1) AS yhat FROM (SELECT *, list_sum(list_transform(range(1, h + 1), lambda i: phi ** i)) AS damp FROM best, hs)"""
+
+
+_HOLT_SQL = _smoothing_sql({"alpha": (0.1, 0.3, 0.5, 0.8), "beta": (0.01, 0.1, 0.3), "phi": (0.8, 0.9, 0.98)}, "ys[1] AS l, ys[2] - ys[1] AS b, NULL::DOUBLE[] AS s", 2)
+
+
+def _winters_sql(season: str) -> str:
+    grid = {"alpha": (0.05, 0.2, 0.5), "beta": (0.01, 0.1), "gamma": (0.05, 0.2), "phi": (0.9, 0.98)}
+    mean = "(list_sum(ys[1:7]) / 7)"
+    part = f"list_transform(ys[1:7], lambda v: v {'-' if season == '+' else '/'} {mean})"
+    return _smoothing_sql(grid, f"{mean} AS l, 0.0::DOUBLE AS b, {part} AS s", 8, season)
+
+
+def _tenths(forecasts):
+    return forecasts.withColumn("yhat", F.round("yhat", 1))
+
+
+@query("forecast_holt", _HOLT_SQL)
 def forecast_holt(spark, sf):
-    return fc.holt(_split(spark, sf)[0], "series", "day", "y", H)
+    return _tenths(fc.holt(_split(spark, sf)[0], "series", "day", "y", H))
 
 
-@query("forecast_holt_winters")
+@query("forecast_holt_winters", _winters_sql("+"))
 def forecast_holt_winters(spark, sf):
-    return fc.holt_winters(_split(spark, sf)[0], "series", "day", "y", H)
+    return _tenths(fc.holt_winters(_split(spark, sf)[0], "series", "day", "y", H))
 
 
-@query("forecast_holt_winters_multiplicative")
+@query("forecast_holt_winters_multiplicative", _winters_sql("*"))
 def forecast_holt_winters_multiplicative(spark, sf):
-    return fc.holt_winters(_split(spark, sf)[0], "series", "day", "y", H, multiplicative=True)
+    return _tenths(fc.holt_winters(_split(spark, sf)[0], "series", "day", "y", H, multiplicative=True))
 
 
 @query("forecast_sarima")
