@@ -87,9 +87,23 @@ def forecast_ses(spark, sf):
     return out.withColumn("yhat", F.round("yhat", 3))
 
 
-@query("forecast_ses_fitted")
+def _tenths(forecasts):
+    return forecasts.withColumn("yhat", F.round("yhat", 1))
+
+
+_SES_STEP = "SELECT s.series, alpha, k + 1, l + alpha * (y - l), sse + (y - l) * (y - l) FROM {0} AS s JOIN tr ON tr.series = s.series AND tr.n = s.k"
+_SES_BEST = "SELECT {0}.* FROM {0} JOIN (SELECT series, max(k) AS k FROM {0} GROUP BY 1) USING (series, k) QUALIFY row_number() OVER (PARTITION BY series ORDER BY sse, alpha) = 1"
+
+
+@query("forecast_ses_fitted", f"""WITH RECURSIVE {_TR}, tr AS (SELECT series, y, row_number() OVER (PARTITION BY series ORDER BY day) AS n FROM r WHERE rd > {H}),
+s1 AS (SELECT series, unnest({[round(0.05 * i, 2) for i in range(1, 20)]}::DOUBLE[]) AS alpha, 2 AS k, y AS l, 0.0::DOUBLE AS sse FROM tr WHERE n = 1 UNION ALL {_SES_STEP.format('s1')}),
+b1 AS ({_SES_BEST.format('s1')}),
+s2 AS (SELECT b1.series, least(greatest(alpha + o, 0.001::DOUBLE), 0.999::DOUBLE) AS alpha, 2 AS k, y AS l, 0.0::DOUBLE AS sse FROM b1 JOIN tr ON tr.series = b1.series AND n = 1,
+  (SELECT unnest({[i * 0.05 / 5 for i in range(-5, 6)]}::DOUBLE[]) AS o) UNION ALL {_SES_STEP.format('s2')}),
+b2 AS ({_SES_BEST.format('s2')})
+SELECT series, round(alpha, 6) AS alpha, h::INTEGER AS h, round(l, 1) AS yhat FROM b2, (SELECT unnest(range(1, {H + 1})) AS h)""")
 def forecast_ses_fitted(spark, sf):
-    return fc.ses(_split(spark, sf)[0], "series", "day", "y", H)
+    return _tenths(fc.ses(_split(spark, sf)[0], "series", "day", "y", H)).withColumn("alpha", F.round("alpha", 6))
 
 
 def _smoothing_sql(lists: dict[str, tuple], start: str, first: int, season: str | None = None) -> str:
@@ -122,10 +136,6 @@ def _winters_sql(season: str) -> str:
     return _smoothing_sql(grid, f"{mean} AS l, 0.0::DOUBLE AS b, {part} AS s", 8, season)
 
 
-def _tenths(forecasts):
-    return forecasts.withColumn("yhat", F.round("yhat", 1))
-
-
 @query("forecast_holt", _HOLT_SQL)
 def forecast_holt(spark, sf):
     return _tenths(fc.holt(_split(spark, sf)[0], "series", "day", "y", H))
