@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from brindle.operators import ts_prep as ts
+from brindle.operators.local_regression import decompose_local
 from brindle.plans import base
 from brindle.plans.base import DAILY, GAPPY, cents, daily, gappy
 from brindle.plans.registry import query
@@ -92,6 +93,12 @@ def decompose_robust(spark, sf):
     return ts.decompose_robust(daily(spark, sf), "series", "day", "y", 7)
 
 
+@query("decompose_local")
+def decompose_local_query(spark, sf):
+    """Season and trend by locally weighted regression, with robustness weights."""
+    return decompose_local(daily(spark, sf), "series", "day", "y", 7)
+
+
 @query("seasonal_profile_by_year", f"WITH {DAILY}, {DECOMP} SELECT series, year(day)::INTEGER AS year, (isodow(day) - 1)::INTEGER AS weekday, round(avg(seasonal), 1) AS seasonal FROM dec GROUP BY ALL")
 def seasonal_profile_by_year(spark, sf):
     dec = ts.decompose_classical(daily(spark, sf), "series", "day", "y", 7)
