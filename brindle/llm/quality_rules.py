@@ -1,12 +1,15 @@
 """Quality rules under weak supervision, in DataFrame functions only.
 
-Each rule votes good (1), bad (-1) or abstains (0).  Expectation-maximisation over the counts of vote patterns estimates how
-often each rule votes bad on good and on bad documents, and how many documents are good; no labels are read.  A document's
-verdict is its posterior probability, not a demand that every rule pass.
+Each rule votes good (1), bad (-1) or abstains (0).  Documents come in classes: one that the majority of votes speaks for, and one
+kind of bad text for each rule, since kinds of bad text exclude each other and a rule sees mostly its own.  Expectation-maximisation
+over the counts of vote patterns estimates the share of each class and how often each rule votes each way in it; no labels are
+read.  A kind counts as bad text only if other rules confirm it; else the rule that raised it was wrong there, however often.  A
+document's verdict is its posterior probability, not a demand that every rule pass.
 """
 
 from __future__ import annotations
 
+import json
 import math
 from dataclasses import dataclass
 
@@ -18,8 +21,8 @@ from brindle.llm.common import BLANKS, staged, text_of
 FUNCTION_WORDS = ["the", "of", "and", "to", "in", "is", "that", "for", "with", "on", "de", "la", "le", "et", "les", "des", "en", "un", "une", "que", "pour",
                   "der", "die", "und", "das", "den", "von", "mit", "zu", "ist", "el", "los", "las", "y", "por", "con", "para", "se"]
 
-WORST = 0.01  # rate of bad votes on good documents, at most
-CATCH = 0.25  # rate of bad votes on bad documents, at most
+CONFIRMED = 0.5  # bad votes of other rules, on average, that make a kind of text a bad one
+SHARE_PRIOR, VOTE_PRIOR = 0.01, 1.0  # documents added to each class; votes added to each rule in each class, in the rule's overall proportions
 STATS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
 
@@ -72,6 +75,8 @@ def text_stats(docs: DataFrame, text: str = "text") -> DataFrame:
         F.length(F.regexp_replace("t", "[^0-9]+", "")).cast("long").alias("n_digits"),
         F.regexp_count("t", F.lit("[!?]{2}")).cast("long").alias("n_shouts"),
         F.regexp_count("t", F.lit(r"[.!?](?=[\x20\x09-\x0D]|$)")).cast("long").alias("n_ends"),
+        F.regexp_count("t", F.lit(r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D\p{L}]++(?![^\x20\x09-\x0D])")).cast("long").alias("n_letterless"),
+        F.regexp_count("t", F.lit(r"[.,;:!?#*$%&|<>]{2,}+")).cast("long").alias("n_mark_runs"),
         F.size(F.array_distinct("h1")).cast("long").alias("n_distinct"),
         F.size(F.filter(F.zip_with(_head("h1", 1), _tail("h1", 2), lambda a, b: a == b), lambda x: x)).cast("long").alias("n_stutters"),
         F.size(F.array_intersect("w", F.array(*[F.lit(x) for x in FUNCTION_WORDS]))).cast("long").alias("n_function"),
@@ -89,40 +94,72 @@ def rules() -> dict[str, Column]:
     chars = F.greatest(F.col("word_chars"), F.lit(1)).cast("double")
     body = F.col("n_words") >= 20
     return {
-        "length": _vote(F.col("n_words") >= 50, F.col("n_words") < 10),
+        "length": _vote(F.col("n_words") >= 50, F.col("n_words") < 20),
         "word_length": _vote(body & F.col("word_chars").between(3 * n, 12 * n), body & ~F.col("word_chars").between(2 * n, 20 * n)),
         "symbols": _vote(body & (share("n_symbols") < 0.02), share("n_symbols") > 0.1),
-        "repeated_lines": _vote((F.col("n_lines") >= 3) & (F.col("n_dup_lines") == 0), F.col("n_dup_lines") > 0.3 * F.col("n_lines")),
+        "letters": _vote(body & (share("n_letterless") < 0.05), share("n_letterless") > 0.15),
+        "mark_runs": _vote(body & (share("n_mark_runs") < 0.02), share("n_mark_runs") > 0.1),
+        "repeated_lines": _vote((F.col("n_lines") >= 3) & (F.col("n_dup_lines") == 0), F.col("n_dup_lines") > 0.1 * F.col("n_lines")),
         "repeated_words": _vote(body & (share("n_repeat_words") < 0.02), share("n_repeat_words") > 0.2),
-        "stutter": _vote(body & (share("n_stutters") < 0.02), (F.col("n_words") >= 10) & (share("n_stutters") > 0.2)),
-        "capitals": _vote(body & (F.col("n_upper") < 0.1 * chars), body & (F.col("n_upper") > 0.4 * chars)),
+        "stutter": _vote(body & (share("n_stutters") < 0.02), share("n_stutters") > 0.1),
+        "capitals": _vote(body & (F.col("n_upper") < 0.1 * chars), F.col("n_upper") > 0.4 * chars),
         "shouting": _vote(body & (share("n_shouts") < 0.01), share("n_shouts") > 0.1),
-        "sentences": _vote(body & (F.col("n_ends") * 40 >= n), (F.col("n_words") >= 40) & (F.col("n_ends") * 100 < n)),
-        "digits": _vote(body & (F.col("n_digits") < 0.1 * chars), body & (F.col("n_digits") > 0.3 * chars)),
-        "function_words": _vote(F.col("n_function") >= 3, (F.col("n_words") >= 40) & (F.col("n_function") == 0)),
-        "variety": _vote(body & (share("n_distinct") > 0.3), (F.col("n_words") >= 50) & (share("n_distinct") < 0.15)),
+        "sentences": _vote(body & (F.col("n_ends") * 40 >= n), body & (F.col("n_ends") * 50 < n)),
+        "digits": _vote(body & (F.col("n_digits") < 0.1 * chars), F.col("n_digits") > 0.3 * chars),
+        "function_words": _vote(F.col("n_function") >= 3, body & (F.col("n_function") == 0)),
+        "variety": _vote(body & (share("n_distinct") > 0.3), body & (share("n_distinct") < 0.2)),
     }
 
 
 @dataclass(frozen=True)
 class RuleModel:
-    """Share of good documents, and for each rule the rate of bad votes among its votes on good and on bad documents."""
+    """The classes: their shares of the documents and for each rule the rates of votes -1, 0 and 1.  Class 0 is the majority's;
+    class i + 1 is the kind of text that rule i raised."""
 
-    good: float
-    bad_on_good: dict[str, float]
-    bad_on_bad: dict[str, float]
+    share: list[float]
+    rates: list[list[list[float]]]
 
-    def posterior(self) -> Column:
-        """Probability that a document with these votes is good; abstentions say nothing.
+    def confirmed(self) -> list[float]:
+        """Bad votes a document of each class collects on average, those of the rule that raised the class left out."""
+        return [sum(r[0] for i, r in enumerate(rates) if i != k - 1) for k, rates in enumerate(self.rates)]
+
+    def sound(self) -> list[bool]:
+        """Is the class good text?"""
+        return [k == 0 or c < CONFIRMED for k, c in enumerate(self.confirmed())]
+
+    def accuracy(self, names: list[str] | None = None) -> dict[str, tuple[float, float]]:
+        """Of each rule: how often its votes agree with the classes, and on what share of the documents it votes."""
+        found = {}
+        for i, name in enumerate(names or rules()):
+            right = sum(s * r[i][2 if good else 0] for s, r, good in zip(self.share, self.rates, self.sound()))
+            cast = sum(s * (r[i][0] + r[i][2]) for s, r in zip(self.share, self.rates))
+            found[name] = (right / cast if cast else 0.0, cast)
+        return found
 
-        The weights are array literals: they are not part of the generated code, so it is compiled once for all rounds.
+    def classes(self) -> Column:
+        """Probabilities of the classes, from `votes`.
+
+        The weights come as one constant: they are not part of the generated code, so it is compiled once for all rounds.
         """
-        weights = [(math.log(g / self.bad_on_bad[n]), math.log((1 - g) / (1 - self.bad_on_bad[n]))) for n, g in self.bad_on_good.items()]
-        bad, good = (F.lit([w[i] for w in weights]) for i in (0, 1))
-        terms = F.zip_with(F.zip_with("votes", bad, lambda v, x: F.when(v == -1, x).otherwise(0.0)),
-                           F.zip_with("votes", good, lambda v, x: F.when(v == 1, x).otherwise(0.0)), lambda x, y: x + y)
-        odds = F.aggregate(terms, F.element_at(F.lit([math.log(self.good / (1 - self.good))]), 1), lambda s, x: s + x)
-        return F.lit(1.0) / (F.lit(1.0) + F.exp(-odds))
+        logged = [{"s": math.log(s), "r": [[math.log(x) for x in r] for r in rates]} for s, rates in zip(self.share, self.rates)]
+        weights = F.from_json(F.lit(json.dumps(logged)), "array<struct<s:double,r:array<array<double>>>>")
+        logs = F.transform(weights, lambda c: F.aggregate(F.zip_with("votes", c["r"], lambda v, r: F.get(r, v + 1)), c["s"], lambda a, x: a + x))
+        odds = _let(logs, lambda a: _let(F.array_max(a), lambda top: F.transform(a, lambda x: F.exp(x - top))))
+        return _let(odds, lambda a: _let(F.aggregate(a, F.lit(0.0), lambda s, x: s + x), lambda t: F.transform(a, lambda x: x / t)))
+
+    def posterior(self) -> Column:
+        """Probability that a document with these votes is good."""
+        return F.aggregate(F.zip_with(self.classes(), F.lit([float(g) for g in self.sound()]), lambda q, g: q * g), F.lit(0.0), lambda s, x: s + x)
+
+
+def _let(value: Column, body) -> Column:
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def majority() -> Column:
+    """Where the estimates start: the share of good votes for class 0, the rest dealt to the kinds of the rules that voted bad."""
+    bad, good = (F.size(F.filter("votes", lambda v: v == x)) for x in (-1, 1))
+    return _let(bad / (good + bad + 1), lambda rest: F.concat(F.array(1 - rest), F.transform("votes", lambda v: F.when(v == -1, rest / bad).otherwise(0.0))))
 
 
 def votes(stats: DataFrame) -> DataFrame:
@@ -130,34 +167,33 @@ def votes(stats: DataFrame) -> DataFrame:
     return stats.select("*", F.array(*[v.cast("int") for v in rules().values()]).alias("votes"))
 
 
-def fit_rules(voted: DataFrame, rounds: int = 30, tolerance: float = 1e-3) -> RuleModel:
-    """Expectation-maximisation with weak prior counts; a table without rows gives the prior.
+def fit_rules(voted: DataFrame, rounds: int = 60, tolerance: float = 1e-6, width: int | None = None) -> RuleModel:
+    """Expectation-maximisation from the majority vote on, until the expected share of good documents stands still.
 
-    Documents that the base conditions reject anyway do not take part.  Two bounds keep the rarer kinds of bad text apart.  A rule
-    votes bad on good documents at the rate WORST at most, for rules are written to be right on good text.  And it sees CATCH of
-    the bad documents at most: kinds of bad text exclude each other, so passing the other rules says little.
+    Documents that the base conditions reject anyway do not take part.  The prior is the same for all classes: no estimate has a
+    bound.  A table without rows gives the prior.  `width` is the number of rules.
 
     The rows are first counted by vote pattern: at most 3 to the number of rules, however many documents there are.  Each
-    round is one aggregation over that table; three pairs of sums for each rule reach the driver.  Rounding keeps reruns equal.
+    round is one aggregation over that table; (classes x rules x 3) sums reach the driver.  Rounding keeps reruns equal.
     """
-    names = list(rules())
+    width = width or len(rules())
     counted = staged(voted.groupBy("votes", base_failed().alias("failed")).agg(F.count("*").alias("n")), "patterns")
-    patterns = counted.where("not failed").drop("failed").coalesce(1)
-    model = RuleModel(0.85, dict.fromkeys(names, 0.02), dict.fromkeys(names, 0.3))
+    patterns = counted.where("not failed").drop("failed")
+    pooled = [[1.0] * 3 for _ in range(width)]
+    for r in patterns.select("n", F.posexplode("votes").alias("rule", "vote")).groupBy("rule", "vote").agg(F.sum("n").alias("n")).collect():
+        pooled[r["rule"]][r["vote"] + 1] += r["n"]
+    pooled = [[x / sum(p) for x in p] for p in pooled]
+    model, good, start = None, None, majority()
     for _ in range(rounds):
-        q = patterns.select("n", F.round(model.posterior(), 9).cast("decimal(12,9)").alias("q"), F.posexplode("votes").alias("rule", "vote"))
-        sums = {(r["rule"], r["vote"]): (float(r["good"]), float(r["bad"])) for r in q.groupBy("rule", "vote").agg(
-            F.sum(F.col("q") * F.col("n")).alias("good"), F.sum((1 - F.col("q")) * F.col("n")).alias("bad")).collect()}
-        at = lambda rule, vote, side: sums.get((rule, vote), (0.0, 0.0))[side]
-        good, bad = (sum(at(0, v, side) for v in (-1, 0, 1)) for side in (0, 1))
-        # prior counts: 20 documents in all, 5 votes of each rule on either side
-        new = RuleModel(
-            (good + 17) / (good + bad + 20),
-            {n: min(max((at(i, -1, 0) + 0.1) / (at(i, -1, 0) + at(i, 1, 0) + 5), 1e-4), WORST) for i, n in enumerate(names)},
-            {n: min(max((at(i, -1, 1) + 1.5) / (at(i, -1, 1) + at(i, 1, 1) + 5), 0.02), CATCH) for i, n in enumerate(names)})
-        moved = max(abs(new.good - model.good), *(abs(new.bad_on_good[n] - model.bad_on_good[n]) for n in names), *(abs(new.bad_on_bad[n] - model.bad_on_bad[n]) for n in names))
-        model = new
-        if moved < tolerance:
+        q = patterns.select("n", "votes", F.posexplode(model.classes() if model else start).alias("class", "q"))
+        q = q.select("n", "class", F.round("q", 9).cast("decimal(12,9)").alias("q"), F.posexplode("votes").alias("rule", "vote"))
+        sums = [[[0.0] * 3 for _ in range(width)] for _ in range(width + 1)]
+        for r in q.groupBy("class", "rule", "vote").agg(F.sum(F.col("q") * F.col("n")).alias("n")).collect():
+            sums[r["class"]][r["rule"]][r["vote"] + 1] = float(r["n"])
+        mass = [sum(s[0]) + SHARE_PRIOR for s in sums]
+        model = RuleModel([m / sum(mass) for m in mass], [[[(x + VOTE_PRIOR * p) / (sum(v) + VOTE_PRIOR) for x, p in zip(v, ps)] for v, ps in zip(s, pooled)] for s in sums])
+        before, good = good, sum(s for s, sound in zip(model.share, model.sound()) if sound)
+        if before is not None and abs(good - before) < tolerance:
             break
     return model
 

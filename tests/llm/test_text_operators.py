@@ -166,6 +166,54 @@ def test_rule_statistics_and_verdict(spark):
     assert keep_good(empty(spark)).count() == 0
 
 
+def _expectation_maximisation(counts, rounds=60, tolerance=1e-6):
+    """Posterior by vote pattern, in numpy: majority vote, then classes one a rule, a class being bad if other rules confirm it."""
+    v, n = np.array(list(counts)), np.array(list(counts.values()), float)
+    one = np.stack([v == x for x in (-1, 0, 1)], 2).astype(float)
+    bad, good = (v == -1).sum(1), (v == 1).sum(1)
+    rest = bad / (good + bad + 1)
+    q = np.column_stack([1 - rest, rest[:, None] * (v == -1) / np.maximum(bad, 1)[:, None]])
+    pooled = np.einsum("p,pjv->jv", n, one) + 1
+    pooled /= pooled.sum(1, keepdims=True)
+    before = None
+    for _ in range(rounds):
+        q = np.round(q, 9)
+        share = n @ q + 0.01
+        share /= share.sum()
+        rates = np.einsum("pk,p,pjv->kjv", q, n, one) + pooled
+        rates /= rates.sum(2, keepdims=True)
+        log = np.log(share) + np.einsum("pjv,kjv->pk", one, np.log(rates))
+        q = np.exp(log - log.max(1, keepdims=True))
+        q /= q.sum(1, keepdims=True)
+        votes_against = rates[:, :, 0].sum(1)
+        votes_against[1:] -= np.diagonal(rates[1:, :, 0])
+        sound = (votes_against < 0.5) | (np.arange(len(share)) == 0)
+        now = share[sound].sum()
+        if before is not None and abs(now - before) < tolerance:
+            break
+        before = now
+    return {p: (q[i] * sound).sum() for i, p in enumerate(counts)}
+
+
+def test_rule_posterior_against_brute_force_and_a_wrong_rule(spark):
+    rng = random.Random(3)
+    data = []
+    for i in range(3000):
+        kind = rng.choices(["good", "noise", "repeats"], [80, 12, 8])[0]
+        hit = {"good": [0.02] * 6, "noise": [0.9, 0.7, 0.6, 0.02, 0.02, 0.05], "repeats": [0.02, 0.02, 0.05, 0.9, 0.8, 0.1]}[kind]
+        v = [0 if rng.random() < 0.1 else -1 if rng.random() < h else 1 for h in hit]
+        data.append((i, [*v, -1 if kind == "good" and rng.random() < 0.9 else 1], kind == "good", 100, 0))  # the last rule is wrong
+    voted = spark.createDataFrame(data, "doc_id long, votes array<int>, good boolean, n_words long, n_repeat_words long")
+    model = fit_rules(voted, width=7)
+    found = judge(voted, model).collect()
+    want = _expectation_maximisation(Counter(tuple(v) for _, v, *_ in data))
+    assert max(abs(r.p_good - want[tuple(r.votes)]) for r in found) < 1e-6
+    accuracy = model.accuracy([f"r{i}" for i in range(7)])
+    assert accuracy["r6"][0] < 0.2 and min(accuracy[f"r{i}"][0] for i in range(5)) > 0.8
+    assert sum(r.kept == r.good for r in found) > 0.97 * len(found)
+    assert sum(r.kept for r in found if -1 in r.votes[:6]) > 100  # no rule has a veto
+
+
 KINDS = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)", "card": r"[0-9](?:[\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
 
 
