@@ -1,9 +1,10 @@
 """Personal data by candidate boosting, in DataFrame and pyspark.ml functions only (no Python on the executors).
 
-Exact patterns give the base spans.  Wide generators propose further, overlapping spans; boosted trees judge each by its format
-and its context, and a threshold for each kind, set on held-out candidates, selects the redactions.  There are no labels: the
-trees learn from candidates whose format settles the case (checksum, address range, a name like password before it) and from
-the same candidates with that evidence taken away.
+Exact patterns give the base spans.  Wide generators propose further, overlapping spans; boosted trees judge each by its shape and
+its context, and a threshold for each generator, set on all held-out candidates, selects the redactions.  There are no labels.
+Evidence takes their place where a candidate has some: a checksum, an address range, a country code, an `@` with a domain, a name
+like password before it.  What is evidence is no feature, so the trees must tell by the rest, and they judge candidates without
+evidence, too: a number without its country code, a card with a wrong digit, an address written in words.
 """
 
 from __future__ import annotations
@@ -31,12 +32,13 @@ WIDE = {
     "secret": ("[0-9]", r"(?:(?<![A-Za-z0-9_/+-])|\G)[A-Za-z0-9_/+-]{12,}+"),
 }
 KINDS = [*BASE, "secret"]  # order of kinds at one start
-SAMPLE = 20_000  # distinct candidates the trees learn from, at most
-TREES, DEPTH = 20, 4
+TREES, DEPTH = 20, 5
 PRECISION = 0.95  # of accepted held-out candidates, for each generator
+CUES = {"card": "card|visa|account|iban", "phone": "call|phone|tel|mobile|fax", "mail": "mail|contact|write", "order": "order|invoice|ref|serial|version"}
 
-FEATURES = ["is_mail", "is_number", "is_secret", "length", "digits", "letters", "capitals", "marks", "dots", "has_at", "plus", "luhn", "address", "hex_only",
-            "variety", "named", "quoted", "prefix", "left_open", "right_open"]
+FEATURES = ["is_mail", "is_number", "is_secret", "digits", "letters", "capitals", "marks", "joints", "groups", "hex_only", "variety", "quoted", "left_open", "right_open",
+            *[f"cue_{c}" for c in CUES]]
+CHUNK = 100  # steps of the thresholds
 
 
 def _let(value: Column, body) -> Column:
@@ -112,55 +114,61 @@ def scan(docs: DataFrame, text: str = "text") -> DataFrame:
 
 
 def candidates(found: DataFrame) -> DataFrame:
-    """One row for each candidate: k, generator, start, end, label (null where the format does not settle it) and FEATURES."""
+    """One row for each candidate: k, generator, start, end, label, kind and FEATURES.
+
+    The label is 1 where there is evidence, 0 where a candidate of the same generator could have had it and has not, and null
+    where the way of writing leaves none: such candidates are only scored.
+    """
     c = found.select("k", F.explode("wide").alias("c")).select("k", "c.*").where("generator <> 'secret' or match rlike '[0-9]'").where("generator <> 'number' or length(match) >= 5")
     m, before = F.col("match"), F.col("before")
     count = lambda p: F.length(F.regexp_replace(m, f"[^{p}]+", "")).cast("double")
+    joint = r"(?i)\.|[\[(]dot[\])]"
     c = c.select("*", *[(F.col("generator") == g).cast("double").alias(f"is_{g}") for g in WIDE],
-                 F.least(F.length(m), F.lit(64)).cast("double").alias("length"), F.least(count("0-9"), F.lit(40.0)).alias("digits"), F.least(count("A-Za-z"), F.lit(40.0)).alias("letters"),
-                 F.least(count("A-Z"), F.lit(20.0)).alias("capitals"), F.least(count(r"\x20()-"), F.lit(8.0)).alias("marks"), F.least(count("."), F.lit(8.0)).alias("dots"),
-                 m.contains("@").cast("double").alias("has_at"), m.startswith("+").cast("double").alias("plus"), _card(m).cast("double").alias("luhn"), _address(m).cast("double").alias("address"),
+                 F.least(count("0-9"), F.lit(40.0)).alias("digits"), F.least(count("A-Za-z"), F.lit(40.0)).alias("letters"),
+                 F.least(count("A-Z"), F.lit(20.0)).alias("capitals"), F.least(count(r"\x20()-"), F.lit(8.0)).alias("marks"),
+                 F.least(F.regexp_count(m, F.lit(joint)), F.lit(4)).cast("double").alias("joints"), F.least(F.regexp_count(m, F.lit("[0-9]++")), F.lit(8)).cast("double").alias("groups"),
                  m.rlike("^[0-9a-f]+$").cast("double").alias("hex_only"),
                  F.round(F.size(F.array_distinct(F.split(F.substring(m, 1, 64), ""))) / F.least(F.length(m), F.lit(64)), 1).alias("variety"),
-                 before.rlike(r"(?i)(?:passw(?:or)?d|secret|token|api[_-]?key|access[_-]?key)\W{0,4}$").cast("double").alias("named"), before.rlike("[\"'=:]$").cast("double").alias("quoted"),
-                 m.rlike("^(?:AKIA|ASIA|ghp_|sk-|xox)").cast("double").alias("prefix"),
-                 (~before.rlike(r"[\p{L}\p{N}]$")).cast("double").alias("left_open"), (~F.col("after").rlike(r"^[\p{L}\p{N}]")).cast("double").alias("right_open"))
+                 before.rlike("[\"'=:]$").cast("double").alias("quoted"),
+                 (~before.rlike(r"[\p{L}\p{N}]$")).cast("double").alias("left_open"), (~F.col("after").rlike(r"^[\p{L}\p{N}]")).cast("double").alias("right_open"),
+                 *[before.rlike(rf"(?i)\b(?:{words})").cast("double").alias(f"cue_{cue}") for cue, words in CUES.items()])
     open_ = (F.col("left_open") == 1) & (F.col("right_open") == 1)
-    sure = F.when(F.col("generator") == "mail", (F.col("dots") >= 1) & open_).when(F.col("generator") == "number", open_ & (
-        (F.col("luhn") == 1) | (F.col("address") == 1) | ((F.col("plus") == 1) & F.col("digits").between(10, 15)))).otherwise(
-        (F.col("letters") >= 4) & (F.col("digits") >= 2) & ((F.col("named") == 1) | (F.col("prefix") == 1)))
-    vague = (F.col("generator") == "number") & F.col("digits").between(10, 15) & (F.col("marks") >= 2) & (F.col("plus") == 0)
-    return c.withColumn("label", F.when(sure, 1.0).when(vague, None).otherwise(0.0))
+    card, address, digits = _card(m), _address(m), F.col("digits")
+    coded = m.startswith("+") & digits.between(10, 15)
+    named = before.rlike(r"(?i)(?:passw(?:or)?d|secret|token|api[_-]?key|access[_-]?key)\W{0,4}$") | m.rlike("^(?:AKIA|ASIA|ghp_|sk-|xox)")
+    label = F.when(F.col("generator") == "mail", F.when(~m.contains("@"), None).otherwise((F.col("joints") >= 1) & open_)) \
+        .when(F.col("generator") == "number", F.when(open_ & (card | address | coded), True).when(open_ & digits.between(10, 15) & (F.col("marks") >= 2) & ~m.startswith("+"), None).otherwise(False)) \
+        .otherwise((F.col("letters") >= 4) & (digits >= 2) & named)
+    kind = F.when(F.col("generator") == "mail", 0).when(F.col("generator") == "secret", KINDS.index("secret")).when(address | ((F.col("joints") == 3) & (F.col("groups") == 4)), 1).when(digits.between(14, 19), 2).otherwise(3)
+    return c.select("k", "generator", "start", "end", label.cast("double").alias("label"), kind.alias("kind"), *FEATURES)
 
 
 def learn(cands: DataFrame):
     """(model, thresholds by generator), or None if there is nothing to learn from.
 
-    A sample of at most SAMPLE distinct candidates by hash, with their counts as weights.  Each sure one comes again without its
-    evidence and with label 0.  Every fifth is held out: there each generator's threshold is the lowest with PRECISION.
+    All candidates with a label take part: equal ones are one row with their count as weight.  Texts with a fifth of the hashes
+    are held out; over all their candidates one aggregation by (generator, step of the score, label) gives each generator's
+    threshold: the lowest step, one half at least, down to which PRECISION holds.  A generator that never reaches it adds nothing;
+    one whose candidates all bear out has one half.
     """
-    known = cands.where("label is not null").select(*FEATURES, "label")
-    bare = known.where("label = 1").withColumns({"luhn": F.lit(0.0), "address": F.lit(0.0), "named": F.lit(0.0), "prefix": F.lit(0.0), "plus": F.lit(0.0), "dots": F.when(F.col("is_mail") == 1, 0.0).otherwise(F.col("dots")),
-                                                 "has_at": F.lit(0.0), "label": F.lit(0.0)})
-    counted = known.union(bare.select(*FEATURES, "label")).groupBy(*FEATURES, "label").agg(F.count("*").alias("n"))
-    ordered = counted.withColumn("h", F.xxhash64(*FEATURES, "label")).orderBy("h", *FEATURES, "label").limit(SAMPLE)
-    sample = staged(ordered.withColumn("weight", F.log1p("n").cast("double")), "candidates").coalesce(1)
-    fold = F.pmod("h", F.lit(5))
-    if {r["label"] for r in sample.where(fold != 0).groupBy("label").count().collect()} != {0.0, 1.0}:
+    fold = F.pmod(F.xxhash64("k"), F.lit(5)) == 0
+    counted = staged(cands.where("label is not null").groupBy(*FEATURES, "generator", "label", fold.alias("held")).agg(F.count("*").alias("n")), "candidates")
+    train = counted.where("not held").groupBy(*FEATURES, "label").agg(F.sum("n").cast("double").alias("weight"))
+    if {r["label"] for r in train.groupBy("label").count().collect()} != {0.0, 1.0}:
         return None
-    into = VectorAssembler(inputCols=FEATURES, outputCol="vector")
-    train = into.transform(sample.where(fold != 0)).select("vector", "label", "weight")
+    train = VectorAssembler(inputCols=FEATURES, outputCol="vector").transform(train).select("vector", "label", "weight")
     model = GBTClassifier(featuresCol="vector", labelCol="label", weightCol="weight", maxIter=TREES, maxDepth=DEPTH, stepSize=0.2, maxBins=64, seed=7).fit(train)
-    held = score(sample.where(fold == 0), model)
-    bins = held.select(*[f"is_{g}" for g in WIDE], F.floor(F.col("p") * 100).cast("int").alias("bin"), "label", "weight").groupBy(*[f"is_{g}" for g in WIDE], "bin").agg(
-        F.sum(F.col("label") * F.col("weight")).alias("hit"), F.sum("weight").alias("all")).collect()
+    bins = score(counted.where("held"), model).groupBy("generator", F.floor(F.col("p") * CHUNK).cast("int").alias("bin")).agg(F.sum(F.col("label") * F.col("n")).alias("hit"), F.sum("n").alias("all")).collect()
     thresholds = {}
     for g in WIDE:
-        thresholds[g], hit, all_ = 0.5, 0.0, 0.0
-        for r in sorted((r for r in bins if r[f"is_{g}"] == 1), key=lambda r: -r["bin"]):
+        thresholds[g], hit, all_ = 2.0, 0.0, 0.0
+        for r in sorted((r for r in bins if r["generator"] == g and r["bin"] * 2 >= CHUNK), key=lambda r: -r["bin"]):
             hit, all_ = hit + r["hit"], all_ + r["all"]
             if hit >= PRECISION * all_:
-                thresholds[g] = max(0.05, r["bin"] / 100)
+                thresholds[g] = r["bin"] / CHUNK
+        own = [(r["hit"], r["all"]) for r in bins if r["generator"] == g]
+        if own and sum(h for h, _ in own) >= PRECISION * sum(a for _, a in own):
+            thresholds[g] = 0.5
     return model, thresholds
 
 
@@ -190,8 +198,7 @@ def private_spans(docs: DataFrame, text: str = "text") -> DataFrame:
     for g, x in thresholds.items():
         limit = F.when(F.col("generator") == g, F.lit(x)).otherwise(limit)
     accepted = score(cands, model).where(F.col("p") >= limit)
-    kind = F.when(F.col("generator") == "mail", 0).when(F.col("generator") == "secret", KINDS.index("secret")).when(F.col("address") == 1, 1).when(F.col("luhn") == 1, 2).otherwise(3)
-    extra = accepted.select("k", "start", "end", kind.alias("kind"), F.round("p", 6).alias("p"), F.lit(False).alias("is_base"))
+    extra = accepted.select("k", "start", "end", "kind", F.round("p", 6).alias("p"), F.lit(False).alias("is_base"))
     base = found.select("k", F.explode("base").alias("s")).select("k", "s.start", "s.end", "s.kind", F.lit(1.0).alias("p"), F.lit(True).alias("is_base"))
     both = base.union(extra)
     ordered = W.partitionBy("k").orderBy("start", "end", "kind", "is_base")
