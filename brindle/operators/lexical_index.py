@@ -13,18 +13,22 @@ documents that are left are scored in full from the postings.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from brindle.functions.expr import with_params
-from brindle.sources.scratch import scratch_path
+from brindle.sources.scratch import cut_lineage, scratch_path
 
 # fixed values: term saturation, length normalization and floor of the lexical score
 K1, B, EPSILON = 1.5, 0.75, 0.25
 BLOCK = 128  # postings of a block
 SHARD = 65_536  # postings of a term that are ordered together
 LEADING = 4  # blocks of each term and shard that the first pass reads
+FEW_PAIRS = 10_000  # (query, document) that are looked up one by one
 SLACK = 1e-7  # scores are rounded to eight places
 
 
@@ -44,6 +48,40 @@ def tokens(text):
     return F.filter(F.split(F.lower(text), r"\s+"), lambda t: t != "")
 
 
+def _count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(doc, dl, term, tf) of rows (doc, t)."""
+    for b in batches:
+        lists = b.column("t")
+        size = lists.value_lengths().to_numpy(zero_copy_only=False)
+        words = lists.flatten().dictionary_encode()
+        n = max(len(words.dictionary), 1)
+        key, tf = np.unique(np.repeat(np.arange(len(lists)), size) * n + words.indices.to_numpy(), return_counts=True)
+        row = pa.array(key // n)
+        columns = [b.column("doc").take(row), pa.array(size.astype("int64")).take(row), words.dictionary.take(pa.array(key % n)), pa.array(tf.astype("int64"))]
+        yield pa.RecordBatch.from_arrays(columns, names=["doc", "dl", "term", "tf"])
+
+
+def term_counts(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """(doc, dl, term, tf): terms are counted where a text lies and nothing is exchanged.
+
+    Rows of the same document and length count as one; only documents that have several rows, or no id, are put together by a shuffle.
+    """
+    ids = docs.select(F.col(doc_id).alias("doc")).groupBy("doc").agg(F.count("*").alias("n"))
+    several = cut_lineage(ids.where("n > 1 OR doc IS NULL").select(F.col("doc").alias("_doc"), F.lit(True).alias("_several")))
+
+    def counted(rows: DataFrame) -> DataFrame:
+        kind = rows.schema["doc"].dataType.simpleString()
+        split = rows.select("doc", tokens("text").alias("t")).where(F.size("t") > 0)
+        return split.mapInArrow(_count_terms, f"doc {kind}, dl bigint, term string, tf bigint")
+
+    rows, few = docs.select(F.col(doc_id).alias("doc"), F.col(text).alias("text")), several.count()
+    if not few:
+        return counted(rows)
+    flagged = rows.join(F.broadcast(several) if few <= 200_000 else several, F.col("doc").eqNullSafe(F.col("_doc")), "left").drop("_doc")
+    merged = counted(flagged.where("_several")).groupBy("doc", "dl", "term").agg(F.sum("tf").alias("tf"))
+    return counted(flagged.where("_several IS NULL")).unionByName(merged)
+
+
 def build_index(docs: DataFrame, doc_id: str, text: str, path: str | None = None) -> LexicalIndex:
     """Write the index of a corpus.  Documents without a token count towards the number of documents only; null texts have none.
 
@@ -51,21 +89,19 @@ def build_index(docs: DataFrame, doc_id: str, text: str, path: str | None = None
     """
     spark = docs.sparkSession
     index = LexicalIndex(spark, path or scratch_path(spark, "lexical"))
-    words = docs.select(F.col(doc_id).alias("doc"), tokens(text).alias("t")).select("doc", F.size("t").cast("bigint").alias("dl"), F.explode("t").alias("term"))
-    words.groupBy("doc", "dl", "term").agg(F.count("*").alias("tf")).write.parquet(f"{index.path}/counts")
-    counts = index.table("counts")
-    n = docs.agg(F.count("*")).scalar()
-    corpus = counts.agg(F.coalesce(F.sum("tf"), F.lit(0)).alias("total")).select(n.alias("n"), (F.col("total") / F.greatest(n, F.lit(1))).alias("avgdl"))
+    counts, size = term_counts(docs, doc_id, text), F.size(tokens(text)).cast("bigint")
+    sizes = docs.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.when(F.col(text).isNotNull(), size)), F.lit(0)).alias("total"))
+    corpus = cut_lineage(sizes.select("n", (F.col("total") / F.greatest("n", F.lit(1))).alias("avgdl")))
     part = F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("dl") / F.col("_c.avgdl")))
-    scored = with_params(counts, corpus, "_c").select("doc", "term", part.alias("part"))
-    scored.write.parquet(f"{index.path}/postings")
+    with_params(counts, corpus, "_c").select("doc", "term", part.alias("part")).write.parquet(f"{index.path}/postings")
     postings = index.table("postings")
-    df = with_params(postings.groupBy("term").agg(F.count("*").alias("df"), F.max("part").alias("best")), corpus, "_c")
+    df = with_params(cut_lineage(postings.groupBy("term").agg(F.count("*").alias("df"), F.max("part").alias("best"))), corpus, "_c")
     idf = df.select("term", "df", "best", F.ln((F.col("_c.n") - F.col("df") + 0.5) / (F.col("df") + 0.5)).alias("idf"))
     floor = idf.agg((F.avg("idf") * EPSILON).alias("low"))
     with_params(idf, floor, "_f").select("term", "df", "best", F.when(F.col("idf") < 0, F.col("_f.low")).otherwise(F.col("idf")).alias("idf")).write.parquet(f"{index.path}/terms")
-    shards = F.ceil(F.col("df") / SHARD)
-    placed = postings.join(index.table("terms").select("term", "df"), "term").withColumn("shard", F.pmod(F.xxhash64("doc"), shards).cast("int"))
+    # only terms of more than one shard, one in SHARD postings at most, need to be told; postings move once
+    large = index.table("terms").where(F.col("df") > SHARD).select("term", F.ceil(F.col("df") / SHARD).alias("shards"))
+    placed = postings.join(F.broadcast(large), "term", "left").withColumn("shard", F.pmod(F.xxhash64("doc"), F.coalesce("shards", F.lit(1).cast("bigint"))).cast("int"))
     order = Window.partitionBy("term", "shard").orderBy(F.desc("part"), "doc")
     placed = placed.withColumn("block", ((F.row_number().over(order) - 1) / BLOCK).cast("int"))
     blocks = placed.groupBy("term", "shard", "block").agg(F.max("part").alias("top"), F.collect_list(F.struct("doc", "part")).alias("rows"))
@@ -113,6 +149,22 @@ def open_blocks(index: LexicalIndex, cut: DataFrame) -> DataFrame:
     return cut.where("NOT aside").join(blocks, (cut["term"] == blocks["term"]) & (cut["w"] * blocks["top"] > cut["most"])).select("q", cut["term"], "w", "most", "rows")
 
 
+def _full_scores(index: LexicalIndex, asked: DataFrame, left: DataFrame) -> DataFrame:
+    """(q, doc, score) of at least the pairs that are left.
+
+    Few pairs go to where the postings lie.  Where the mark sets little aside, looking up every term of every pair would be many times
+    the postings; then the postings of asked terms are dealt by document once, and meet all queries there.
+    """
+    left = _written(left, "left")
+    postings, words = index.table("postings"), asked.select("q", "term", "w")
+    if left.count() <= FEW_PAIRS:
+        found = postings.join(F.broadcast(left.join(words, "q")), ["doc", "term"])
+    else:
+        used = postings.join(asked.select("term").distinct(), "term", "left_semi")
+        found = used.repartition("doc").join(words, "term")
+    return found.groupBy("q", "doc").agg(F.sum(F.col("w") * F.col("part")).alias("score"))
+
+
 def search(index: LexicalIndex, queries: DataFrame, query_id: str, text: str, k: int, doc_id: str = "doc") -> DataFrame:
     """(query, doc, score, rank): best k documents with a positive score, ties by document id, rank from 0.  Exact."""
     asked = _written(weights(index, queries, query_id, text), "weights")
@@ -121,10 +173,9 @@ def search(index: LexicalIndex, queries: DataFrame, query_id: str, text: str, k:
     gained = read.groupBy("q", F.col("r.doc").alias("doc")).agg(F.sum(F.col("w") * F.col("r.part") - F.col("most")).alias("more"))
     unread = cut.groupBy("q").agg(F.sum("most").alias("all"), F.max("mark").alias("mark"))
     left = gained.join(unread, "q").where(F.col("all") + F.col("more") >= F.col("mark") - SLACK).select("q", "doc")
-    lookups = left.join(asked.select("q", "term", "w"), "q")
-    sums = lookups.join(index.table("postings"), ["doc", "term"]).groupBy("q", "doc").agg(F.round(F.sum(F.col("w") * F.col("part")), 8).alias("score")).where("score > 0")
+    scored = _full_scores(index, asked, left).select("q", "doc", F.round("score", 8).alias("score")).where("score > 0")
     best = Window.partitionBy("q").orderBy(F.desc("score"), "doc")
-    ranked = sums.withColumn("rank", F.row_number().over(best) - 1).where(F.col("rank") < k)
+    ranked = scored.withColumn("rank", F.row_number().over(best) - 1).where(F.col("rank") < k)
     return ranked.select(F.col("q").alias(query_id), F.col("doc").alias(doc_id), "score", "rank")
 
 
