@@ -2,27 +2,22 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import hashlib
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from brindle.functions.expr import stable_hash, with_params
+from brindle.functions.expr import with_params
 from brindle.operators.knn import knn_join
 from brindle.operators.lexical_index import build_index, search, tokens
+from brindle.sources.scratch import cut_small
 
 # fixed values: constant of rank fusion, results of each list that are fused
 RRF_K, POOL = 60, 15
 
 
-def term_counts(df: DataFrame, key: str, text: str) -> DataFrame:
-    """(key, term, tf).
-
-    A text is one row, so its terms are counted where it lies; what crosses the network is one row for each of its different
-    terms, never the text.
-    """
-    return df.select(key, F.explode(tokens(text)).alias("term")).groupBy(key, "term").agg(F.count("*").alias("tf"))
-
-
 def bm25_topk(docs: DataFrame, queries: DataFrame, doc_id: str, query_id: str, text: str, k: int = POOL) -> DataFrame:
     """(query, doc, score, rank): best k documents with a positive score, ties by document id, rank from 0.
 
@@ -32,12 +27,29 @@ def bm25_topk(docs: DataFrame, queries: DataFrame, doc_id: str, query_id: str, t
 
 
 def hashed_vectors(df: DataFrame, key: str, text: str, width: int = 64) -> DataFrame:
-    """(key, vec): signed hash of every token of the text, summed into `width` slots."""
-    slots = term_counts(df, key, text).select(
-        key, "tf", stable_hash("term", seed="slot", mod=width).alias("slot"), (F.lit(1) - 2 * stable_hash("term", seed="sign", mod=2)).alias("sign"))
-    sums = slots.groupBy(key, "slot").agg(F.sum(F.col("tf") * F.col("sign")).cast("double").alias("w"))
-    return sums.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("slot", "w"))).alias("_m")).select(
-        key, F.transform(F.sequence(F.lit(0).cast("bigint"), F.lit(width - 1).cast("bigint")), lambda i: F.coalesce(F.col("_m")[i], F.lit(0.0))).alias("vec"))
+    """(key, vec): signed hash of every token of the text, summed into `width` slots.
+
+    Tokens are hashed and summed where a text lies; what crosses the network, to sum rows of equal keys, is one vector a row.
+    """
+
+    def of(term: str, seed: str, mod: int) -> int:  # stable_hash
+        return int(hashlib.md5(f"{seed}|{term}".encode()).hexdigest()[:8], 16) % mod
+
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            lists = b.column("t")
+            words = lists.flatten().dictionary_encode()
+            known = words.dictionary.to_pylist()
+            slot = np.array([of(w, "slot", width) for w in known], dtype="int64")
+            sign = np.array([1.0 - 2 * of(w, "sign", 2) for w in known])
+            code, row = words.indices.to_numpy(), np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy(zero_copy_only=False))
+            flat = np.bincount(row * width + slot[code], sign[code], minlength=len(lists) * width)
+            vec = pa.ListArray.from_arrays(pa.array(np.arange(len(lists) + 1, dtype="int32") * width), pa.array(flat))
+            yield pa.RecordBatch.from_arrays([b.column("key"), vec], names=["key", "v"])
+
+    rows = df.select(F.col(key).alias("key"), tokens(text).alias("t")).where(F.size("t") > 0)
+    parts = rows.mapInArrow(sums, f"key {df.schema[key].dataType.simpleString()}, v array<double>")
+    return parts.groupBy(F.col("key").alias(key)).agg(F.array(*[F.sum(F.col("v")[i]) for i in range(width)]).alias("vec"))
 
 
 def dense_topk(items: DataFrame, queries: DataFrame, item_id: str, query_id: str, vec: str, k: int = POOL, where: Column | None = None) -> DataFrame:
@@ -101,16 +113,16 @@ def hit_rate_mrr(marked: DataFrame, queries: DataFrame, query_id: str, ks: Seque
 def verbatim_matches(docs: DataFrame, passages: DataFrame, doc_id: str, passage_id: str, text: str, run: int = 5) -> DataFrame:
     """(passage, doc) where the document contains the passage, letter by letter, blanks included.
 
-    Candidates share an anchor; containment is then checked on the whole texts.  The anchor is the longest run of tokens, `run`
+    Candidates share an anchor, compared by a 64-bit hash; containment is then checked on the whole texts.  The anchor is the longest run of tokens, `run`
     at most, after the passage's first token and before its last, for those two may be parts of longer words.  A passage of one
     or two tokens has its first three letters (or as many as it has) as its anchor.  Documents are cut only into the lengths that
     some passage needs.  An empty passage is contained in nothing here; null texts match nothing.
     """
     t, low = tokens(text), F.lower(text)
     inner = F.least(F.size(t) - 2, F.lit(run))
-    by_words = F.struct(inner.alias("words"), F.lit(0).alias("letters"), F.array_join(F.slice(t, 2, F.greatest(inner, F.lit(1))), " ").alias("anchor"))
+    by_words = F.struct(inner.alias("words"), F.lit(0).alias("letters"), F.xxhash64(F.slice(t, 2, F.greatest(inner, F.lit(1)))).alias("anchor"))
     letters = F.least(F.length(text), F.lit(3))
-    by_letters = F.struct(F.lit(0).alias("words"), letters.alias("letters"), F.substring(low, F.lit(1), letters).alias("anchor"))
+    by_letters = F.struct(F.lit(0).alias("words"), letters.alias("letters"), F.xxhash64(F.substring(low, F.lit(1), letters)).alias("anchor"))
     wanted = passages.where(F.length(text) > 0).select(passage_id, F.col(text).alias("_passage"), F.when(inner > 0, by_words).otherwise(by_letters).alias("_a"))
     lengths = wanted.agg(F.collect_set("_a.words").alias("words"), F.collect_set("_a.letters").alias("letters"))
     shown = with_params(docs.where(F.col(text).isNotNull()).select(doc_id, F.col(text).alias("_text"), t.alias("_t"), low.alias("_low")), lengths, "_n")
@@ -118,15 +130,16 @@ def verbatim_matches(docs: DataFrame, passages: DataFrame, doc_id: str, passage_
     def cut(n: Column, size: Column, piece, words: Column, letters: Column) -> Column:
         whole = F.sequence(F.lit(1), F.greatest(size - n + 1, F.lit(1)))
         made = F.transform(whole, lambda i: F.struct(words.alias("words"), letters.alias("letters"), piece(i, n).alias("anchor")))
-        return F.when((n > 0) & (size >= n), made).otherwise(F.array().cast("array<struct<words:int,letters:int,anchor:string>>"))
+        return F.when((n > 0) & (size >= n), made).otherwise(F.array().cast("array<struct<words:int,letters:int,anchor:bigint>>"))
 
     zero = F.lit(0)
-    word_runs = F.flatten(F.transform("_n.words", lambda n: cut(n, F.size("_t"), lambda i, m: F.array_join(F.slice("_t", i, m), " "), n, zero)))
-    letter_runs = F.flatten(F.transform("_n.letters", lambda n: cut(n, F.length("_low"), lambda i, m: F.substring("_low", i, m), zero, n)))
-    pieces = shown.select(doc_id, F.explode(F.array_distinct(F.concat(word_runs, letter_runs))).alias("_p")).select(doc_id, "_p.*")
-    anchors = wanted.select(passage_id, "_a.*")
-    candidates = pieces.join(anchors, ["words", "letters", "anchor"]).select(doc_id, passage_id).distinct()
-    full = candidates.join(docs.select(doc_id, F.col(text).alias("_text")), doc_id).join(wanted.select(passage_id, "_passage"), passage_id)
+    word_runs = F.flatten(F.transform("_n.words", lambda n: cut(n, F.size("_t"), lambda i, m: F.xxhash64(F.slice("_t", i, m)), n, zero)))
+    letter_runs = F.flatten(F.transform("_n.letters", lambda n: cut(n, F.length("_low"), lambda i, m: F.xxhash64(F.substring("_low", i, m)), zero, n)))
+    pieces = shown.select(doc_id, F.explode(F.concat(word_runs, letter_runs)).alias("_p")).select(doc_id, "_p.*")
+    # few runs are anchors and few documents candidates: those go to where the texts lie
+    anchors = cut_small(wanted.select(passage_id, "_a.*"))
+    candidates = cut_small(pieces.join(anchors, ["words", "letters", "anchor"]).select(doc_id, passage_id).distinct())
+    full = docs.select(doc_id, F.col(text).alias("_text")).join(candidates, doc_id).join(wanted.select(passage_id, "_passage"), passage_id)
     return full.where(F.contains("_text", "_passage")).select(passage_id, doc_id)
 
 

@@ -10,6 +10,7 @@ from brindle.operators.splits import in_test
 from brindle.plans.q03_splits import h_sql
 from brindle.plans.registry import query
 from brindle.sources.files import table
+from brindle.sources.scratch import cut_lineage
 
 _CH = "ch AS (SELECT doc_id, source, i::INTEGER AS chunk_no, substr(text, i * 700 + 1, 700) AS chunk FROM (SELECT doc_id, source, text, unnest(range((length(text) + 699) // 700)) AS i FROM documents))"
 
@@ -218,7 +219,7 @@ def build_context(spark, sf):
 def _modes(spark, sf):
     """Results of three modes with references, and the accepted prefixes of every query."""
     ref = F.concat(F.lit("doc"), F.col("doc_id").cast("string"), F.lit("#"))
-    dense, lexical = _dense(spark, sf), _bm25(spark, sf)
+    dense, lexical = cut_lineage(_dense(spark, sf)), cut_lineage(_bm25(spark, sf))  # each list is read twice
     runs = {"dense": dense, "bm25": lexical, "hybrid": retrieval.rrf_fuse([dense, lexical], "item_id", "doc_id", 5)}
     out = None
     for name, df in runs.items():
