@@ -10,6 +10,7 @@ from brindle.sources import files
 from brindle.sources.files import table
 from brindle.sources.scratch import scratch_path
 
+FILES_A_TASK = 500
 _CSV_SCHEMA = "order_id bigint, day_text string, time_text string, price double, status string"
 
 
@@ -56,7 +57,10 @@ def read_json_catalog(spark, sf):
 def read_text_docs(spark, sf):
     """Every page written as a file of its own and read back whole."""
     path = scratch_path(spark, "pages")
-    table(spark, sf, "pages").select("page_id", "html").repartition("page_id").write.partitionBy("page_id").text(path)
+    pages = table(spark, sf, "pages").select("page_id", "html")
+    # a file costs the same however small: tasks are dealt by their number of files, and small ones must not be put together
+    tasks = max(4 * spark.sparkContext.defaultParallelism, -(-pages.count() // FILES_A_TASK))
+    pages.repartition(tasks, "page_id").write.partitionBy("page_id").text(path)
     # the line writer ends each file with a line break of its own
     docs = files.read_text_docs(spark, path).withColumn("text", F.regexp_replace("text", r"\n\z", ""))
     return docs.select(
