@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from brindle.functions.expr import stable_hash
 from brindle.operators import metrics
+from brindle.sources.scratch import cut_lineage
 
 
 def preprocess(numeric: Sequence[str], categorical: Sequence[str] = (), scale: bool = True) -> Pipeline:
@@ -78,8 +79,8 @@ def probability(column: str = "probability") -> Column:
 
 
 def evaluate_classifier(scored: DataFrame, label: str, name: str) -> DataFrame:
-    """(model, n, accuracy, f1, auc) of rows with `p`, the probability of class 1."""
-    cut = scored.select(F.lit(name).alias("model"), F.col(label).cast("int").alias("_y"), "p", (F.col("p") > 0.5).cast("int").alias("_hat"))
+    """(model, n, accuracy, f1, auc) of rows with `p`, the probability of class 1.  Models are applied once, the metrics read narrow rows."""
+    cut = cut_lineage(scored.select(F.lit(name).alias("model"), F.col(label).cast("int").alias("_y"), "p", (F.col("p") > 0.5).cast("int").alias("_hat")))
     base = metrics.classification_metrics(cut, "_y", "_hat", ["model"])
     return base.select("model", (F.col("tp") + F.col("fp") + F.col("fn") + F.col("tn")).alias("n"), "accuracy", "f1").join(metrics.roc_auc(cut, "_y", "p", "model"), "model")
 
@@ -97,7 +98,9 @@ def poisson_steps() -> list[float]:
 def bootstrap_weight(key: str, tree: int) -> Column:
     """How often a row is drawn for a tree: a Poisson(1) count from the row key's hash."""
     u = stable_hash(key, seed=f"tree{tree}") / float(1 << 32)
-    return F.size(F.filter(F.lit(poisson_steps()), lambda p: u >= p)).cast("double")
+    steps = F.lit(poisson_steps())
+    # the hash is an element of its own, else it is worked out again for each step
+    return F.transform(F.array(u), lambda x: F.size(F.filter(steps, lambda p: x >= p)))[0].cast("double")
 
 
 def bagged_trees(df: DataFrame, key: str, label: str, n_trees: int, depth: int = 8) -> tuple[list[Model], DataFrame]:

@@ -33,16 +33,25 @@ def regression_data(spark, sf, categorical=()):
     return prep.transform(train).select(*keep).persist(), prep.transform(test).select(*keep)
 
 
-def document_data(spark, sf):
-    """(train, test) of labelled documents described by their whole text; label is quality."""
-    words = F.filter(F.split("text", r"\s+"), lambda w: w != "")
+def document_features(docs):
+    """Each text described by DOC_NUM; its words are split once, and text leaves the row here."""
+    split = docs.select("doc_id", "lang", "text", F.array_remove(F.split("text", r"\s+"), "").alias("words"))
     chars = F.greatest(F.length("text"), F.lit(1)).cast("double")
-    n = F.greatest(F.size(words), F.lit(1)).cast("double")
-    docs = table(spark, sf, "documents").select(
-        "doc_id", "lang", F.length("text").cast("double").alias("n_chars"), n.alias("n_words"), (F.size(F.array_distinct(words)) / n).alias("distinct_share"), (chars / n).alias("mean_word"),
-        (F.length(F.regexp_replace("text", r"[^\p{Lu}]", "")) / chars).alias("upper_share"), (F.length(F.regexp_replace("text", r"[^0-9]", "")) / chars).alias("digit_share"),
-        F.size(F.split("text", "\n")).cast("double").alias("lines"))
-    df = kfold(docs.join(table(spark, sf, "labels"), "doc_id").withColumn("label", F.col("quality").cast("double")), ["doc_id"], 5)
+    n = F.greatest(F.size("words"), F.lit(1)).cast("double")
+    # runs of other characters go in one replacement each
+    return split.select(
+        "doc_id", "lang", F.length("text").cast("double").alias("n_chars"), n.alias("n_words"), (F.size(F.array_distinct("words")) / n).alias("distinct_share"), (chars / n).alias("mean_word"),
+        (F.length(F.regexp_replace("text", r"[^\p{Lu}]+", "")) / chars).alias("upper_share"), (F.length(F.regexp_replace("text", r"[^0-9]+", "")) / chars).alias("digit_share"),
+        (F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit(""))) + 1).cast("double").alias("lines"))
+
+
+def document_data(spark, sf):
+    """(train, test) of labelled documents described by their whole text; label is quality.
+
+    The texts are read once: every later pass starts from the narrow rows.
+    """
+    docs = document_features(table(spark, sf, "documents"))
+    df = cut_lineage(kfold(docs.join(table(spark, sf, "labels"), "doc_id").withColumn("label", F.col("quality").cast("double")), ["doc_id"], 5))
     train, test = df.where(~in_test(["doc_id"], 0.25)), df.where(in_test(["doc_id"], 0.25))
     prep = models.preprocess(DOC_NUM, ["lang"]).fit(train)
     keep = ["doc_id", "label", "features", "fold"]
