@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 from collections.abc import Callable, Sequence
 
-from pyspark.ml import Model, Pipeline, PipelineModel
+from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
 from pyspark.ml.classification import DecisionTreeClassifier, LinearSVC, LogisticRegression
 from pyspark.ml.feature import Imputer, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -34,13 +34,19 @@ def preprocess(numeric: Sequence[str], categorical: Sequence[str] = (), scale: b
     return Pipeline(stages=stages)
 
 
-def penalized(df: DataFrame, label: str, kind: str, alpha: float, l1_ratio: float = 0.5) -> LinearRegression:
+def penalized(df: DataFrame, label: str, kind: str, alpha: float, l1_ratio: float = 0.5, weight: str | None = None) -> LinearRegression:
     """Linear regression whose penalty has the strength it has on unscaled data.
 
     ridge: α‖w‖² beside the sum of squares; lasso: α‖w‖₁ beside half the mean square; elastic net mixes
-    both.  The solver scales the label, so the squared part is multiplied by its sample sd.
+    both.  The solver scales the label, so the squared part is multiplied by its sd.  The rows are read once, for their
+    moments; what iterates are the moments.
     """
-    n, sd = df.agg(F.count(label), F.stddev_samp(label)).first()
+    if weight is None:
+        n, sd = df.agg(F.count(label), F.stddev_pop(label)).first()
+    else:
+        w, y = F.col(weight), F.col(label)
+        n, mean = df.agg(F.sum(w), F.sum(w * y) / F.sum(w)).first()
+        sd = math.sqrt(df.agg(F.sum(w * (y - mean) * (y - mean))).first()[0] / n)
     if kind == "ridge":
         reg, mix = alpha / n * sd, 0.0
     elif kind == "lasso":
@@ -48,7 +54,112 @@ def penalized(df: DataFrame, label: str, kind: str, alpha: float, l1_ratio: floa
     else:
         reg = alpha * l1_ratio + sd * alpha * (1 - l1_ratio)
         mix = alpha * l1_ratio / reg
-    return LinearRegression(labelCol=label, featuresCol="features", regParam=reg, elasticNetParam=mix, standardization=False, solver="l-bfgs", tol=1e-10, maxIter=500)
+    made = LinearRegression(labelCol=label, featuresCol="features", regParam=reg, elasticNetParam=mix, standardization=False, solver="normal", tol=1e-10, maxIter=500)
+    return made if weight is None else made.setWeightCol(weight)
+
+
+def _given(label: str) -> Column:
+    """The label; a missing one is an error, as it is to the estimators of pyspark.ml."""
+    y = F.col(label).cast("double")
+    return F.when(y.isNull() | F.isnan(y), F.raise_error(F.lit("Labels MUST NOT be Null or NaN")).cast("double")).otherwise(y)
+
+
+def moment_points(df: DataFrame, label: str, features: str = "features") -> DataFrame:
+    """(features, label, weight): a few points with the same count, mean and covariance as the rows.
+
+    Least squares, penalized or not, sees nothing else of its rows, so it can be fitted to the points as often as wanted.  Moments
+    are summed around the mean, in two passes.
+    """
+    import numpy as np
+
+    spark = df.sparkSession
+    rows = df.select(F.concat(vector_to_array(features), F.array(_given(label))).alias("v"))
+    first = rows.first()
+    if first is None:
+        raise ValueError("no rows to fit to")
+    d = len(first["v"])
+    n, *mean = rows.agg(F.count("*"), *[F.avg(F.col("v")[i]) for i in range(d)]).first()
+    part = [F.col("v")[i] - F.lit(mean[i]) for i in range(d)]
+    sums = rows.agg(*[F.avg(part[i] * part[j]) for i in range(d) for j in range(i, d)]).first()
+    cov = np.zeros((d, d))
+    cov[np.triu_indices(d)] = sums
+    size, axes = np.linalg.eigh(np.triu(cov) + np.triu(cov, 1).T)
+    # a pair of points on each axis, as far out as gives the covariance
+    step = axes * np.sqrt(np.maximum(size, 0.0) * d)
+    at = np.concatenate([np.array(mean) + step.T, np.array(mean) - step.T])
+    made = spark.createDataFrame([(p[:-1].tolist(), float(p[-1]), n / (2 * d)) for p in at], f"{features} array<double>, {label} double, weight double")
+    return made.withColumn(features, array_to_vector(features)).coalesce(1)
+
+
+class CellRegression(Estimator):
+    """Least squares on columns of which the last are one-hot: the rows enter as sums for each combination of categories.
+
+    `dense` names the numbers, `cells` the indexed categories, each of which stands for a block of indicators.  Rows of a cell share their
+    indicators, so their part of the normal equations follows from the cell's count, sums and products of the numbers; no row is
+    spread out to all columns.  Columns are standardized and the smallest solution is taken, as categories that add up to one leave
+    it open.
+    """
+
+    def __init__(self, dense: Sequence[str], cells: Sequence[str], label: str = "label") -> None:
+        super().__init__()
+        self.dense, self.cells, self.label = list(dense), list(cells), label
+
+    def _fit(self, df: DataFrame) -> Model:
+        import numpy as np
+
+        p = len(self.dense) + 1
+        numbers = [F.col(c).cast("double") for c in self.dense] + [_given(self.label)]
+        rows = df.select(*self.cells, *[c.alias(f"_{i}") for i, c in enumerate(numbers)])
+        n, *mean = rows.agg(F.count("*"), *[F.avg(f"_{i}") for i in range(p)]).first()
+        if not n:
+            raise ValueError("no rows to fit to")
+        part = [F.col(f"_{i}") - F.lit(mean[i]) for i in range(p)]
+        pairs = [(i, j) for i in range(p) for j in range(i, p)]
+        sums = rows.groupBy(*self.cells).agg(F.count("*").alias("n"), *[F.sum(c).alias(f"s{i}") for i, c in enumerate(part)], *[F.sum(part[i] * part[j]).alias(f"q{i}_{j}") for i, j in pairs])
+        sums = cut_lineage(sums)
+        # what comes to the driver is the matrix of the normal equations
+        sizes = [len(a["vals"]) if "vals" in a else a["num_vals"] for a in (df.schema[c].metadata["ml_attr"] for c in self.cells)]
+        offset = np.r_[0, np.cumsum(sizes)][:-1] + p
+        d = p + sum(sizes)
+        gram = np.zeros((d, d))
+        for (i, j), v in zip(pairs, sums.agg(*[F.sum(f"q{i}_{j}") for i, j in pairs]).first()):
+            gram[i, j] = gram[j, i] = v
+        for b in range(len(self.cells)):
+            for r in sums.groupBy(self.cells[b]).agg(F.sum("n"), *[F.sum(f"s{i}") for i in range(p)]).collect():
+                at = offset[b] + int(r[0])
+                gram[at, at] = r[1]
+                gram[at, :p] = gram[:p, at] = r[2:]
+            for c in range(b):
+                for r in sums.groupBy(self.cells[b], self.cells[c]).agg(F.sum("n")).collect():
+                    gram[offset[b] + int(r[0]), offset[c] + int(r[1])] = gram[offset[c] + int(r[1]), offset[b] + int(r[0])] = r[2]
+        share = np.zeros(d)
+        share[p:] = np.diag(gram)[p:] / n
+        gram[p:, p:] -= n * np.outer(share[p:], share[p:])  # the numbers are centred already
+        y = p - 1
+        use = np.r_[0:y, p:d]
+        sd = np.sqrt(np.maximum(np.diag(gram)[use], 0.0) / n)
+        inverse = np.divide(1.0, sd, out=np.zeros_like(sd), where=sd > 0)
+        scaled = gram[np.ix_(use, use)] * np.outer(inverse, inverse) / n
+        coefficients = np.linalg.pinv(scaled, rcond=1e-10, hermitian=True) @ (gram[use, y] * inverse / n) * inverse
+        centre = np.r_[mean[:y], share[p:]]
+        return CellRegressionModel(coefficients.tolist(), float(mean[y] - centre @ coefficients), self.dense, list(zip(self.cells, sizes)))
+
+
+class CellRegressionModel(Model):
+    """Adds `prediction`: the intercept, the numbers times their coefficients and one coefficient for each category."""
+
+    def __init__(self, coefficients: list[float], intercept: float, dense: list[str], cells: list[tuple[str, int]]) -> None:
+        super().__init__()
+        self.coefficients, self.intercept, self.dense, self.cells = coefficients, intercept, dense, cells
+
+    def _transform(self, df: DataFrame) -> DataFrame:
+        out, at = F.lit(self.intercept), len(self.dense)
+        for c, b in zip(self.dense, self.coefficients):
+            out = out + F.col(c) * F.lit(b)
+        for c, size in self.cells:
+            out = out + F.coalesce(F.try_element_at(F.lit(self.coefficients[at : at + size]), F.col(c).cast("int") + 1), F.lit(0.0))
+            at += size
+        return df.withColumn("prediction", out)
 
 
 def cross_validate(df: DataFrame, fold: str, k: int, fit: Callable[[DataFrame], Model], score: Callable[[DataFrame], DataFrame]) -> DataFrame:

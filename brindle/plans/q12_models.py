@@ -24,9 +24,12 @@ DOC_NUM = ["n_chars", "n_words", "distinct_share", "mean_word", "upper_share", "
 
 
 def regression_data(spark, sf, categorical=()):
-    """(train, test) of line items with the log price as label, features standardized on train."""
-    df = base.sales(spark, sf).select("row_id", "l_orderkey", *NUM, *categorical, F.log1p("l_extendedprice").alias("label"))
-    df = kfold(df, ["row_id"], 5)
+    """(train, test) of line items with the log price as label, features standardized on train.
+
+    Items meet their parts once: every later pass starts from the narrow rows.
+    """
+    df = base.sales(spark, sf).select("row_id", *NUM, *categorical, F.log1p("l_extendedprice").alias("label"))
+    df = cut_lineage(kfold(df, ["row_id"], 5))
     train, test = df.where(~in_test(["row_id"], 0.25, seed=1)), df.where(in_test(["row_id"], 0.25, seed=1))
     prep = models.preprocess(NUM, categorical).fit(train)
     keep = ["row_id", "label", "features", "fold"]
@@ -100,14 +103,16 @@ def cross_val_score(spark, sf):
 
 @query("regularization_path")
 def regularization_path(spark, sf):
+    """Twenty fits on one pass: the rows enter through their moments."""
     train, _ = regression_data(spark, sf)
+    points = models.moment_points(train, "label")
     rows = []
     for kind, low, high in (("ridge", -2, 4), ("lasso", -3, 1)):
         alphas = [10 ** (low + (high - low) * i / 9) for i in range(10)]
-        maps = [models.penalized(train, "label", kind, a) for a in alphas[:1]]
+        maps = [models.penalized(points, "label", kind, a, weight="weight") for a in alphas[:1]]
         scale = maps[0].getRegParam() / alphas[0]
         grid = [{maps[0].regParam: scale * a} for a in alphas]
-        for (a, m) in zip(alphas, maps[0].fit(train, grid)):
+        for (a, m) in zip(alphas, maps[0].fit(points, grid)):
             rows += [(kind, float(a), f, float(c)) for f, c in zip(NUM, m.coefficients)]
     return spark.createDataFrame(rows, "kind string, alpha double, feature string, coefficient double")
 
@@ -155,8 +160,8 @@ def tree_importance_rank(spark, sf):
 def fit_transform_pipeline(spark, sf):
     """Preparation and model refitted inside every fold; a category new to a fold is all zeros."""
     df = base.sales(spark, sf).select("row_id", *NUM, "p_brand", "p_type", F.log1p("l_extendedprice").alias("label"))
-    df = kfold(df, ["row_id"], 5).persist()
-    pipe = Pipeline(stages=[models.preprocess(NUM, ["p_brand", "p_type"]), LinearRegression(solver="normal")])
+    df = cut_lineage(kfold(df, ["row_id"], 5))
+    pipe = Pipeline(stages=[models.preprocess(NUM, ["p_brand", "p_type"], scale=False), models.CellRegression([f"{c}_f" for c in NUM], ["p_brand_i", "p_type_i"])])
     score = lambda d: metrics.regression_metrics(d, "label", "prediction").select("rmse", "r2")
     return models.mean_sd(models.cross_validate(df, "fold", 5, pipe.fit, score), ["rmse", "r2"])
 

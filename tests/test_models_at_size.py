@@ -62,3 +62,37 @@ def test_bootstrap_weight_hashes_a_row_once(spark):
     # the hash stands outside the function that is called for each step
     inner = plan(rows.select(models.bootstrap_weight("doc_id", 3)))
     assert "md5" not in inner[inner.rindex("lambdafunction(("):]
+
+
+def test_cells_give_the_least_squares_of_all_indicator_columns(spark):
+    import numpy as np
+    from pyspark.ml import Pipeline
+
+    rng = np.random.default_rng(1)
+    rows = [(float(rng.normal()) if i % 7 else None, "abc"[rng.integers(3)], "xyzuv"[rng.integers(5)], float(rng.normal())) for i in range(300)]
+    df = spark.createDataFrame(rows, "a double, g string, h string, label double")
+    made = Pipeline(stages=[models.preprocess(["a"], ["g", "h"], scale=False), models.CellRegression(["a_f"], ["g_i", "h_i"])]).fit(df)
+    found = np.array([r["prediction"] for r in made.transform(df).select("prediction").collect()])
+    fill = next(r["a_f"] for r in made.transform(df.where("a IS NULL")).collect())
+    x = np.array([[1.0, fill if a is None else a, *[g == c for c in "abc"], *[h == c for c in "xyzuv"]] for a, g, h, _ in rows], float)
+    y = np.array([r[3] for r in rows])
+    assert np.allclose(found, x @ np.linalg.lstsq(x, y, rcond=None)[0])
+    # a category that is new has no part in the prediction
+    assert all(r["prediction"] is not None for r in made.transform(spark.createDataFrame([(0.0, "new", None, 0.0)], df.schema)).collect())
+
+
+def test_points_have_the_moments_of_the_rows(spark):
+    import numpy as np
+    from pyspark.ml.functions import array_to_vector
+
+    rng = np.random.default_rng(2)
+    v = rng.normal(size=(200, 3)) @ rng.normal(size=(3, 3)) + 5
+    df = spark.createDataFrame([(r[:2].tolist(), float(r[2])) for r in v], "f array<double>, label double").select(array_to_vector("f").alias("features"), "label")
+    points = models.moment_points(df, "label")
+    got = np.array([[*r["features"], r["label"]] for r in points.collect()])
+    assert points.agg(F.sum("weight")).first()[0] == pytest.approx(200)
+    assert np.allclose(got.mean(axis=0), v.mean(axis=0)) and np.allclose(np.cov(got.T, bias=True), np.cov(v.T, bias=True))
+    for kind in ("ridge", "lasso"):
+        a = models.penalized(df, "label", kind, 0.3).fit(df).coefficients
+        b = models.penalized(points, "label", kind, 0.3, weight="weight").fit(points).coefficients
+        assert np.allclose(a.toArray(), b.toArray(), atol=1e-7)
