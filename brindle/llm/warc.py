@@ -23,10 +23,11 @@ from itertools import chain
 from urllib.parse import quote
 
 import pyarrow as pa
+import zstandard
 from pyarrow import fs
 from pyspark.sql import DataFrame, functions as F
 
-from brindle.llm.common import lookup, staged
+from brindle.llm.common import lookup, slices, staged
 from brindle.sources.scratch import scratch_path
 
 PIECE = 1 << 20
@@ -138,14 +139,15 @@ def _manifest(path: str, n: int) -> pa.RecordBatch:
 def _writer(folder: str, archive_bytes: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out, gz, path, n, size = None, None, "", 0, 0
+        inflate = zstandard.ZstdDecompressor()
         for part in batches:
             for i in range(part.num_rows):
-                page_id, url, html, digest, refers_to, revisit = (part.column(c)[i].as_py() for c in ("page_id", "url", "html", "digest", "refers_to", "revisit"))
+                page_id, url, packed, digest, refers_to, revisit = (part.column(c)[i].as_py() for c in ("page_id", "url", "packed", "digest", "refers_to", "revisit"))
                 if out is None:
                     path, n, size = f"{folder}/{uuid.uuid4().hex}.warc.gz", 0, 0
                     store, name = _open(path)
                     out, gz = store.open_output_stream(name, compression=None), zlib.compressobj(6, zlib.DEFLATED, 31)
-                payload = html.encode()
+                payload = inflate.decompress(packed)
                 for piece in record(page_id, url, payload, digest, refers_to, revisit):
                     out.write(gz.compress(piece))
                 n, size = n + 1, size + len(payload)
@@ -162,8 +164,17 @@ def _writer(folder: str, archive_bytes: int) -> Callable:
     return run
 
 
+def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """html to its compressed UTF-8 bytes, which is what the shuffle carries and keeps on disk."""
+    deflate = zstandard.ZstdCompressor(level=3)
+    for batch in batches:
+        for part in slices(batch):
+            made = pa.array([deflate.compress(x.encode()) for x in part.column("html").to_pylist()], pa.binary())
+            yield pa.RecordBatch.from_arrays([*(part.column(c) for c in ("rid", "page_id", "url", "digest")), made], ["rid", "page_id", "url", "digest", "packed"])
+
+
 def assign_types(pages: DataFrame) -> DataFrame:
-    """(page_id, url, html, digest, copies, revisit, refers_to), one row for all equal rows: of equal payloads of SMALL bytes or more,
+    """(page_id, url, packed, digest, copies, revisit, refers_to), one row for all equal rows: of equal payloads of SMALL bytes or more,
     all but one are revisits.
 
     The one that stays is that of the smallest page_id (rows without one come last), then of the least url (null first); of equal rows
@@ -173,7 +184,8 @@ def assign_types(pages: DataFrame) -> DataFrame:
     named = named.withColumn("digest", F.sha2("html", 256))
     rid = F.concat(F.coalesce(F.col("page_id").cast("string"), F.lit("")), F.lit(" "), "digest", F.coalesce(F.concat(F.lit(" "), "url"), F.lit("")))
     named = named.withColumn("rid", F.sha2(rid, 256))
-    full = named.groupBy("rid").agg(*[F.first(c).alias(c) for c in ("page_id", "url", "html", "digest")], F.count("*").alias("copies"))
+    packed = named.select("rid", "page_id", "url", "digest", "html").mapInArrow(_pack, "rid string, page_id bigint, url string, digest string, packed binary")
+    full = packed.groupBy("rid").agg(*[F.first(c).alias(c) for c in ("page_id", "url", "packed", "digest")], F.count("*").alias("copies"))
     narrow = named.where(F.octet_length("html") >= SMALL).groupBy("rid").agg(F.count("*").alias("copies"), *[F.first(c).alias(c) for c in ("page_id", "url", "digest")])
     order = F.struct(F.col("page_id").isNull(), "page_id", "url", "rid")
     first = narrow.groupBy("digest").agg(F.min(order).alias("first"), F.sum("copies").alias("all"), F.count("*").alias("n")).where("all > 1")
