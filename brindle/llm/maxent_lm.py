@@ -16,7 +16,7 @@ from __future__ import annotations
 import zlib
 from collections import Counter
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +37,9 @@ FEATURES = 5
 BUCKETS = 4_096  # hashed rows of weights for each feature; a power of two
 ROUNDS = 2  # each sees its own part of the training documents, all of them once
 BATCH = 2_048  # tokens of a gradient step
-BLOCK = 8_192  # tokens scored at once
+BLOCK = 512  # tokens scored at once: their scores stay in a core's cache
+SHORT = 32  # rows of weights that at most so many tokens of a batch share are summed together
+SAFE = 60.0  # scores between minus and plus this need no shift before they are raised
 RATE = 0.5
 SMOOTH = 0.1
 
@@ -52,7 +54,12 @@ def words(text: str) -> list[bytes]:
 
 
 def shared_class(word: bytes) -> int:
-    return SINGLE + zlib.crc32(word.decode("utf-8", "replace")[-3:].encode()) % SHARED
+    return shared_classes([word])[0]
+
+
+def shared_classes(found: list[bytes]) -> list[int]:
+    ends = [w[-3:] if w.isascii() else w.decode("utf-8", "replace")[-3:].encode() for w in found]
+    return [SINGLE + k % SHARED for k in map(zlib.crc32, ends)]
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -63,7 +70,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys = list(seen)
         made = pa.RecordBatch.from_arrays([
             pa.array([k.decode("utf-8", "replace") for k in keys], pa.string()), pa.array([xxhash.xxh64_intdigest(k) - (1 << 63) for k in keys], pa.int64()),
-            pa.array([shared_class(k) for k in keys], pa.int32()), pa.array(list(seen.values()), pa.int64())], ["token", "hash", "class", "n"])
+            pa.array(shared_classes(keys), pa.int32()), pa.array(list(seen.values()), pa.int64())], ["token", "hash", "class", "n"])
         seen.clear()
         return made
 
@@ -76,34 +83,30 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield out()
 
 
-class Lookup(dict):
+class Lookup:
     """Word to one number: class in 8 bits, place in the head plus one in 17, feature name above."""
 
     def __init__(self, head: list[tuple[str, int]]) -> None:
-        super().__init__()
         self.fixed: dict[bytes, int] = {}
-        for i, (token, _) in enumerate(head):
-            word = token.encode()
-            name = i + 1 + CLASSES if i < NAMED else shared_class(word)
-            self.fixed[word] = (i if i < SINGLE else shared_class(word)) | (i + 1) << 8 | name << 25
+        named = [token.encode() for token, _ in head]
+        for i, (word, k) in enumerate(zip(named, shared_classes(named))):
+            name = i + 1 + CLASSES if i < NAMED else k
+            self.fixed[word] = (i if i < SINGLE else k) | (i + 1) << 8 | name << 25
         self.logs = np.r_[0.0, np.log10(np.array([c for _, c in head], float) + SMOOTH)] if head else np.zeros(1)
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > 300_000:
-            self.clear()
-        value = self.fixed.get(word)
-        if value is None:
-            k = shared_class(word)
-            value = k | k << 25
-        self[word] = value
-        return value
+    def numbers(self, found: list[bytes]) -> np.ndarray:
+        code = np.fromiter(map(self.fixed.get, found, repeat(-1)), np.int64, len(found))
+        outside = np.flatnonzero(code < 0)  # these stand for their class
+        k = np.array(shared_classes([found[i] for i in outside.tolist()]), np.int64)
+        code[outside] = k | k << 25
+        return code
 
 
 def encode(lookup: Lookup, found: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
     """The numbers of the words of several texts, one after another, and for each feature the row it picks."""
     sizes = [len(f) for f in found]
     total = sum(sizes)
-    code = np.fromiter(map(lookup.__getitem__, chain.from_iterable(found)), np.int64, total)
+    code = lookup.numbers(list(chain.from_iterable(found)))
     name = (code >> 25).astype(np.uint64)
     ends = np.cumsum(sizes)
     place = np.arange(total) - np.repeat(np.r_[0, ends[:-1]], sizes)
@@ -119,11 +122,13 @@ def encode(lookup: Lookup, found: list[list[bytes]]) -> tuple[np.ndarray, np.nda
 
 
 def logits(weights: np.ndarray, bias: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """Scores of all classes, shifted by their largest where they could leave the range of exp."""
     out = weights.take(rows[0], axis=0)
     for r in rows[1:]:
         out += weights.take(r, axis=0)
     out += bias
-    out -= out.max(axis=1, keepdims=True)
+    if not (out.max(initial=0.0) < SAFE and out.min(initial=0.0) > -SAFE):
+        out -= out.max(axis=1, keepdims=True)
     return out
 
 
@@ -134,26 +139,52 @@ def class_log10(weights: np.ndarray, bias: np.ndarray, code: np.ndarray, rows: n
         x = logits(weights, bias, rows[:, a : a + BLOCK])
         k = (code[a : a + BLOCK] & 255).astype(np.int64)
         own = x[np.arange(len(k)), k].astype(np.float64)
-        out[a : a + BLOCK] = (own - np.log(np.exp(x).sum(axis=1, dtype=np.float64))) / np.log(10)
+        np.exp(x, out=x)
+        out[a : a + BLOCK] = (own - np.log(x.sum(axis=1).astype(np.float64))) / np.log(10)
     return out
 
 
+def grouped_sums(x: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Each distinct key, how many rows of x have it, and their sum; keys run over the rows of x once or several times.
+
+    Keys go by falling count, so the second rows of all short groups are one slice, the third another; a long group is one sum.
+    """
+    order = np.argsort(keys.astype(np.uint16), kind="stable")  # short keys sort by their digits
+    s = keys.take(order)
+    order %= len(x)
+    new = np.empty(len(s), bool)
+    new[:1] = True
+    np.not_equal(s[1:], s[:-1], out=new[1:])
+    first = np.flatnonzero(new)
+    size = np.diff(first, append=len(s))
+    by_size = np.argsort(-size, kind="stable")
+    first, size = first.take(by_size), size.take(by_size)
+    out = x.take(order.take(first), axis=0)
+    longer = np.searchsorted(-size, -np.arange(SHORT + 1), side="left")  # how many groups have more rows than 0, 1, …
+    long = longer[SHORT]
+    for i, (a, n) in enumerate(zip(first[:long].tolist(), size[:long].tolist())):
+        np.add.reduce(x.take(order[a : a + n], axis=0), axis=0, out=out[i])
+    for r in range(1, SHORT):
+        if long < longer[r]:
+            out[long : longer[r]] += x.take(order.take(first[long : longer[r]] + r), axis=0)
+    return s.take(first), size, out
+
+
 def gradient_step(weights: np.ndarray, bias: np.ndarray, scale: np.ndarray, used: np.ndarray, code: np.ndarray, rows: np.ndarray) -> None:
     """One step down the log loss of a batch, in place, in the tables of all features.  Each row of weights has its own step length
     from its past gradients."""
-    x = logits(weights, bias, rows)
-    np.exp(x, out=x)
-    x /= x.sum(axis=1, keepdims=True)
+    x = np.empty((len(code), CLASSES), np.float32)
+    for a in range(0, len(code), BLOCK):
+        part = logits(weights, bias, rows[:, a : a + BLOCK])
+        np.exp(part, out=part)
+        np.multiply(part, 1.0 / part.sum(axis=1, keepdims=True), out=x[a : a + BLOCK])
     x[np.arange(len(code)), code & 255] -= 1
-    for r in rows:
-        order = np.argsort((r % BUCKETS).astype(np.uint16), kind="stable")  # short keys sort by their digits
-        s = r[order]
-        first = np.flatnonzero(np.r_[True, s[1:] != s[:-1]])
-        g = np.add.reduceat(x.take(order, axis=0), first, axis=0)
-        at = s[first]
-        scale[at] += np.einsum("ij,ij->i", g, g)
-        used[at] += np.diff(np.r_[first, len(s)])
-        weights[at] -= g * (RATE / np.sqrt(scale[at] + 1.0)).astype(np.float32)[:, None]
+    at, n, g = grouped_sums(x, rows.ravel())  # the rows of different features differ
+    scale[at] += np.einsum("ij,ij->i", g, g)
+    used[at] += n
+    g *= (-RATE / np.sqrt(scale[at] + 1.0)).astype(np.float32)[:, None]
+    g += weights.take(at, axis=0)
+    weights[at] = g
 
 
 def _train(head, model, bias: np.ndarray):

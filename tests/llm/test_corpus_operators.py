@@ -342,3 +342,32 @@ def test_batches_are_cut_by_bytes():
     parts = list(slices(batch, 4000))
     assert pa.Table.from_batches(parts).to_pydict() == batch.to_pydict() and len(parts) > 20
     assert all(p.num_rows == 1 or p.nbytes <= 8000 for p in parts)
+
+
+def test_sums_by_key_are_those_of_each_row_in_turn():
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(500, 6)).astype(np.float32)
+    # one key has more than SHORT rows, many have one; keys run over the rows twice
+    keys = np.r_[rng.zipf(1.6, 500).clip(0, 400), 1_000 + rng.integers(0, 300, 500)]
+    at, n, sums = maxent_lm.grouped_sums(x, keys)
+    assert sorted(at.tolist()) == sorted(set(keys.tolist())) and n.max() > maxent_lm.SHORT and n.min() == 1
+    for k, c, s in zip(at, n, sums):
+        rows = np.flatnonzero(keys == k) % 500
+        assert c == len(rows) and np.allclose(s, x[rows].sum(axis=0), atol=1e-4)
+
+
+def test_scores_out_of_the_range_of_exp_are_shifted():
+    bias = np.zeros(maxent_lm.CLASSES, np.float32)
+    weights = np.zeros((2, maxent_lm.CLASSES), np.float32)
+    weights[:, 3] = 500.0
+    weights[1, 4] = 500.0
+    code, rows = np.array([3, 4, 4]), np.array([[0, 1, 0]])
+    assert np.allclose(maxent_lm.class_log10(weights, bias, code, rows), [0.0, -np.log10(2), -500 / np.log(10)], atol=1e-4)
+
+
+def test_words_out_of_the_head_stand_for_their_class():
+    lookup = maxent_lm.Lookup([("a", 5), ("täß", 2)])
+    found = [b"a", "täß".encode(), "öäß".encode(), b"long", b"\xff\xfe", b"a"]
+    code = lookup.numbers(found)
+    assert ((code >> 8) & 0x1FFFF).tolist() == [1, 2, 0, 0, 0, 1]
+    assert [c & 255 for c in code.tolist()][2:5] == [maxent_lm.shared_class(w) for w in found[2:5]]
