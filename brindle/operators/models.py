@@ -162,6 +162,21 @@ class CellRegressionModel(Model):
         return df.withColumn("prediction", out)
 
 
+FIT_ROWS = 500_000  # rows of a partition where a model is fitted by many short passes
+
+
+def random_folds(df: DataFrame, k: int, seed: int) -> DataFrame:
+    """Adds `cv_fold`, the folds CrossValidator would draw with that seed, as a column that no later change of partitions moves."""
+    u = F.col("_u")
+    fold = F.coalesce(*[F.when((u >= i * (1.0 / k)) & (u < (i + 1) * (1.0 / k)), i) for i in range(k)], F.lit(k - 1))
+    return df.withColumn("_u", F.rand(seed)).withColumn("cv_fold", fold.cast("int")).drop("_u")
+
+
+def few_parts(df: DataFrame, rows: int = FIT_ROWS) -> DataFrame:
+    """The rows in as few partitions as hold `rows` each, four at least: up to four, a sum over them needs no second stage."""
+    return df.coalesce(max(4, -(-df.count() // rows)))
+
+
 def cross_validate(df: DataFrame, fold: str, k: int, fit: Callable[[DataFrame], Model], score: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """(fold, metrics…): each fold scored by a model that never saw it."""
     out = None

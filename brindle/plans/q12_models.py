@@ -8,16 +8,17 @@ from pyspark.ml.classification import (
 )
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import PolynomialExpansion, VectorAssembler
-from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import GBTRegressor, LinearRegression
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import functions as F
 
 from brindle.operators import featurestore as fs, impute, metrics, models
+from brindle.operators.forest import CellForest
 from brindle.operators.splits import in_test, kfold
 from brindle.plans import base, q11_featurestore as q11
 from brindle.plans.registry import query
 from brindle.sources.files import table
-from brindle.sources.scratch import cut_lineage, scratch_path
+from brindle.sources.scratch import bounded, cut_lineage, scratch_path
 
 NUM = ["l_quantity", "l_discount", "l_tax", "p_size", "p_retailprice"]
 DOC_NUM = ["n_chars", "n_words", "distinct_share", "mean_word", "upper_share", "digit_share", "lines"]
@@ -26,10 +27,10 @@ DOC_NUM = ["n_chars", "n_words", "distinct_share", "mean_word", "upper_share", "
 def regression_data(spark, sf, categorical=()):
     """(train, test) of line items with the log price as label, features standardized on train.
 
-    Items meet their parts once: every later pass starts from the narrow rows.
+    Items meet their parts once: every later pass starts from the narrow rows, in partitions of bounded size.
     """
     df = base.sales(spark, sf).select("row_id", *NUM, *categorical, F.log1p("l_extendedprice").alias("label"))
-    df = cut_lineage(kfold(df, ["row_id"], 5))
+    df = bounded(cut_lineage(kfold(df, ["row_id"], 5)))
     train, test = df.where(~in_test(["row_id"], 0.25, seed=1)), df.where(in_test(["row_id"], 0.25, seed=1))
     prep = models.preprocess(NUM, categorical).fit(train)
     keep = ["row_id", "label", "features", "fold"]
@@ -153,7 +154,7 @@ def lasso_select(spark, sf):
 @query("tree_importance_rank")
 def tree_importance_rank(spark, sf):
     train, _ = regression_data(spark, sf)
-    return models.importances(spark, RandomForestRegressor(numTrees=200, maxDepth=6, seed=0).fit(train), NUM)
+    return models.importances(spark, CellForest(200, 6, seed=0, key=["row_id"]).fit(train), NUM)
 
 
 @query("fit_transform_pipeline")
@@ -283,10 +284,12 @@ def blending(spark, sf):
 
 @query("grid_search_cv")
 def grid_search_cv(spark, sf):
+    """Sixteen settings by five folds; a pass over a fold is one stage of few tasks, as there are some thousands of passes."""
     train, _ = document_data(spark, sf)
+    train = models.few_parts(models.random_folds(train, 5, seed=0))
     lr = LogisticRegression(maxIter=30)
     grid = ParamGridBuilder().addGrid(lr.regParam, [0.0001, 0.001, 0.01, 0.1]).addGrid(lr.elasticNetParam, [0.0, 0.33, 0.67, 1.0]).build()
-    cv = CrossValidator(estimator=lr, estimatorParamMaps=grid, evaluator=BinaryClassificationEvaluator(), numFolds=5, seed=0, parallelism=4).fit(train)
+    cv = CrossValidator(estimator=lr, estimatorParamMaps=grid, evaluator=BinaryClassificationEvaluator(), numFolds=5, foldCol="cv_fold", parallelism=8).fit(train)
     rows = [(float(p[lr.regParam]), float(p[lr.elasticNetParam]), float(s)) for p, s in zip(grid, cv.avgMetrics)]
     best = max(r[2] for r in rows)
     return spark.createDataFrame([(a, b, s, s == best) for a, b, s in rows], "reg_param double, elastic_net double, auc double, best boolean")
@@ -326,5 +329,5 @@ def training_set_end_to_end(spark, sf):
     joined = joined.join(frame.select("event_id", F.log1p("value").alias("label")), "event_id")
     cols = [*TRAINING_FEATURES, *[f"{c}_missing" for c in TRAINING_FEATURES]]
     data = VectorAssembler(inputCols=cols, outputCol="features").transform(training_rows(joined, in_test(["event_id"], 0.2)))
-    model = RandomForestRegressor(numTrees=300, maxDepth=10, seed=42).fit(data.where(~in_test(["event_id"], 0.2)))
+    model = CellForest(300, 10, seed=42, key=["event_id"]).fit(data.where(~in_test(["event_id"], 0.2)))
     return metrics.regression_metrics(model.transform(data.where(in_test(["event_id"], 0.2))), "label", "prediction")
