@@ -204,8 +204,8 @@ PARTS = ["pick", "bin", "gain", "left", "right", "mean"]
 class CellForest(Estimator):
     """Random forest for regression: bootstrap samples, a third of the features at each node, at most 32 bins a feature.
 
-    `key` names the columns that tell rows apart; a row's draws are a function of its key, features and label, so a forest does not
-    depend on how rows are dealt.
+    `key` names the columns that tell rows apart; a row's draws are a function of its key, features and label, and do not depend on how
+    rows are dealt.
     """
 
     def __init__(self, n_trees: int, depth: int, seed: int = 0, key: Sequence[str] = (), label: str = "label", features: str = "features") -> None:
@@ -267,7 +267,7 @@ class CellForest(Estimator):
 
 
 class CellForestModel(Model):
-    """Adds `prediction`, the mean over trees; rows without features are not allowed."""
+    """Adds `prediction`, the mean over trees."""
 
     def __init__(self, trees: dict[str, np.ndarray], edges: list[list[float]], importances: np.ndarray, depth: int, features: str) -> None:
         super().__init__()
