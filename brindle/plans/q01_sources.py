@@ -60,11 +60,14 @@ def read_text_docs(spark, sf):
     pages = table(spark, sf, "pages").select("page_id", "html")
     # a file costs the same however small: tasks are dealt by their number of files, and small ones must not be put together
     tasks = max(4 * spark.sparkContext.defaultParallelism, -(-pages.count() // FILES_A_TASK))
-    pages.repartition(tasks, "page_id").write.partitionBy("page_id").text(path)
-    # the line writer ends each file with a line break of its own
-    docs = files.read_text_docs(spark, path).withColumn("text", F.regexp_replace("text", r"\n\z", ""))
+    folders = files.write_text_docs(pages, "page_id", "html", path, tasks)
+    if not folders:
+        return pages.select("page_id", F.length("html").cast("bigint").alias("n_chars"), F.md5("html").alias("digest"))
+    # each page is a line of its file
+    docs = files.read_text_docs(spark, folders, plain=True).withColumn("text", F.regexp_replace("text", r"\n\z", ""))
+    docs = docs.coalesce(tasks)  # a scan deals few small files to a task, and each task's result is a file again
     return docs.select(
-        F.regexp_extract("path", r"page_id=(\d+)/", 1).cast("bigint").alias("page_id"),
+        F.nullif(F.regexp_extract("name", r"key=(-?\d*)\.txt", 1), F.lit("")).cast("bigint").alias("page_id"),
         F.length("text").cast("bigint").alias("n_chars"), F.md5("text").alias("digest"))
 
 

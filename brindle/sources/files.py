@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+import uuid
+from collections.abc import Callable, Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 
@@ -35,9 +37,53 @@ def read_json_catalog(spark: SparkSession, path: str, schema: T.StructType | str
     return spark.read.schema(schema).option("multiLine", array_file).json(path)
 
 
-def read_text_docs(spark: SparkSession, path: str) -> DataFrame:
-    """(name, text): every file whole, named by its file name."""
-    return spark.read.text(path, wholetext=True, recursiveFileLookup=True).select(
+def _page_writer(root: str):
+    """Rows (task, key, text) in order of key: a file for each key in a folder of this attempt's own, which is named at the end."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyarrow import fs
+
+        store, at = fs.FileSystem.from_uri(root if "://" in root else f"file://{root.removeprefix('file:')}")
+        folder, out, last = "", None, None
+        for b in batches:
+            for task, key, text in zip(b.column("task").to_pylist(), b.column("key").to_pylist(), b.column("text").to_pylist()):
+                if not folder:
+                    folder = f"part-{task:05d}-{uuid.uuid4().hex}"
+                    store.create_dir(f"{at}/{folder}", recursive=True)
+                if out is None or key != last:
+                    if out is not None:
+                        out.close()
+                    out, last = store.open_output_stream(f"{at}/{folder}/part-{task:05d}-key={'' if key is None else key}.txt", compression=None), key
+                out.write(text + b"\n")
+        if out is not None:
+            out.close()
+            yield pa.RecordBatch.from_arrays([pa.array([folder])], ["folder"])
+
+    return run
+
+
+def write_text_docs(df: DataFrame, key: str, text: str, path: str, tasks: int) -> list[str]:
+    """Every text as a line of the file of its key, a whole number; the folders of the finished tasks, a file of each key in one of them.
+
+    Files are written where the rows lie and stay there: Hadoop's local file system starts a process for the rights of each file it makes, and
+    a committer that renames them one by one works on the driver.  A null text is an empty line; texts of the same key share a file.
+    """
+    rows = df.select(F.col(key).cast("bigint").alias("key"), F.coalesce(F.col(text), F.lit("")).cast("binary").alias("text"))
+    dealt = rows.repartition(tasks, "key").sortWithinPartitions("key").select(F.spark_partition_id().alias("task"), "key", "text")
+    return [f"{path}/{r[0]}" for r in dealt.mapInArrow(_page_writer(path), "folder string").collect()]
+
+
+def read_text_docs(spark: SparkSession, path: str | Sequence[str], plain: bool = False) -> DataFrame:
+    """(name, path, text): every file of a folder, or of several, whole, named by its file name.
+
+    Where all are `plain`, none compressed, files are read as bytes: the text reader sets up a job's settings anew for each of them.
+    """
+    paths = path if isinstance(path, str) else list(path)
+    if plain:
+        found = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(paths).withColumn("value", F.col("content").cast("string"))
+    else:
+        found = spark.read.text(paths, wholetext=True, recursiveFileLookup=True)
+    return found.select(
         F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1).alias("name"),
         F.col("_metadata.file_path").alias("path"),
         F.col("value").alias("text"),
