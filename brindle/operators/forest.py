@@ -39,16 +39,16 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def bin_edges(rows: DataFrame, dims: int) -> list[list[float]]:
-    """For each element of `v` at most BINS - 1 thresholds: between all values if these are few, else at quantiles."""
+def bin_edges(rows: DataFrame, dims: int, bins: int = BINS) -> list[list[float]]:
+    """For each element of `v` at most bins - 1 thresholds: between all values if these are few, else at quantiles."""
     found = rows.agg(*[F.approx_count_distinct(F.col("v")[i], 0.02) for i in range(dims)]).first()
     edges: list[list[float]] = []
     for i in range(dims):
         values = None
-        if found[i] <= 2 * BINS:
+        if found[i] <= 2 * bins:
             values = sorted(r[0] for r in rows.select(F.col("v")[i]).distinct().collect())
-        if values is None or len(values) > BINS:
-            values = sorted(set(rows.select(F.col("v")[i].alias("x")).approxQuantile("x", [k / BINS for k in range(1, BINS)], 0.001)))
+        if values is None or len(values) > bins:
+            values = sorted(set(rows.select(F.col("v")[i].alias("x")).approxQuantile("x", [k / bins for k in range(1, bins)], 0.001)))
             edges.append([float(x) for x in values])
         else:
             edges.append([(a + b) / 2 for a, b in zip(values, values[1:])])

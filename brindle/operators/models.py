@@ -6,7 +6,7 @@ import math
 from collections.abc import Callable, Sequence
 
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
-from pyspark.ml.classification import DecisionTreeClassifier, LinearSVC, LogisticRegression
+from pyspark.ml.classification import LinearSVC, LogisticRegression
 from pyspark.ml.feature import Imputer, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import LinearRegression
@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from brindle.functions.expr import stable_hash
 from brindle.operators import metrics
+from brindle.operators.grown_forest import GrownForest
 from brindle.sources.scratch import cut_lineage
 
 
@@ -229,19 +230,10 @@ def bootstrap_weight(key: str, tree: int) -> Column:
     return F.transform(F.array(u), lambda x: F.size(F.filter(steps, lambda p: x >= p)))[0].cast("double")
 
 
-def bagged_trees(df: DataFrame, key: str, label: str, n_trees: int, depth: int = 8) -> tuple[list[Model], DataFrame]:
-    """Trees on bootstrap weights, and (key, label, p) where p averages only the trees a row was left out of."""
-    models = []
-    votes = df
-    for t in range(n_trees):
-        weighted = df.withColumn("_w", bootstrap_weight(key, t))
-        models.append(DecisionTreeClassifier(labelCol=label, weightCol="_w", maxDepth=depth, seed=t).fit(weighted.where("_w > 0")))
-        scored = models[-1].transform(votes.withColumn("_w", bootstrap_weight(key, t)))
-        votes = scored.withColumn(f"_v{t}", F.when(F.col("_w") == 0, probability())).drop("_w", "rawPrediction", "probability", "prediction")
-    parts = [F.col(f"_v{t}") for t in range(n_trees)]
-    total = sum((F.coalesce(p, F.lit(0.0)) for p in parts), F.lit(0.0))
-    seen = sum((p.isNotNull().cast("int") for p in parts), F.lit(0))
-    return models, votes.select(key, label, F.try_divide(total, seen).alias("p"))
+def bagged_trees(df: DataFrame, key: str, label: str, n_trees: int) -> tuple[Model, DataFrame]:
+    """Full trees on bootstrap weights, and (key, label, p) where p averages only the trees a row was left out of."""
+    model = GrownForest(n_trees, "all", key=[key], label=label).fit(df)
+    return model, model.votes(df, left_out=True).select(key, label, "p")
 
 
 def score_all(models: dict[str, Model], df: DataFrame, keep: Sequence[str]) -> DataFrame:

@@ -240,7 +240,7 @@ BASES = {
 @query("bagged_trees")
 def bagged_trees(spark, sf):
     train, _ = document_data(spark, sf)
-    _, oob = models.bagged_trees(train, "doc_id", "label", 8)
+    _, oob = models.bagged_trees(train, "doc_id", "label", 300)
     return models.evaluate_classifier(oob.where("p IS NOT NULL"), "label", "bagged, out of bag")
 
 
