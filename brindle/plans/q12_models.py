@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from brindle.operators import featurestore as fs, impute, metrics, models
 from brindle.operators.forest import CellForest
+from brindle.operators.grown_forest import GrownForest
 from brindle.operators.splits import in_test, kfold
 from brindle.plans import base, q11_featurestore as q11
 from brindle.plans.registry import query
@@ -185,7 +186,12 @@ def decision_tree(spark, sf):
 
 @query("random_forest")
 def random_forest(spark, sf):
-    return _classifier_report(spark, sf, RandomForestClassifier(numTrees=300, featureSubsetStrategy="sqrt", seed=0), "forest")
+    """The classifier of full trees, and the regressor on the log target."""
+    found = _classifier_report(spark, sf, GrownForest(300, "sqrt", key=["doc_id"]), "forest")
+    train, test = regression_data(spark, sf)
+    scored = CellForest(300, 10, seed=0, key=["row_id"]).fit(train).transform(test)
+    errors = metrics.regression_metrics(scored, "label", "prediction").select(F.lit("forest regressor").alias("model"), "*")
+    return found.unionByName(errors, allowMissingColumns=True)
 
 
 @query("gradient_boosting")

@@ -75,3 +75,16 @@ def test_other_labels_are_errors(spark):
     for bad, match in (("CAST(NULL AS DOUBLE)", "Labels MUST NOT"), ("2.0", "labels must be 0 or 1")):
         with pytest.raises(Exception, match=match):
             gf.GrownForest(2, "all", key=["id"]).fit(rows(spark, 20).withColumn("label", F.expr(bad)))
+
+
+def test_forest_learns_what_trees_of_five_levels_cannot_and_has_a_regressor(spark, tmp_path):
+    """Labels change 40 times along the length of a text; the forest used to end at depth five and the regressor was missing."""
+    n = 1_200
+    spark.createDataFrame([(i, "ab " * (1 + i % 200), "en") for i in range(n)], "doc_id long, text string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(i, (i % 200) // 5 % 2) for i in range(n)], "doc_id long, quality int").write.parquet(f"{tmp_path}/labels.parquet")
+    item = "l_orderkey long, l_linenumber long, l_partkey long, l_quantity double, l_extendedprice double, l_discount double, l_tax double"
+    spark.createDataFrame([(i, 1, i % 20, float(1 + i % 50), (1 + i % 50) * (100.0 + i % 20), 0.01 * (i % 7), 0.02) for i in range(600)], item).write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.createDataFrame([(i, i % 10, 100.0 + i, "B", "T") for i in range(20)], "p_partkey long, p_size int, p_retailprice double, p_brand string, p_type string").write.parquet(f"{tmp_path}/part.parquet")
+    found = {r["model"]: r for r in q12.random_forest(spark, str(tmp_path)).collect()}
+    assert found["forest"]["accuracy"] > 0.95 and found["forest"]["auc"] > 0.97
+    assert found["forest regressor"]["r2"] > 0.9 and found["forest"]["rmse"] is None and found["forest regressor"]["auc"] is None
