@@ -18,10 +18,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from brindle.functions.expr import with_params
-from brindle.sources.scratch import cut_lineage, scratch_path
+from brindle.sources.scratch import cut_lineage, cut_small, scratch_path
 
 # fixed values: term saturation, length normalization and floor of the lexical score
 K1, B, EPSILON = 1.5, 0.75, 0.25
@@ -45,19 +46,30 @@ class LexicalIndex:
 
 def tokens(text):
     """Lower-cased, split on white space."""
-    return F.filter(F.split(F.lower(text), r"\s+"), lambda t: t != "")
+    return F.array_remove(F.split(F.lower(text), r"\s+"), "")
+
+
+def words_of(texts: pa.Array) -> tuple[np.ndarray, pa.DictionaryArray]:
+    """(row, word) of all `tokens` of lower-cased texts; a null has none.
+
+    Texts are handed over whole: as lists of words they would be several times as dear to bring to Python.
+    """
+    lists = pc.ascii_split_whitespace(texts)
+    flat, row = lists.flatten(), np.repeat(np.arange(len(lists)), lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
+    empty = pc.equal(flat, "").to_numpy(zero_copy_only=False)  # before white space at the start of a text, or after that at its end
+    if empty.any():
+        flat, row = flat.filter(pa.array(~empty)), row[~empty]
+    return row, flat.dictionary_encode()
 
 
 def _count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc, dl, term, tf) of rows (doc, t)."""
+    """(doc, dl, term, tf) of rows (doc, low)."""
     for b in batches:
-        lists = b.column("t")
-        size = lists.value_lengths().to_numpy(zero_copy_only=False)
-        words = lists.flatten().dictionary_encode()
-        n = max(len(words.dictionary), 1)
-        key, tf = np.unique(np.repeat(np.arange(len(lists)), size) * n + words.indices.to_numpy(), return_counts=True)
-        row = pa.array(key // n)
-        columns = [b.column("doc").take(row), pa.array(size.astype("int64")).take(row), words.dictionary.take(pa.array(key % n)), pa.array(tf.astype("int64"))]
+        at, words = words_of(b.column("low"))
+        size, n = np.bincount(at, minlength=b.num_rows), max(len(words.dictionary), 1)
+        key, tf = np.unique(at * n + words.indices.to_numpy(), return_counts=True)
+        row = key // n
+        columns = [b.column("doc").take(pa.array(row)), pa.array(size[row].astype("int64")), words.dictionary.take(pa.array(key % n)), pa.array(tf.astype("int64"))]
         yield pa.RecordBatch.from_arrays(columns, names=["doc", "dl", "term", "tf"])
 
 
@@ -71,8 +83,7 @@ def term_counts(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
 
     def counted(rows: DataFrame) -> DataFrame:
         kind = rows.schema["doc"].dataType.simpleString()
-        split = rows.select("doc", tokens("text").alias("t")).where(F.size("t") > 0)
-        return split.mapInArrow(_count_terms, f"doc {kind}, dl bigint, term string, tf bigint")
+        return rows.select("doc", F.lower("text").alias("low")).mapInArrow(_count_terms, f"doc {kind}, dl bigint, term string, tf bigint")
 
     rows, few = docs.select(F.col(doc_id).alias("doc"), F.col(text).alias("text")), several.count()
     if not few:
@@ -82,10 +93,11 @@ def term_counts(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     return counted(flagged.where("_several IS NULL")).unionByName(merged)
 
 
-def build_index(docs: DataFrame, doc_id: str, text: str, path: str | None = None) -> LexicalIndex:
+def build_index(docs: DataFrame, doc_id: str, text: str, path: str | None = None, asked: DataFrame | None = None) -> LexicalIndex:
     """Write the index of a corpus.  Documents without a token count towards the number of documents only; null texts have none.
 
-    Inverse document frequencies below zero are replaced by a quarter of the vocabulary's mean.
+    Inverse document frequencies below zero are replaced by a quarter of the vocabulary's mean.  Where all queries that the index is for are
+    known (`asked`, with the same column of texts), the postings of other terms, which no search can meet, are not put in order.
     """
     spark = docs.sparkSession
     index = LexicalIndex(spark, path or scratch_path(spark, "lexical"))
@@ -101,6 +113,8 @@ def build_index(docs: DataFrame, doc_id: str, text: str, path: str | None = None
     with_params(idf, floor, "_f").select("term", "df", "best", F.when(F.col("idf") < 0, F.col("_f.low")).otherwise(F.col("idf")).alias("idf")).write.parquet(f"{index.path}/terms")
     # only terms of more than one shard, one in SHARD postings at most, need to be told; postings move once
     large = index.table("terms").where(F.col("df") > SHARD).select("term", F.ceil(F.col("df") / SHARD).alias("shards"))
+    if asked is not None:
+        postings = postings.join(cut_small(asked.select(F.explode(tokens(text)).alias("term")).distinct()), "term", "left_semi")
     placed = postings.join(F.broadcast(large), "term", "left").withColumn("shard", F.pmod(F.xxhash64("doc"), F.coalesce("shards", F.lit(1).cast("bigint"))).cast("int"))
     order = Window.partitionBy("term", "shard").orderBy(F.desc("part"), "doc")
     placed = placed.withColumn("block", ((F.row_number().over(order) - 1) / BLOCK).cast("int"))

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from brindle.functions.expr import with_params
 from brindle.operators.knn import knn_join
-from brindle.operators.lexical_index import build_index, search, tokens
+from brindle.operators.lexical_index import build_index, search, tokens, words_of
 from brindle.sources.scratch import cut_small
 
 # fixed values: constant of rank fusion, results of each list that are fused
@@ -23,7 +23,7 @@ def bm25_topk(docs: DataFrame, queries: DataFrame, doc_id: str, query_id: str, t
 
     The index is written first; where it is there already, `lexical_index.search` takes it.
     """
-    return search(build_index(docs, doc_id, text), queries, query_id, text, k, doc_id)
+    return search(build_index(docs, doc_id, text, asked=queries), queries, query_id, text, k, doc_id)
 
 
 def hashed_vectors(df: DataFrame, key: str, text: str, width: int = 64) -> DataFrame:
@@ -37,17 +37,16 @@ def hashed_vectors(df: DataFrame, key: str, text: str, width: int = 64) -> DataF
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            lists = b.column("t")
-            words = lists.flatten().dictionary_encode()
+            row, words = words_of(b.column("low"))
             known = words.dictionary.to_pylist()
             slot = np.array([of(w, "slot", width) for w in known], dtype="int64")
             sign = np.array([1.0 - 2 * of(w, "sign", 2) for w in known])
-            code, row = words.indices.to_numpy(), np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy(zero_copy_only=False))
-            flat = np.bincount(row * width + slot[code], sign[code], minlength=len(lists) * width)
-            vec = pa.ListArray.from_arrays(pa.array(np.arange(len(lists) + 1, dtype="int32") * width), pa.array(flat))
-            yield pa.RecordBatch.from_arrays([b.column("key"), vec], names=["key", "v"])
+            code = words.indices.to_numpy()
+            flat = np.bincount(row * width + slot[code], sign[code], minlength=b.num_rows * width)
+            vec = pa.ListArray.from_arrays(pa.array(np.arange(b.num_rows + 1, dtype="int32") * width), pa.array(flat))
+            yield pa.RecordBatch.from_arrays([b.column("key"), vec], names=["key", "v"]).filter(pa.array(np.bincount(row, minlength=b.num_rows) > 0))
 
-    rows = df.select(F.col(key).alias("key"), tokens(text).alias("t")).where(F.size("t") > 0)
+    rows = df.select(F.col(key).alias("key"), F.lower(text).alias("low"))
     parts = rows.mapInArrow(sums, f"key {df.schema[key].dataType.simpleString()}, v array<double>")
     return parts.groupBy(F.col("key").alias(key)).agg(F.array(*[F.sum(F.col("v")[i]) for i in range(width)]).alias("vec"))
 

@@ -72,3 +72,22 @@ def test_nothing_to_find(spark):
     index = lx.build_index(texts(spark, [(1, "a b"), (2, "a")]).unionByName(texts(spark, [(3, "x")]).withColumn("text", F.lit(None).cast("string"))), "id", "text")
     assert lx.search(index, none.withColumnRenamed("id", "q"), "q", "text", 3).count() == 0
     assert [r["doc"] for r in lx.search(index, texts(spark, [(9, "b")]).withColumnRenamed("id", "q"), "q", "text", 3).collect()] == [1]
+
+
+def test_words_are_the_tokens(spark):
+    import pyarrow as pa
+
+    texts = ["", None, " ", "a", "  Ab\tc\x0b\x0cd\r\n", "x\x1cy\x85z w v", "ÄÖ İ ẞ", "a a b ", "\n\n"]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").select("i", F.lower("t").alias("low"), lx.tokens("t").alias("w")).orderBy("i").collect()
+    at, words = lx.words_of(pa.array([r["low"] for r in rows], pa.string()))
+    assert [(i, w) for i, w in zip(at.tolist(), words.to_pylist())] == [(r["i"], w) for r in rows for w in r["w"] or []]
+
+
+def test_an_index_for_known_queries_orders_their_postings_only(spark):
+    docs = spark.createDataFrame([(i, f"a b{i % 3} c{i % 7} d{i} x{i % 2}") for i in range(60)], "doc long, text string")
+    asked = spark.createDataFrame([(1, "b1 C2 nowhere"), (2, "a d7"), (3, None)], "q long, text string")
+    whole, some = lx.build_index(docs, "doc", "text"), lx.build_index(docs, "doc", "text", asked=asked)
+    assert {r[0] for r in some.table("blocks").select("term").distinct().collect()} == {"b1", "c2", "a", "d7"}
+    found = [sorted(map(tuple, lx.search(x, asked, "q", "text", 5).collect())) for x in (whole, some)]
+    assert found[0] == found[1] and len(found[0]) == 10
+    assert some.table("terms").count() == whole.table("terms").count()
